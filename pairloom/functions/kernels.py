@@ -57,7 +57,7 @@ def round_bf16(x: Column | str) -> Column:
     return kernel(as_column(x))
 
 
-def philox_normals(n: Column, seed: int, stream: str, *keys: Column | str) -> Column:
+def philox_normals(n: Column, seed: int, stream: str, *keys: Column | str | int) -> Column:
     """``array<double>`` of n normals from a counter-based generator keyed by the row."""
 
     @F.arrow_udf("array<double>")
@@ -98,6 +98,23 @@ def interpolate(x: Column | str, t: Column | str, eps: Column | str) -> Column:
     return kernel(as_column(x), as_column(t), as_column(eps))
 
 
+def blend(a: Column | str, b: Column | str, weight: float) -> Column:
+    """``b + weight (a - b)``; rows without ``b`` keep ``a``."""
+
+    @F.arrow_udf("array<double>")
+    def kernel(left: pa.Array, right: pa.Array) -> pa.Array:
+        u, lengths, missing = _flat(left)
+        w, other, alone = _flat(right)
+        if not np.array_equal(lengths[~alone], other[~alone]):
+            raise ValueError("rows differ in length")
+        result = u.astype(np.float64)
+        paired = np.repeat(~alone, lengths)
+        result[paired] = w + weight * (result[paired] - w)
+        return _lists(result, lengths, missing, pa.float64())
+
+    return kernel(as_column(a), as_column(b))
+
+
 def mean_squared_error(a: Column | str, b: Column | str) -> Column:
     """Mean of ``(a - b)^2`` per row."""
 
@@ -139,6 +156,21 @@ def patches(x: Column | str, c: int, h: int, w: int, p: int) -> Column:
     return kernel(as_column(x))
 
 
+def unpatch(tokens: Column | str, c: int, h: int, w: int, p: int) -> Column:
+    """Inverse of :func:`patches` for tokens laid end to end in patch order."""
+
+    @F.arrow_udf("array<double>")
+    def kernel(rows: pa.Array) -> pa.Array:
+        values, lengths, missing = _flat(rows)
+        if np.any(lengths[~missing] != c * h * w):
+            raise ValueError(f"expected {c * h * w} values per row")
+        n = int((~missing).sum())
+        grid = values.astype(np.float64).reshape(n, h // p, w // p, p, p, c)
+        return _lists(grid.transpose(0, 5, 1, 3, 2, 4).reshape(-1), lengths, missing, pa.float64())
+
+    return kernel(as_column(tokens))
+
+
 def fixed_length_ids(tokens: Column, vocab, length: int, pad: int) -> Column:
     """Ids of at most ``length`` tokens per row, padded to it.
 

@@ -38,10 +38,8 @@ ICDF_LOW = 0.02425
 
 def digest(seed: int, stream: str, *keys: Column | str | int) -> Column:
     """Hex md5 of ``seed|stream|key|...``; also a deterministic shuffle order."""
-    parts = [F.lit(k) if isinstance(k, int) else as_column(k) for k in keys]
-    return F.md5(
-        F.concat_ws("|", F.lit(str(seed)), F.lit(stream), *[p.cast("string") for p in parts])
-    )
+    parts = [as_column(k).cast("string") for k in keys]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(stream), *parts))
 
 
 def word(hex_digest: Column, i: int) -> Column:
@@ -65,7 +63,7 @@ def normal(seed: int, stream: str, *keys: Column | str | int) -> Column:
 
 def normals(n: Column | int, seed: int, stream: str, *keys: Column | str | int) -> Column:
     """``array<double>`` of n standard normals; one digest serves four of them."""
-    size = F.lit(n) if isinstance(n, int) else n
+    size = as_column(n)
     blocks = F.sequence(F.lit(0), F.ceil(size / 4).cast("int") - 1)
     digests = F.transform(blocks, lambda b: digest(seed, stream, *keys, b))
     words = F.transform(digests, lambda d: F.array(*[word(d, i) for i in range(4)]))

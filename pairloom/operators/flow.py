@@ -88,12 +88,14 @@ def batch_loss(losses: DataFrame, batch: str = "batch_id") -> DataFrame:
 
 def guide(
     cond: DataFrame, uncond: DataFrame | None = None, cfg: float = 2.0, *,
-    on: tuple[str, ...] = ("key", "step"), v: str = "v",
+    on: tuple[str, ...] = ("key", "step"), v: str = "v", wide: bool = False,
 ) -> DataFrame:
     """``v_u + cfg (v_c - v_u)``; rows without an unconditional velocity keep ``v_c``."""
     if uncond is None:
         return cond.select(*on, doubles(v).alias(v))
     joined = cond.join(uncond.select(*on, doubles(v).alias("_u")), list(on), "left")
+    if wide:
+        return joined.select(*on, kernels.blend(doubles(v), "_u", cfg).alias(v))
     mixed = F.zip_with(doubles(v), "_u", lambda c, u: u + F.lit(float(cfg)) * (c - u))
     return joined.select(*on, F.coalesce(mixed, doubles(v)).alias(v))
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.runtime import as_column
 from pairloom.schemas import require_columns
 
 
@@ -21,7 +22,16 @@ def extract_caption(df: DataFrame, json_col: str = "json", field: str = "caption
 
 
 def is_json(c: Column | str) -> Column:
-    return F.try_parse_json(c).isNotNull()
+    """True for exactly one well-formed JSON value.
+
+    Spark's parsers stop after the first value and ignore what follows. Inside brackets a
+    tail is an error, or a second element; inside braces a stray bracket is an error too. An
+    object that repeats a key counts as malformed.
+    """
+    text = as_column(c)
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    parsed = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.coalesce(alone & parsed.isNotNull(), F.lit(False))
 
 
 def with_reject_reason(df: DataFrame, rules: dict[str, Column], out: str = "reason") -> DataFrame:

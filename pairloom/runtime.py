@@ -81,8 +81,11 @@ def lookup_join(
     return spread.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-def as_column(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def as_column(c: Column | str | int) -> Column:
+    """A column from its name; numbers are literals."""
+    if isinstance(c, Column):
+        return c
+    return F.col(c) if isinstance(c, str) else F.lit(c)
 
 
 def use_small_batches(spark: SparkSession, row_bytes: int, batch_bytes: int = 16 << 20) -> None:

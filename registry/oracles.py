@@ -149,6 +149,7 @@ DRAWS = f"""{SHARDED}, listed AS (SELECT shard, row_number() OVER (ORDER BY shar
 MANIFEST_ALL = f"WITH {MANIFEST} SELECT id, url, caption, source FROM manifest"
 TOKEN_IDS = f"WITH {ENCODED} SELECT id, pos, token_id FROM enc"
 NORMALIZED = f"WITH {LAT} SELECT id, pos, {r('(x - 1.159e-1) * 3.611e-1')} AS value FROM lat"
+PLAIN = f"WITH {LAT} SELECT id, pos, {r('x')} AS value FROM lat"
 PATCHED = f"WITH {PATCHES} SELECT id, patch, pos, {r('x')} AS value FROM patches"
 PREPARED_ROWS = f"""WITH {PREPARED} SELECT id, url, caption_md5, n_ids, ids_dot, latent_dot FROM
   (SELECT id, url, md5(text) AS caption_md5 FROM raw WHERE b >= 1e-1)
@@ -262,8 +263,9 @@ ORACLES: dict[str, str] = {
     "normalize_latent_wide": NORMALIZED,
     "denormalize_latent": f"WITH {LAT} SELECT id, pos, {r('x / 3.611e-1 + 1.159e-1')} AS value FROM lat",
     "patchify": PATCHED,
-    "patchify_wide": PATCHED,
-    "unpatchify": f"WITH {LAT} SELECT id, pos, {r('x')} AS value FROM lat",
+    "patchify_in_jvm": PATCHED,
+    "unpatchify": PLAIN,
+    "unpatchify_in_jvm": PLAIN,
     "timestep_features": f"""WITH times AS (SELECT vec_id AS id, {sigmoid(normal(SEED, 't', 0, 'vec_id'))} AS t
         FROM embeddings), f AS (SELECT id, t, unnest(range(65)) AS k FROM times)
       SELECT id, k::INTEGER AS pos, {r('''CASE WHEN k < 32 THEN cos(t * exp(-ln(1e4) * k / 32e0))

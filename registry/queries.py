@@ -301,7 +301,7 @@ def denormalize_latent(spark, sf):
     return long(fx.latents(spark, sf).withColumn("x", y), "id", x="x")
 
 
-def _patches(spark, sf, wide=False):
+def _patches(spark, sf, wide=True):
     return lat.patchify(fx.latents(spark, sf), 4, 4, 4, 2, wide=wide)
 
 
@@ -309,14 +309,18 @@ def patchify(spark, sf):
     return long(_patches(spark, sf), "id", "patch", x="token")
 
 
-def patchify_wide(spark, sf):
-    return long(_patches(spark, sf, wide=True), "id", "patch", x="token")
+def patchify_in_jvm(spark, sf):
+    return long(_patches(spark, sf, wide=False), "id", "patch", x="token")
 
 
 def unpatchify(spark, sf):
     return long(lat.unpatchify(_patches(spark, sf), 4, 4, 4, 2), "id", x="x")
 
 
+def unpatchify_in_jvm(spark, sf):
+    return long(lat.unpatchify(_patches(spark, sf), 4, 4, 4, 2, wide=False), "id", x="x")
+
+
 def timestep_features(spark, sf):
     timed = flow.sample_timesteps(fx.latents(spark, sf).select("id"), seed=SEED)
     return long(timed.withColumn("f", arrays.timestep_features("t", 65)), "id", x="f")
@@ -527,8 +531,8 @@ _PLAIN = (
     plan_ingest_resize, plan_center_crop, normalize_pixels, denormalize_pixels, build_vocab,
     encode_fixed_length, encode_in_place, expand_prompts, lookup_embeddings, mean_pool,
     mean_pool_masked, encode_batches, fill_condition, fill_condition_empty_prompt, sample_latent,
-    normalize_latent, normalize_latent_wide, denormalize_latent, patchify, patchify_wide,
-    unpatchify, timestep_features, resample_shards, assign_shards, bounded_shuffle, full_shuffle,
+    normalize_latent, normalize_latent_wide, denormalize_latent, patchify,
+    patchify_in_jvm, unpatchify, unpatchify_in_jvm, timestep_features, resample_shards, assign_shards, bounded_shuffle, full_shuffle,
     with_batches, batched, epoch_limit, caption_dropout, sample_timesteps, make_flow_rows,
     flow_loss, batch_loss, guide, replay_states, replay_predictions, loss_by_bin, train_log,
     with_learning_rate, eval_summary, with_run_events, prepare_batch, prepare_stream_rejected,
