@@ -123,14 +123,16 @@ def _replay(noise_rows, velocity, n, key, dim, predictions) -> DataFrame:
         so_far = order.rowsBetween(Window.unboundedPreceding, last)
         left = (F.lit(n + 1) - F.col("step")).cast("double")
 
-        def element(i: int):
-            c = F.col("c")[i]
+        def element(c: str):
             running = F.sum(c).over(so_far)
             if predictions:
-                return F.when(F.col("step") == 0, c).otherwise(running + left * c)
+                return F.when(F.col("step") == 0, F.col(c)).otherwise(running + left * F.col(c))
             return running
 
-        return rows.select(key, "step", F.array(*[element(i) for i in range(dim)]).alias("z"))
+        # Scalars replace the array before the shuffle, which would else carry both.
+        names = [f"_{i}" for i in range(dim)]
+        apart = rows.select(key, "step", *[F.col("c")[i].alias(c) for i, c in enumerate(names)])
+        return apart.select(key, "step", F.array(*[element(c) for c in names]).alias("z"))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("step")

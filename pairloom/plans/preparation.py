@@ -6,29 +6,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.arrays import normalize_latent
-from pairloom.operators.samples import extract_caption, is_json, split_valid
+from pairloom.operators.samples import extract_caption, is_json, with_reject_reason
 from pairloom.operators.text import encode_in_place
 
+OK = "ok"
+
 
 def prepare(
     raw: DataFrame, vocab: DataFrame, *, shift: float, scale: float, length: int = 128,
     vocab_bytes: int | None = None, wide: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """(samples, rejected) of rows shaped like ``schemas.RAW_SAMPLE``.
+) -> DataFrame:
+    """(id, url, caption, ids, latent, verdict) of rows shaped like ``schemas.RAW_SAMPLE``.
 
-    A sample is (id, url, caption, ids, latent). Malformed JSON, a missing caption or a
-    missing latent sets a row aside with its reason. With a vocabulary that can be broadcast
-    no row is shuffled.
+    ``verdict`` is ``ok``, or names why a row is set aside: malformed JSON, no caption or no
+    latent; such a row has neither ids nor latent. Written partitioned by ``verdict``, good
+    and rejected rows leave in one pass over the input, and with a vocabulary that can be
+    broadcast no row is shuffled.
     """
-    read = extract_caption(raw)
     rules = {
         "bad_json": is_json("json"),
         "no_caption": F.col("caption").isNotNull(),
         "no_latent": F.col("latent").isNotNull(),
     }
-    good, rejected = split_valid(read, rules)
-    encoded = encode_in_place(good, vocab, length, vocab_bytes=vocab_bytes)
-    samples = encoded.select(
-        "id", "url", "caption", "ids", normalize_latent("latent", shift, scale, wide).alias("latent")
+    tagged = with_reject_reason(extract_caption(raw), rules)
+    encoded = encode_in_place(tagged, vocab, length, vocab_bytes=vocab_bytes)
+    fine = F.col("reason").isNull()
+    latent = normalize_latent("latent", shift, scale, wide)
+    return encoded.select(
+        "id", "url", "caption",
+        F.when(fine, F.col("ids")).alias("ids"),
+        F.when(fine, latent).alias("latent"),
+        F.coalesce("reason", F.lit(OK)).alias("verdict"),
     )
-    return samples, rejected.select("id", "url", "reason")
+
+
+def write_prepared(prepared: DataFrame, path: str) -> None:
+    """Replace the table at ``path``, partitioned by verdict."""
+    prepared.write.mode("overwrite").partitionBy("verdict").parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,35 +42,33 @@ def project_manifest(
     return df.select(*extra, F.col(url_col).alias("url"), F.col(caption_col).alias("caption"))
 
 
-def payload_status(data: Column, elapsed: Column, timeout_s: float) -> Column:
-    return (
-        F.when(elapsed > timeout_s, F.lit("timeout"))
-        .when(data.isNull(), F.lit("missing"))
-        .otherwise(F.lit("ok"))
+def _landed(payloads: DataFrame, timeout_s: float, key: str) -> DataFrame:
+    """(key, data, status). Bytes of timed-out fetches go before anything is shuffled."""
+    late = F.col("elapsed_s") > timeout_s
+    status = (
+        F.when(late, F.lit("timeout")).when(F.col("data").isNull(), F.lit("missing")).otherwise("ok")
     )
+    return payloads.select(key, F.when(~late, F.col("data")).alias("data"), status.alias("status"))
 
 
 def attach_payloads(
     manifest: DataFrame, payloads: DataFrame, timeout_s: float = 8, *, key: str = "id"
 ) -> DataFrame:
-    """Manifest rows with their landed ``data`` and a ``status``.
+    """Manifest rows with their landed ``data`` and a ``status``: ok, missing or timeout.
 
     A fetch slower than ``timeout_s`` counts as timed out and its bytes are dropped.
     ``payloads`` has one row per key: (key, data, elapsed_s).
     """
-    landed = payloads.select(key, "data", "elapsed_s")
-    joined = manifest.join(landed, key, "left")
-    status = payload_status(F.col("data"), F.col("elapsed_s"), timeout_s)
-    tagged = joined.withColumn("status", status)
-    return tagged.withColumn("data", F.when(F.col("status") == "ok", F.col("data")))
+    joined = manifest.join(_landed(payloads, timeout_s, key), key, "left")
+    return joined.withColumn("status", F.coalesce("status", F.lit("missing")))
 
 
 def retry_list(
     manifest: DataFrame, payloads: DataFrame, timeout_s: float = 8, *, key: str = "id"
 ) -> DataFrame:
-    """Manifest rows without a usable payload. The payload bytes are never read."""
-    status = payload_status(F.col("data"), F.col("elapsed_s"), timeout_s)
-    return manifest.join(payloads.where(status == "ok").select(key), key, "left_anti")
+    """Manifest rows without a usable payload. No payload byte is shuffled."""
+    usable = _landed(payloads, timeout_s, key).where("status = 'ok'").select(key)
+    return manifest.join(usable, key, "left_anti")
 
 
 def list_assets(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from pairloom.plans.preparation import prepare
+from pairloom.plans.preparation import prepare, write_prepared
 from pairloom.schemas import RAW_SAMPLE
 
 
@@ -16,19 +16,19 @@ def prepare_stream(
 ) -> StreamingQuery:
     """Start a run over all files not yet seen; it ends when they are done.
 
-    Samples go to ``out/samples/batch=<id>`` and rejected rows to ``out/rejected/batch=<id>``.
-    A batch repeated after a failure overwrites its own folders, so nothing lands twice.
+    Rows land below ``out/batch=<id>/verdict=<ok or reason>``, so readers of good or rejected
+    rows open only their folders. A batch repeated after a failure overwrites its own folder:
+    nothing lands twice.
     """
     files = spark.readStream.schema(RAW_SAMPLE)
     if max_files:
         files = files.option("maxFilesPerTrigger", max_files)
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        samples, rejected = prepare(
+        prepared = prepare(
             batch, vocab, shift=shift, scale=scale, length=length, vocab_bytes=vocab_bytes, wide=wide
         )
-        samples.write.mode("overwrite").parquet(f"{out}/samples/batch={batch_id}")
-        rejected.write.mode("overwrite").parquet(f"{out}/rejected/batch={batch_id}")
+        write_prepared(prepared, f"{out}/batch={batch_id}")
 
     return (
         files.parquet(source)

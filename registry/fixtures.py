@@ -168,6 +168,7 @@ def write_tars(df: DataFrame, folder: str) -> int:
 
         system, inside = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
         system.create_dir(inside, recursive=True)
+        group = group.sort_values("key")
         shard = group["shard"].iloc[0]
         with system.open_output_stream(f"{inside}/{shard}.tar") as sink:
             with tarfile.open(fileobj=sink, mode="w|") as tar:

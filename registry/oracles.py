@@ -140,6 +140,11 @@ def lr(step: str, max_steps: int) -> str:
     return f"(CASE WHEN {step} < {warm} THEN ({step}) / {warm}e0 ELSE {cosine} END * 1e-4)"
 
 
+def bf16(x: str) -> str:
+    unit = f"(CASE WHEN {x} = 0 THEN 1e0 ELSE pow(2e0, floor(log2(abs({x}))) - 7) END)"
+    return f"(round_even({x} / {unit}, 0) * {unit})"
+
+
 STRATUM = f"(pos / n::DOUBLE + {u(SEED, 't', 0, 'id')} / n)"
 DRAWS = f"""{SHARDED}, listed AS (SELECT shard, row_number() OVER (ORDER BY shard) - 1 AS nth
     FROM (SELECT DISTINCT shard FROM sharded)),
@@ -151,6 +156,17 @@ TOKEN_IDS = f"WITH {ENCODED} SELECT id, pos, token_id FROM enc"
 NORMALIZED = f"WITH {LAT} SELECT id, pos, {r('(x - 1.159e-1) * 3.611e-1')} AS value FROM lat"
 PLAIN = f"WITH {LAT} SELECT id, pos, {r('x')} AS value FROM lat"
 PATCHED = f"WITH {PATCHES} SELECT id, patch, pos, {r('x')} AS value FROM patches"
+PLANNED = f"""{DRAWS},
+      turns AS (SELECT id, draw || '-' || id AS turn, row_number() OVER (ORDER BY draw, id) - 1 AS idx FROM drawn),
+      places AS (SELECT id, (idx // 100) * 100 + row_number() OVER (PARTITION BY idx // 100
+        ORDER BY {digest(SEED, 'shuffle', 3, 'turn')}, turn) - 1 AS place FROM turns)"""
+EVALUATED = f"""{SAMPLES}, {LAT},
+      firsts AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS place FROM samples),
+      used AS (SELECT id, place // 16 AS batch_id, (place // 16) || '-' || (place % 16) AS slot
+        FROM firsts WHERE place // 16 < least(2000 // 16, 21)),
+      el AS (SELECT batch_id, slot, {sigmoid(normal(SEED, 't', 0, 'slot'))} AS t,
+        {normal_at('pos', SEED, 'eps', 0, 'slot')} - (x - 1.159e-1) * 3.611e-1 AS v FROM used JOIN lat USING (id)),
+      losses AS (SELECT batch_id, slot, min(t) AS t, sum(v * v) / count(*) AS loss FROM el GROUP BY batch_id, slot)"""
 PREPARED_ROWS = f"""WITH {PREPARED} SELECT id, url, caption_md5, n_ids, ids_dot, latent_dot FROM
   (SELECT id, url, md5(text) AS caption_md5 FROM raw WHERE b >= 1e-1)
   JOIN (SELECT id, count(*)::INTEGER AS n_ids, {r('sum(token_id * (pos + 1))::DOUBLE')} AS ids_dot
@@ -168,11 +184,40 @@ ORACLES: dict[str, str] = {
       SELECT b.bin, {r('coalesce(sum(loss), 0e0) / greatest(count(id), 1)')} AS loss, count(id) AS n
       FROM (SELECT unnest(range(10))::INTEGER AS bin) b
       LEFT JOIN per_sample ON least(floor(t * 10), 9) = b.bin GROUP BY b.bin""",
-    "plan_epoch": f"""WITH {DRAWS},
-      turns AS (SELECT id, draw || '-' || id AS turn, row_number() OVER (ORDER BY draw, id) - 1 AS idx FROM drawn),
-      placed AS (SELECT id, (idx // 100) * 100 + row_number() OVER (PARTITION BY idx // 100
-        ORDER BY {digest(SEED, 'shuffle', 3, 'turn')}, turn) - 1 AS place FROM turns)
-      SELECT place // 16 AS batch_id, (place % 16)::INTEGER AS pos, id FROM placed""",
+    "plan_epoch": f"""WITH {PLANNED}
+      SELECT place // 16 AS batch_id, (place % 16)::INTEGER AS pos, id FROM places""",
+    "train_epoch": f"""WITH {PLANNED}, {LAT},
+      slots AS (SELECT id, place // 16 + 1000 AS step, (place // 16) || '-' || (place % 16) AS slot FROM places),
+      el AS (SELECT step, slot, {normal_at('pos', SEED, 'eps', 3, 'slot')} - (x - 1.159e-1) * 3.611e-1 AS v
+        FROM slots JOIN lat USING (id)),
+      per AS (SELECT step, slot, sum(v * v) / count(*) AS loss FROM el GROUP BY step, slot)
+      SELECT step, 3 AS epoch, {r('avg(loss)')} AS loss, count(*) AS n,
+        count_if({u(SEED, 'dropout', 3, 'slot')} <= 1e-1)::BIGINT AS kept FROM per GROUP BY step""",
+    "evaluate_summary": f"""WITH {EVALUATED}, b AS (SELECT batch_id, avg(loss) AS loss FROM losses GROUP BY 1)
+      SELECT {r('avg(loss)')} AS loss, count(*) AS batches FROM b""",
+    "evaluate_bins": f"""WITH {EVALUATED} SELECT b.bin,
+      {r('coalesce(sum(loss), 0e0) / greatest(count(slot), 1)')} AS loss, count(slot) AS n
+      FROM (SELECT unnest(range(10))::INTEGER AS bin) b LEFT JOIN losses ON least(floor(t * 10), 9) = b.bin
+      GROUP BY b.bin""",
+    "decode_steps": f"""WITH {MOVES}, w AS (SELECT key, step, pos, x, 5e-1 * v + 4e0 * (v - 5e-1 * v) AS g FROM moves),
+      seen AS (SELECT id AS key, 0 AS step, pos, x AS z FROM lat UNION ALL
+        SELECT key, step, pos, x - sum(g / 5e1) OVER (PARTITION BY key, pos ORDER BY step)
+          + g / 5e1 - (51 - step) * g / 5e1 FROM w),
+      y AS (SELECT key, step, pos, z / 3.611e-1 + 1.159e-1 AS l FROM seen)
+      SELECT key, step, {r('sum(l * (pos + 1))')} AS latent_dot,
+        {r('sum(trunc(least(1e0, greatest(0e0, l * 5e-1 + 5e-1)) * 255e0) * (pos + 1))')} AS pixel_dot
+      FROM y GROUP BY key, step""",
+    "build_samples": f"""WITH {MANIFEST}, p AS (SELECT id, caption,
+        row_number() OVER (ORDER BY id) - 1 AS idx, lpad((id // 50)::VARCHAR, 5, '0') AS source_shard,
+        lpad(id::VARCHAR, 9, '0') AS source_key, [strlen(html) / 1e3, strlen(caption) / 1e1] AS s
+        FROM manifest JOIN pages ON id = page_id),
+      q AS (SELECT *, source_shard || '/' || source_key AS name FROM p),
+      e AS (SELECT *, (s[1]::FLOAT::DOUBLE + 5e-1 * {normal_at('0', SEED, 'latent', 'name')})::FLOAT::DOUBLE AS a,
+        (s[2]::FLOAT::DOUBLE + 25e-2 * {normal_at('1', SEED, 'latent', 'name')})::FLOAT::DOUBLE AS b,
+        s[2]::FLOAT::DOUBLE AS c, s[1]::FLOAT::DOUBLE AS d FROM q)
+      SELECT lpad((idx // 64)::VARCHAR, 6, '0') || '_' || (idx % 64) AS key, (idx // 50)::INTEGER AS shard,
+        source_shard, source_key, caption, {r(bf16('a'), 9)} AS latent_0, {r(bf16('b'), 9)} AS latent_1,
+        {r(bf16('c'), 9)} AS prompt_0, {r(bf16('d'), 9)} AS prompt_1 FROM e""",
     "prepare_stream": PREPARED_ROWS,
     "prepare_batch": PREPARED_ROWS,
     "prepare_stream_rejected": f"""WITH {PREPARED} SELECT id, url,

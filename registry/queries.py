@@ -12,9 +12,12 @@ from pairloom.functions import arrays
 from pairloom.functions.rand import uniform
 from pairloom.operators import epochs, flow, images, index, metrics, samples, text
 from pairloom.operators import latents as lat
-from pairloom.plans.epoch import plan_epoch
+from pairloom.plans.epoch import attach_rows, plan_epoch
 from pairloom.plans.loss_profile import loss_profile
 from pairloom.plans.preparation import prepare
+from pairloom.plans.samples import build_samples, read_pairs
+from pairloom.plans.sampling import decoded_steps, to_pixels
+from pairloom.plans.training import evaluate, step_losses, training_rows
 from pairloom.runtime import ship_by_value, work_dir
 from pairloom.schemas import MANIFEST
 from pairloom.sources import manifest as man
@@ -79,7 +82,7 @@ def retry_list(spark, sf):
     return man.retry_list(fx.manifest(spark, sf), fx.payloads(spark, sf)).select("id", "url")
 
 
-def import_tar_shards(spark, sf):
+def _tars(spark, sf) -> str:
     p = fx.table(spark, sf, "pages")
     rows = p.select(
         F.lpad(F.floor(F.col("page_id") / fx.SHARD_ROWS).cast("string"), 5, "0").alias("shard"),
@@ -89,7 +92,11 @@ def import_tar_shards(spark, sf):
     )
     folder = work_dir(spark, "tars")
     fx.write_tars(rows, folder)
-    read = tar.import_tar_shards(spark, f"{folder}/*.tar")
+    return f"{folder}/*.tar"
+
+
+def import_tar_shards(spark, sf):
+    read = tar.import_tar_shards(spark, _tars(spark, sf))
     texts = samples.extract_caption(read.withColumn("note", F.decode("json", "UTF-8")), "note")
     return texts.select(
         "shard", "key", "caption", F.octet_length("jpg").cast("bigint").alias("jpg_bytes"),
@@ -475,8 +482,8 @@ def _prepared(df):
 
 
 def prepare_batch(spark, sf):
-    good, _ = prepare(fx.raw_samples(spark, sf), fx.vocab(spark, sf), shift=fx.SHIFT, scale=fx.SCALE)
-    return _prepared(good)
+    done = prepare(fx.raw_samples(spark, sf), fx.vocab(spark, sf), shift=fx.SHIFT, scale=fx.SCALE)
+    return _prepared(done.where("verdict = 'ok'"))
 
 
 def _stream(spark, sf):
@@ -489,11 +496,12 @@ def _stream(spark, sf):
 
 
 def prepare_stream_query(spark, sf):
-    return _prepared(spark.read.parquet(f"{_stream(spark, sf)}/samples"))
+    return _prepared(spark.read.parquet(_stream(spark, sf)).where("verdict = 'ok'"))
 
 
 def prepare_stream_rejected(spark, sf):
-    return spark.read.parquet(f"{_stream(spark, sf)}/rejected").select("id", "url", "reason")
+    rejected = spark.read.parquet(_stream(spark, sf)).where("verdict <> 'ok'")
+    return rejected.select("id", "url", F.col("verdict").alias("reason"))
 
 
 def loss_monitor_query(spark, sf):
@@ -514,6 +522,73 @@ def loss_monitor_query(spark, sf):
     )
 
 
+# Whole jobs
+
+
+def build_samples_query(spark, sf):
+    def load():
+        def encode(batch: pd.DataFrame) -> pd.DataFrame:
+            sizes = [[len(i) / 1000, len(c.encode()) / 10] for i, c in zip(batch["image"], batch["caption"])]
+            return pd.DataFrame({
+                "source_shard": batch["source_shard"], "source_key": batch["source_key"],
+                "caption": batch["caption"], "latent_mean": sizes,
+                "latent_std": [[0.5, 0.25]] * len(batch), "prompt_embeds": [s[::-1] for s in sizes],
+            })
+
+        return encode
+
+    pairs, _ = read_pairs(spark, _tars(spark, sf))
+    out = work_dir(spark, "samples")
+    build_samples(pairs, out, load, seed=SEED, maxcount=fx.SHARD_ROWS, source="md5")
+    return spark.read.parquet(out).select(
+        "key", "shard", "source_shard", "source_key", "caption",
+        *[r(F.col("latent")[i].cast("double"), 9).alias(f"latent_{i}") for i in range(2)],
+        *[r(F.col("prompt_embeds")[i].cast("double"), 9).alias(f"prompt_{i}") for i in range(2)],
+    )
+
+
+def _training_samples(spark, sf):
+    twice = F.transform("x", lambda v: v * F.lit(2).cast("float"))
+    return fx.sharded_samples(spark, sf).select(
+        "id", "shard", F.col("x").alias("latent"), twice.alias("prompt_embeds")
+    )
+
+
+def train_epoch(spark, sf):
+    pool = _training_samples(spark, sf)
+    n = pool.select("shard").distinct().count()
+    plan = plan_epoch(pool, epoch=3, seed=SEED, b=16, max_items=10**9, n_draws=n, buf=100)
+    rows = training_rows(
+        attach_rows(plan, pool), shift=fx.SHIFT, scale=fx.SCALE, seed=SEED, epoch=3
+    )
+    losses = step_losses(rows, None, first_step=1000, epoch=3)
+    kept = rows.groupBy((F.col("batch_id") + 1000).alias("step")).agg(F.count_if("kept").alias("kept"))
+    return losses.join(kept, "step").withColumn("loss", r("loss"))
+
+
+def _evaluated(spark, sf):
+    pool = _training_samples(spark, sf).drop("shard")
+    return evaluate(pool, shift=fx.SHIFT, scale=fx.SCALE, seed=SEED, b=16)
+
+
+def evaluate_summary(spark, sf):
+    return _evaluated(spark, sf)[0].withColumn("loss", r("loss"))
+
+
+def evaluate_bins(spark, sf):
+    return _evaluated(spark, sf)[1].withColumn("loss", r("loss"))
+
+
+def decode_steps(spark, sf):
+    cond = fx.velocities(spark, sf)
+    uncond = cond.withColumn("v", F.transform("v", lambda a: a * 0.5))
+    steps = decoded_steps(
+        fx.start_noise(spark, sf), cond, uncond, n=fx.STEPS, dim=64, shift=fx.SHIFT, scale=fx.SCALE
+    )
+    pixels = to_pixels(steps, "latent")
+    return pixels.select("key", "step", dot("latent").alias("latent_dot"), dot("pixels").alias("pixel_dot"))
+
+
 # Flagship
 
 
@@ -536,11 +611,13 @@ _PLAIN = (
     with_batches, batched, epoch_limit, caption_dropout, sample_timesteps, make_flow_rows,
     flow_loss, batch_loss, guide, replay_states, replay_predictions, loss_by_bin, train_log,
     with_learning_rate, eval_summary, with_run_events, prepare_batch, prepare_stream_rejected,
+    train_epoch, evaluate_summary, evaluate_bins, decode_steps,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loss_profile": loss_profile_query,
     "plan_epoch": plan_epoch_query,
+    "build_samples": build_samples_query,
     "prepare_stream": prepare_stream_query,
     "loss_monitor": loss_monitor_query,
     **{f.__name__: f for f in _PLAIN},

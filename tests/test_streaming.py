@@ -1,11 +1,11 @@
 from pyspark.sql import functions as F
 
-from pairloom.operators import text
 from pairloom.operators.metrics import loss_by_bin
 from pairloom.plans.preparation import prepare
 from pairloom.schemas import RAW_SAMPLE
 from pairloom.streaming.monitor import loss_monitor, start_monitor
 from pairloom.streaming.prepare import prepare_stream
+from tests.plans import physical
 
 
 def raw(spark, start, n):
@@ -26,11 +26,11 @@ def test_each_file_lands_once_also_after_a_restart(spark, tmp_path):
         both = batch if both is None else both.unionAll(batch)
         batch.coalesce(1).write.mode("append").parquet(source)
         prepare_stream(spark, source, out, state, vocab, **args).awaitTermination()
-        good, rejected = prepare(both, vocab, **args)
-        landed = spark.read.parquet(f"{out}/samples")
-        assert sorted(landed.select(good.columns).collect()) == sorted(good.collect())
+        whole = prepare(both, vocab, **args)
+        landed = spark.read.parquet(out)
+        assert sorted(landed.select(whole.columns).collect(), key=str) == sorted(whole.collect(), key=str)
         assert landed.select("batch").distinct().count() == turn + 1
-        assert spark.read.parquet(f"{out}/rejected").count() == rejected.count() == 10 * (turn + 1)
+        assert landed.where("verdict = 'bad_json'").count() == 10 * (turn + 1)
 
 
 def test_repeated_batch_overwrites(spark, tmp_path):
@@ -41,7 +41,14 @@ def test_repeated_batch_overwrites(spark, tmp_path):
         prepare_stream(
             spark, source, out, str(tmp_path / f"state{attempt}"), vocab, shift=0.0, scale=1.0, length=4
         ).awaitTermination()
-    assert spark.read.parquet(f"{out}/samples").count() == 16
+    landed = spark.read.parquet(out)
+    assert landed.count() == 20 and landed.where("verdict = 'ok'").count() == 16
+
+
+def test_preparation_shuffles_nothing(spark, tmp_path):
+    vocab = spark.createDataFrame([("a", 1)], "token string, id int")
+    plan = physical(prepare(raw(spark, 0, 5), vocab, shift=0.0, scale=1.0, length=4))
+    assert "Exchange" not in plan and "Join" not in plan
 
 
 def test_monitor_equals_batch_on_closed_windows(spark, tmp_path):
