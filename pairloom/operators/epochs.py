@@ -21,8 +21,9 @@ def draw_shards(df: DataFrame, n_draws: int, seed: int, epoch: int, *, shard: st
     """(draw, shard): ``n_draws`` shards of ``df`` picked uniformly, with replacement."""
     if n_draws < 1:
         raise ValueError("n_draws must be at least 1")
-    numbered = with_index(df.select(shard).distinct(), shard, out="_nth")
-    total = numbered.agg(F.count("*")).scalar()
+    listed = df.select(shard).distinct()
+    total = listed.count()
+    numbered = with_index(listed, shard, out="_nth", rows=total)
     nth = F.floor(uniform(seed, "shard", epoch, "draw") * total).cast("bigint")
     draws = df.sparkSession.range(n_draws).withColumnRenamed("id", "draw").withColumn("_nth", nth)
     return draws.join(numbered, "_nth").select("draw", shard)

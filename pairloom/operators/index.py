@@ -9,6 +9,8 @@ from pairloom.runtime import lookup_join, materialize
 
 # monotonically_increasing_id() holds the partition above this bit and the row below it.
 ROW_BITS = 33
+# Tables known to be at most this long are sorted in one task.
+SINGLE_SORT_ROWS = 1_000_000
 
 
 def _starts(counts: DataFrame, block: str) -> DataFrame:
@@ -20,12 +22,18 @@ def _starts(counts: DataFrame, block: str) -> DataFrame:
     return counts.select(block, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
 
 
-def with_index(df: DataFrame, *keys: str, out: str = "idx", partitions: int | None = None) -> DataFrame:
+def with_index(
+    df: DataFrame, *keys: str, out: str = "idx", partitions: int | None = None, rows: int | None = None
+) -> DataFrame:
     """Number rows in the order of ``keys``, which together must be unique.
 
-    One range shuffle. The ranges come from a sample, so the sorted rows are stored before
+    With ``rows``, an upper bound on the row count, a small table is numbered by one sort.
+    Otherwise: one range shuffle. The ranges come from a sample, so the sorted rows are stored before
     they are counted: a second evaluation could cut them elsewhere.
     """
+    if rows is not None and rows <= SINGLE_SORT_ROWS:
+        place = F.row_number().over(Window.orderBy(*keys)).cast("bigint") - 1
+        return df.withColumn(out, place)
     args = [partitions, *keys] if partitions else list(keys)
     placed = (
         df.repartitionByRange(*args)

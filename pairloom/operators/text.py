@@ -9,18 +9,24 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.functions import kernels
 from pairloom.functions.arrays import doubles, zeros
+from pairloom.operators import index
 from pairloom.operators.index import with_index
-from pairloom.runtime import BROADCAST_BYTES, lookup_join, measured_bytes, ship_by_value
+from pairloom.runtime import (
+    BROADCAST_BYTES,
+    HOT_ROWS,
+    lookup_join,
+    measured_bytes,
+    ship_by_value,
+    skewed_join,
+)
 
 UNK = 0
-# Above this many entries the vocabulary is numbered by the distributed index.
-SINGLE_SORT_ROWS = 1_000_000
 # Up to this width one aggregate per dimension is cheaper than vector buffers.
 PLAIN_WIDTH = 128
 
@@ -43,13 +49,12 @@ def build_vocab(df: DataFrame, text_col: str, size: int) -> DataFrame:
         .groupBy("token")
         .agg(F.count("*").alias("n"))
     )
-    if size <= SINGLE_SORT_ROWS:
-        top = counts.orderBy(F.desc("n"), "token").limit(size)
-        rank = F.row_number().over(Window.orderBy(F.desc("n"), "token"))
-        return top.select("token", rank.alias("id"), "n")
-    ranked = with_index(counts.withColumn("_less", -F.col("n")), "_less", "token")
-    kept = ranked.where(F.col("idx") < size)
-    return kept.select("token", (F.col("idx") + 1).cast("int").alias("id"), "n")
+    counts = counts.withColumn("_less", -F.col("n"))
+    if size <= index.SINGLE_SORT_ROWS:
+        ranked = with_index(counts.orderBy("_less", "token").limit(size), "_less", "token", rows=size)
+    else:
+        ranked = with_index(counts, "_less", "token").where(F.col("idx") < size)
+    return ranked.select("token", (F.col("idx") + 1).cast("int").alias("id"), "n")
 
 
 def encode_fixed_length(
@@ -58,6 +63,8 @@ def encode_fixed_length(
 ) -> DataFrame:
     """(key, ids): exactly ``length`` ids per row, cut or padded with the unknown id.
 
+    ``key`` must be unique.
+
     The cut is the encoder's input length, as every caption is tokenised in full first.
     Rows are placed by key before tokens are exploded, so tokens never move: the lookup is
     a broadcast for a vocabulary of checked size and a salted join beyond. Pass a stored
@@ -198,11 +205,13 @@ def encode_batches(
 def fill_condition(
     df: DataFrame, cond: DataFrame, mode: str, *, key: str = "id", vec: str = "vec",
     width: int | None = None, empty: DataFrame | None = None, out: str = "cond",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Attach each row's condition; where it is absent use the unconditional input.
 
     ``mode="zero"`` fills ``width`` zeros, as in training. ``mode="empty_prompt"`` fills the
-    single vector of ``empty``, the encoding of "", as in sampling.
+    single vector of ``empty``, the encoding of "", as in sampling. ``cond`` has each key
+    once; one that very many rows of ``df`` share is split over tasks.
     """
     if mode == "zero":
         if width is None:
@@ -215,7 +224,7 @@ def fill_condition(
     else:
         raise ValueError(f"unknown mode {mode!r}")
     given = cond.select(key, doubles(vec).alias("_given"))
-    joined = df.join(given, key, "left")
+    joined = skewed_join(df, given, key, hot_rows=hot_rows)
     return joined.withColumn(out, F.coalesce("_given", default)).withColumn(
         "is_conditional", F.col("_given").isNotNull()
     ).drop("_given")

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Copies of the lookup side when a join is salted instead.
 SALTS = 32
+# A key with more rows than this is split over several tasks.
+HOT_ROWS = 1_000_000
 
 
 def ship_by_value(module_name: str) -> None:
@@ -81,6 +83,28 @@ def lookup_join(
     return spread.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+def skewed_join(
+    df: DataFrame, other: DataFrame, key: str, *, salt_by: list[str] | None = None,
+    hot_rows: int = HOT_ROWS, salts: int = SALTS,
+) -> DataFrame:
+    """Left join of two large tables where a key may repeat very often in ``df``.
+
+    ``other`` has each key once. Keys with more than ``hot_rows`` rows are found by a count
+    that is combined before its shuffle; there can be only rows / ``hot_rows`` of them. Their
+    rows spread over ``salts`` tasks by a hash of ``salt_by`` (all columns by default) and
+    only their matches are copied.
+    """
+    counts = df.groupBy(key).agg(F.count("*").alias("_n"))
+    hot = counts.where(F.col("_n") > hot_rows).select(key, F.lit(True).alias("_hot"))
+    row_hash = F.pmod(F.xxhash64(*(salt_by or df.columns)), F.lit(salts)).cast("int")
+    spread = df.join(F.broadcast(hot), key, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), row_hash).otherwise(0)
+    )
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copies = other.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(every))
+    return spread.drop("_hot").join(copies.drop("_hot"), [key, "_salt"], "left").drop("_salt")
+
+
 def as_column(c: Column | str | int) -> Column:
     """A column from its name; numbers are literals."""
     if isinstance(c, Column):

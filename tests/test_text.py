@@ -33,7 +33,7 @@ def test_vocab_order(docs, vocab):
 
 
 def test_large_vocab_is_numbered_the_same(docs, vocab, monkeypatch):
-    monkeypatch.setattr(text, "SINGLE_SORT_ROWS", 0)
+    monkeypatch.setattr(text.index, "SINGLE_SORT_ROWS", 0)
     large = text.build_vocab(docs, "caption", 6)
     assert sorted(large.collect()) == sorted(vocab.collect())
     assert large.dtypes == vocab.dtypes
@@ -122,3 +122,15 @@ def test_fill_condition(spark):
 def test_expand(spark):
     rows = text.expand_prompts(spark.range(2), 3).collect()
     assert [(r["id"], r["copy"]) for r in rows] == [(i, c) for i in range(2) for c in range(3)]
+
+
+def test_fill_condition_splits_a_hot_key(spark):
+    df = spark.range(900).select(F.when(F.col("id") < 600, 7).otherwise(F.col("id")).alias("id"), F.col("id").alias("copy"))
+    cond = spark.range(0, 900, 2).select("id", F.array(F.col("id").cast("double")).alias("vec"))
+    cond = cond.unionAll(spark.createDataFrame([(7, [7.0])], "id long, vec array<double>"))
+    runs = [
+        sorted(map(tuple, text.fill_condition(df, cond, "zero", width=1, hot_rows=h).select("id", "copy", F.col("cond")[0]).collect()))
+        for h in (100, 10_000)
+    ]
+    assert runs[0] == runs[1] and len(runs[0]) == 900
+    assert all(v == (i if i == 7 or i % 2 == 0 else 0.0) for i, _, v in runs[0])
