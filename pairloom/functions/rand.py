@@ -37,7 +37,7 @@ ICDF_LOW = 0.02425
 
 
 def digest(seed: int, stream: str, *keys: Column | str | int) -> Column:
-    """Hex md5 of ``seed|stream|key|...``; also a deterministic shuffle order."""
+    """Hex md5 of ``seed|stream|key|...``."""
     parts = [as_column(k).cast("string") for k in keys]
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(stream), *parts))
 
@@ -48,6 +48,11 @@ def word(hex_digest: Column, i: int) -> Column:
     return (value.cast("double") + 0.5) / TWO_32
 
 
+def shuffle_order(seed: int, stream: str, *keys: Column | str | int) -> Column:
+    """A random string per row to sort by: half a digest, 64 bits."""
+    return F.substring(digest(seed, stream, *keys), 1, 16)
+
+
 def uniform(seed: int, stream: str, *keys: Column | str | int) -> Column:
     return word(digest(seed, stream, *keys), 0)
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.functions.arrays import doubles, zeros
-from pairloom.functions.rand import digest, uniform
+from pairloom.functions.rand import shuffle_order, uniform
 from pairloom.operators.index import with_index
 from pairloom.runtime import lookup_join
 
@@ -54,20 +54,22 @@ def assign_shards(shards: DataFrame, world: int, workers: int, *, index: str = "
 
 
 def bounded_shuffle(
-    df: DataFrame, buf: int | None, seed: int, epoch: int, *, index: str = "idx", key: str = "id",
-    out: str = "pos",
+    df: DataFrame, buf: int | None, seed: int, epoch: int, *, index: str = "idx",
+    key: str | tuple[str, ...] = "id", out: str = "pos",
 ) -> DataFrame:
     """New position of each row: shuffled inside blocks of ``buf``, or fully for None.
 
     A row moves by less than ``buf`` places. Blocks are windows of at most ``buf`` rows.
+    ``key`` identifies a row.
     """
-    order = df.withColumn("_h", digest(seed, "shuffle", epoch, key))
+    keys = (key,) if isinstance(key, str) else key
+    order = df.withColumn("_h", shuffle_order(seed, "shuffle", epoch, *keys))
     if buf is None:
-        return with_index(order, "_h", key, out=out).drop("_h")
+        return with_index(order, "_h", *keys, out=out).drop("_h")
     if buf < 1:
         raise ValueError("buf must be at least 1")
     block = F.floor(F.col(index) / buf).cast("bigint")
-    inside = F.row_number().over(Window.partitionBy("_block").orderBy("_h", key))
+    inside = F.row_number().over(Window.partitionBy("_block").orderBy("_h", *keys))
     moved = order.withColumn("_block", block).withColumn(out, F.col("_block") * buf + inside - 1)
     return moved.drop("_h", "_block")
 

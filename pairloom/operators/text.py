@@ -33,7 +33,17 @@ PLAIN_WIDTH = 128
 
 def tokens(text: Column | str) -> Column:
     """Non-empty runs between spaces and newlines, case kept."""
-    return F.filter(F.split(text, "[ \n]"), lambda t: t != "")
+    return F.filter(F.split(text, "[ \n]+"), lambda t: t != "")
+
+
+def first_tokens(text: Column | str, n: int) -> Column:
+    """Exactly ``tokens(text)[:n]``, without cutting up the rest of a long text.
+
+    The last of n + 2 parts is that rest, and only the first part can be empty, so the n
+    tokens are among the others.
+    """
+    parts = F.split(text, "[ \n]+", n + 2)
+    return F.slice(F.filter(parts, lambda t: t != ""), 1, n)
 
 
 def build_vocab(df: DataFrame, text_col: str, size: int) -> DataFrame:
@@ -65,13 +75,12 @@ def encode_fixed_length(
 
     ``key`` must be unique.
 
-    The cut is the encoder's input length, as every caption is tokenised in full first.
-    Rows are placed by key before tokens are exploded, so tokens never move: the lookup is
+    The cut is the encoder's input length. Rows are placed by key before tokens are exploded, so tokens never move: the lookup is
     a broadcast for a vocabulary of checked size and a salted join beyond. Pass a stored
     vocabulary: one still to be built is built again for each use.
     """
     size = measured_bytes(vocab, "token") if vocab_bytes is None else vocab_bytes
-    placed = df.select(key, F.slice(tokens(text_col), 1, length).alias("_tokens")).repartition(key)
+    placed = df.select(key, first_tokens(text_col, length).alias("_tokens")).repartition(key)
     long = placed.select(key, F.posexplode_outer("_tokens").alias("_pos", "token"))
     found = lookup_join(
         long, vocab.select("token", F.col("id").cast("int").alias("_id")), ["token"],
@@ -104,7 +113,7 @@ def encode_in_place(
     shared = df.sparkSession.sparkContext.broadcast(
         (entries["token"].to_pylist(), entries["id"].to_pylist())
     )
-    cut = F.slice(tokens(text_col), 1, length)
+    cut = first_tokens(text_col, length)
     return df.withColumn(out, kernels.fixed_length_ids(cut, shared, length, UNK))
 
 

@@ -24,11 +24,10 @@ def plan_epoch(
     else:
         drawn = resample_shards(keys, n_draws, seed, epoch, shard=shard, key=key)
     # A repeated sample is told apart by its draw.
-    turn = drawn.withColumn("_turn", F.concat_ws("-", "draw", key))
-    numbered = with_index(turn, "draw", key)
+    numbered = with_index(drawn.select("draw", key), "draw", key)
     order = "idx"
     if buf is None or buf > 1:
-        numbered = bounded_shuffle(numbered, buf, seed, epoch, key="_turn", out="_place")
+        numbered = bounded_shuffle(numbered, buf, seed, epoch, key=("draw", key), out="_place")
         order = "_place"
     return epoch_limit(with_batches(numbered, b, index=order), max_items, b).select(
         "batch_id", "pos", key

@@ -54,6 +54,10 @@ def poly(coefficients: list[str], x: str) -> str:
     return text
 
 
+def shuffle_order(seed: int, stream: str, *keys: object) -> str:
+    return f"substr({digest(seed, stream, *keys)}, 1, 16)"
+
+
 def inverse_normal(p: str) -> str:
     # The published coefficients of Acklam's approximation.
     a = ["-3.969683028665376e1", "2.209460984245205e2", "-2.759285104469687e2",
@@ -157,9 +161,9 @@ NORMALIZED = f"WITH {LAT} SELECT id, pos, {r('(x - 1.159e-1) * 3.611e-1')} AS va
 PLAIN = f"WITH {LAT} SELECT id, pos, {r('x')} AS value FROM lat"
 PATCHED = f"WITH {PATCHES} SELECT id, patch, pos, {r('x')} AS value FROM patches"
 PLANNED = f"""{DRAWS},
-      turns AS (SELECT id, draw || '-' || id AS turn, row_number() OVER (ORDER BY draw, id) - 1 AS idx FROM drawn),
+      turns AS (SELECT id, draw, row_number() OVER (ORDER BY draw, id) - 1 AS idx FROM drawn),
       places AS (SELECT id, (idx // 100) * 100 + row_number() OVER (PARTITION BY idx // 100
-        ORDER BY {digest(SEED, 'shuffle', 3, 'turn')}, turn) - 1 AS place FROM turns)"""
+        ORDER BY {shuffle_order(SEED, 'shuffle', 3, 'draw', 'id')}, draw, id) - 1 AS place FROM turns)"""
 EVALUATED = f"""{SAMPLES}, {LAT},
       firsts AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS place FROM samples),
       used AS (SELECT id, place // 16 AS batch_id, (place // 16) || '-' || (place % 16) AS slot
@@ -319,9 +323,9 @@ ORACLES: dict[str, str] = {
     "assign_shards": f"""WITH {SHARDED} SELECT DISTINCT shard, (shard % 3)::INTEGER AS node,
       ((shard // 3) % 2)::INTEGER AS worker FROM sharded""",
     "bounded_shuffle": f"""WITH {NUMBERED} SELECT id, idx, (idx // 32) * 32 + row_number() OVER
-      (PARTITION BY idx // 32 ORDER BY {digest(SEED, 'shuffle', 1, 'id')}, id) - 1 AS pos FROM numbered""",
+      (PARTITION BY idx // 32 ORDER BY {shuffle_order(SEED, 'shuffle', 1, 'id')}, id) - 1 AS pos FROM numbered""",
     "full_shuffle": f"""SELECT doc_id AS id, row_number() OVER
-      (ORDER BY {digest(SEED, 'shuffle', 1, 'doc_id')}, doc_id) - 1 AS pos FROM documents""",
+      (ORDER BY {shuffle_order(SEED, 'shuffle', 1, 'doc_id')}, doc_id) - 1 AS pos FROM documents""",
     "with_batches": f"WITH {NUMBERED} SELECT idx // 64 AS batch_id, (idx % 64)::INTEGER AS pos, id FROM numbered",
     "batched": f"""WITH {NUMBERED} SELECT idx // 64 AS batch_id, count(*)::INTEGER AS n,
       {r('sum(id * (idx % 64 + 1))::DOUBLE')} AS ids_dot FROM numbered GROUP BY 1""",

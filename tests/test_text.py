@@ -134,3 +134,11 @@ def test_fill_condition_splits_a_hot_key(spark):
     ]
     assert runs[0] == runs[1] and len(runs[0]) == 900
     assert all(v == (i if i == 7 or i % 2 == 0 else 0.0) for i, _, v in runs[0])
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 128])
+def test_first_tokens_are_the_first_of_all(spark, docs, n):
+    odd = spark.createDataFrame([(-1, " \n a  b\n\nc "), (-2, "\n"), (-3, None), (-4, "x"), (-5, " a b c d e f g")], docs.schema)
+    both = docs.unionAll(odd)
+    rows = both.select(text.first_tokens("caption", n).alias("a"), F.slice(text.tokens("caption"), 1, n).alias("b"))
+    assert all(r["a"] == r["b"] for r in rows.collect())
