@@ -17,7 +17,7 @@ def test_run_events_golden(spark):
     rows = metrics.with_run_events(steps, 100, 2500, 2500).collect()
     assert sorted(r["step"] for r in rows if r["is_log"]) == list(range(0, 5001, 100))
     assert sorted(r["step"] + 1 for r in rows if r["is_checkpoint"]) == [2500, 5000]
-    assert sorted(r["step"] + 1 for r in rows if r["is_eval"]) == [1, 2501]+[5001]
+    assert sorted(r["step"] + 1 for r in rows if r["is_eval"]) == [1, 2501, 5001]
     assert [r["step"] + 1 for r in rows if r["is_final"]] == [5001]
 
 
