@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pairloom.llm.decision_lists import judge_quality
+from pairloom.llm.golay_simhash import one_of_each
 from pairloom.llm.mixing import mixed_rows
 from pairloom.runtime import materialize
 
@@ -21,6 +22,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judge_quality(docs, labels).where("kept").select(*docs.columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates the document with the smallest id stays."""
+    return one_of_each(docs)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's rate says, numbered by ``copy``."""
     return mixed_rows(docs)
@@ -28,6 +34,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality", quality),
+    ("near_dedup", near_dedup),
     ("mixture", mixture),
 ]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import decision_lists, mixing, url_reputation
+from pairloom.llm import decision_lists, golay_simhash, mixing, url_reputation
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_url_reputation(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_golay_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = golay_simhash.near_duplicates(_table(spark, sf, "documents"))
+    return found.select("doc_id", golay_simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 def op6_decision_list(spark: SparkSession, sf: str) -> DataFrame:
     judged = decision_lists.judge_quality(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
     return judged.select(
@@ -34,6 +39,7 @@ def op9_mixture(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_reputation": op1_url_reputation,
+    "op2_golay_simhash": op2_golay_simhash,
     "op6_decision_list": op6_decision_list,
     "op9_mixture": op9_mixture,
 }
