@@ -19,7 +19,7 @@ ORACLE_SQL = None  # learnt rules, fingerprints, latent vectors and zstandard ar
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule or the learnt list rejects go."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    return judge_quality(docs, labels).where("kept").select(*docs.columns)
+    return judge_quality(docs, labels).where("kept").select("_doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

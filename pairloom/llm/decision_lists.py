@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.words import text_of, words_of
+from pairloom.llm.words import text_of, words_of, wrapped
 from pairloom.runtime import materialize
 
 WINDOW = 5
@@ -71,7 +71,10 @@ def _repeat_words(words: Column) -> Column:
 
 
 def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus the statistics the rules look at; a null text has none of anything."""
+    """``docs`` plus the statistics the rules look at; a null text has none of anything.
+
+    ``docs`` has doc_id, text and nothing that clashes with a statistic.
+    """
     whole = text_of(text)
     lines = F.filter(F.split(whole, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     # Each generator yields one row. It keeps the optimiser from copying the work below it
@@ -126,7 +129,7 @@ def base_failed() -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, where: Column | None = None) -> DataFrame:
-    """``docs`` of at most ``rows`` labelled ids, chosen by a hash of the id, plus ``label``.
+    """(doc_id, text, _label) of at most ``rows`` labelled ids, chosen by a hash of the id.
 
     An id labelled twice takes the smaller label. The ids are broadcast: ``rows`` bounds them.
     """
@@ -136,7 +139,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, w
         known.groupBy("doc_id").agg(F.min(label).alias("_label"))
         .orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(rows)
     )
-    return docs.join(F.broadcast(chosen), "doc_id")
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
 def learn_rules(
@@ -250,7 +253,8 @@ def verdict(rules: list[Rule]) -> tuple[Column, Column]:
 def judge_quality(
     docs: DataFrame, labels: DataFrame, *, fit_rows: int = 20_000, rules: list[Rule] | None = None, **options
 ) -> DataFrame:
-    """``docs`` plus statistics, ``base_failed``, ``kept`` and ``rejected_by``.
+    """doc_id, statistics, ``base_failed``, ``kept`` and ``rejected_by`` of every document, and its row
+    as ``_doc``.
 
     The list is learnt from ``labels.quality`` (0 is bad) of at most ``fit_rows`` documents
     and then applied to all of them as one ordered condition. A null or empty text fails the
@@ -258,11 +262,12 @@ def judge_quality(
     alike; without labels only the base rule rejects.
     """
     if rules is None:
-        sample = labelled_sample(docs.select("doc_id", "text"), labels, "quality", fit_rows)
+        sample = labelled_sample(docs, labels, "quality", fit_rows)
         seen = text_statistics(sample).withColumn("_bad", (F.col("_label") == 0).cast("bigint"))
         rules = learn_rules(materialize(seen.where(~base_failed()).drop("text"), "statistics"), **options)
     kept, which = verdict(rules)
     return (
-        text_statistics(docs)
+        text_statistics(wrapped(docs, "doc_id", "text"))
+        .drop("text")
         .withColumn("base_failed", base_failed()).withColumn("kept", kept).withColumn("rejected_by", which)
     )

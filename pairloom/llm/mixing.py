@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.rand import uniform
-from pairloom.llm.words import count_words
+from pairloom.llm.words import count_words, wrapped
 from pairloom.operators.index import with_index
 from pairloom.runtime import lookup_join, materialize, measured_bytes
 
@@ -50,7 +50,7 @@ def source_targets(
 def mix(
     docs: DataFrame, *, share: float = 1.5, most: float = 2.0, weights: tuple[int, ...] = WEIGHTS, seed: int = 0
 ) -> DataFrame:
-    """``docs`` plus ``size``, ``source_size``, ``target``, ``rate`` and ``copies``.
+    """(doc_id, size, source_size, target, rate, copies) of every document, and its row as ``_doc``.
 
     A document's size is its number of words. The rate of its source is target over size; the
     document is taken floor(rate) times, and once more if its own draw, a function of
@@ -58,7 +58,7 @@ def mix(
     sources form one source, null ids share one draw, a null or empty text has size 0, a
     source without words gets rate 0, and an empty table gives no rows.
     """
-    sized = docs.withColumn("size", count_words("text"))
+    sized = wrapped(docs, "doc_id", "source", count_words("text").alias("size"))
     targets = source_targets(
         sized.select("source", "size"), share=share, most=most, weights=weights
     )
@@ -76,7 +76,11 @@ def mix(
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """Every copy as a row of its own: the columns of ``docs`` and ``copy`` from 1."""
+    """Every copy as a row of its own: the columns of ``docs`` and ``copy``, counted from 1.
+
+    A column of that name in ``docs`` gives way.
+    """
     taken = mix(docs, **options).where(F.col("copies") > 0)
     each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy")
-    return taken.select(*docs.columns, each)
+    own = [F.col("_doc")[c].alias(c) for c in docs.columns if c != "copy"]
+    return taken.select(*own, each)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import decision_lists, golay_simhash, mixing, url_reputation
+from pairloom.llm import decision_lists, factorization, golay_simhash, mixing, secret_novelty, url_reputation
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_golay_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", golay_simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op5_secret_novelty(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_novelty.find_secrets(_table(spark, sf, "documents"))
+
+
 def op6_decision_list(spark: SparkSession, sf: str) -> DataFrame:
     judged = decision_lists.judge_quality(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
     return judged.select(
@@ -37,9 +41,15 @@ def op9_mixture(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op10_factorization_machine(spark: SparkSession, sf: str) -> DataFrame:
+    return factorization.score_toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 QUERIES = {
     "op1_url_reputation": op1_url_reputation,
     "op2_golay_simhash": op2_golay_simhash,
+    "op5_secret_novelty": op5_secret_novelty,
     "op6_decision_list": op6_decision_list,
     "op9_mixture": op9_mixture,
+    "op10_factorization_machine": op10_factorization_machine,
 }

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.runtime import ship_by_value
@@ -27,6 +27,12 @@ def text_of(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def wrapped(docs: DataFrame, *names: str | Column) -> DataFrame:
+    """``names`` of a table beside its whole row as ``_doc``, so that no column of it can clash
+    with one that an operator adds. ``select("_doc.*")`` gives the table back."""
+    return docs.select(*names, F.struct("*").alias("_doc"))
+
+
 def count_words(text: str | Column) -> Column:
     return F.regexp_count(text_of(text), F.lit(WORD)).cast("bigint")
 
