@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pairloom.llm.decision_lists import judge_quality
 from pairloom.llm.golay_simhash import one_of_each
+from pairloom.llm.latent_search import without_leaks
 from pairloom.llm.mixing import mixed_rows
+from pairloom.llm.secret_novelty import redact
 from pairloom.runtime import materialize
 
 ORACLE_SQL = None  # learnt rules, fingerprints, latent vectors and zstandard are not SQL
@@ -27,6 +29,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return one_of_each(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return without_leaks(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; every document stays."""
+    return redact(docs)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's rate says, numbered by ``copy``."""
     return mixed_rows(docs)
@@ -35,6 +47,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality", quality),
     ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("secrets", secrets),
     ("mixture", mixture),
 ]
 

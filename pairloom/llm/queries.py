@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import decision_lists, factorization, golay_simhash, mixing, secret_novelty, url_reputation
+from pairloom.llm import (
+    decision_lists, factorization, golay_simhash, latent_search, mixing, secret_novelty, url_reputation,
+)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -35,6 +37,10 @@ def op6_decision_list(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_latent_search(spark: SparkSession, sf: str) -> DataFrame:
+    return latent_search.find_leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 def op9_mixture(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf, "documents"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
@@ -50,6 +56,7 @@ QUERIES = {
     "op2_golay_simhash": op2_golay_simhash,
     "op5_secret_novelty": op5_secret_novelty,
     "op6_decision_list": op6_decision_list,
+    "op8_latent_search": op8_latent_search,
     "op9_mixture": op9_mixture,
     "op10_factorization_machine": op10_factorization_machine,
 }
