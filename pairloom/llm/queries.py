@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import (
-    decision_lists, factorization, golay_simhash, latent_search, mixing, secret_novelty, url_reputation,
+    decision_lists, factorization, golay_simhash, latent_search, mixing, phrase_automata,
+    secret_novelty, url_reputation,
 )
 
 
@@ -25,6 +26,10 @@ def op2_golay_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", golay_simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op3_phrase_automata(spark: SparkSession, sf: str) -> DataFrame:
+    return phrase_automata.cut_repeats(_table(spark, sf, "documents"), texts=False).drop("kept")
+
+
 def op5_secret_novelty(spark: SparkSession, sf: str) -> DataFrame:
     return secret_novelty.find_secrets(_table(spark, sf, "documents"))
 
@@ -54,6 +59,7 @@ def op10_factorization_machine(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_url_reputation": op1_url_reputation,
     "op2_golay_simhash": op2_golay_simhash,
+    "op3_phrase_automata": op3_phrase_automata,
     "op5_secret_novelty": op5_secret_novelty,
     "op6_decision_list": op6_decision_list,
     "op8_latent_search": op8_latent_search,
