@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom.llm import (
     decision_lists, factorization, golay_simhash, latent_search, mixing, phrase_automata,
-    secret_novelty, url_reputation,
+    secret_novelty, sparse_suffixes, url_reputation,
 )
 
 
@@ -30,6 +30,10 @@ def op3_phrase_automata(spark: SparkSession, sf: str) -> DataFrame:
     return phrase_automata.cut_repeats(_table(spark, sf, "documents"), texts=False).drop("kept")
 
 
+def op4_sparse_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    return sparse_suffixes.repeated_passages(_table(spark, sf, "documents"))
+
+
 def op5_secret_novelty(spark: SparkSession, sf: str) -> DataFrame:
     return secret_novelty.find_secrets(_table(spark, sf, "documents"))
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op1_url_reputation": op1_url_reputation,
     "op2_golay_simhash": op2_golay_simhash,
     "op3_phrase_automata": op3_phrase_automata,
+    "op4_sparse_suffixes": op4_sparse_suffixes,
     "op5_secret_novelty": op5_secret_novelty,
     "op6_decision_list": op6_decision_list,
     "op8_latent_search": op8_latent_search,
