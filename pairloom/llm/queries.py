@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import (
-    decision_lists, factorization, golay_simhash, latent_search, mixing, phrase_automata,
+    decision_lists, factorization, golay_simhash, latent_search, mixing, patience, phrase_automata,
     secret_novelty, sparse_suffixes, url_reputation,
 )
 
@@ -46,6 +46,10 @@ def op6_decision_list(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_patience_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return patience.find_licenses(_table(spark, sf, "documents"))
+
+
 def op8_latent_search(spark: SparkSession, sf: str) -> DataFrame:
     return latent_search.find_leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op4_sparse_suffixes": op4_sparse_suffixes,
     "op5_secret_novelty": op5_secret_novelty,
     "op6_decision_list": op6_decision_list,
+    "op7_patience_alignment": op7_patience_alignment,
     "op8_latent_search": op8_latent_search,
     "op9_mixture": op9_mixture,
     "op10_factorization_machine": op10_factorization_machine,
