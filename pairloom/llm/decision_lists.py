@@ -120,7 +120,7 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _rate(part: str, whole: str) -> Column:
-    return F.coalesce(F.col(part) / F.col(whole), F.lit(0.0))
+    return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
 
 
 def base_failed() -> Column:
