@@ -108,6 +108,7 @@ def host_reputations(
     strength = _concentration(placed, F.col("_domain"))
     mean = posterior(strength, F.col("_domain"))
     bound = F.col("mean") - z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (strength + F.col("n") + 1))
+    bound = bound if n else F.lit(0.0)
     return (
         placed.select("host", "n", "bad", mean.alias("mean"))
         .withColumn("bound", bound)

@@ -11,8 +11,7 @@ def make_docs(spark):
 
     def make(rows, extra=""):
         full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "a", None if r[1] is None else len(r[1])) for r in rows]
-        if extra:
-            full = [(*r, 7) for r in full]
+        full = [(*r, *[7] * extra.count(",")) for r in full]
         return spark.createDataFrame(full, SCHEMA + extra)
 
     return make
