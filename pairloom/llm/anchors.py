@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.llm.words import chunks, gram_hashes, hash_words, scrambled, sliding_argmin, utf8
-from pairloom.runtime import ship_by_value
+from pairloom.runtime import materialize, ship_by_value, skewed_join
 
 # Documents without an id come after all others.
 LAST_ID = (1 << 63) - 1
@@ -37,6 +37,28 @@ def real_id() -> Column:
     return F.when(F.col("id") != LAST_ID, F.col("id")).alias("doc_id")
 
 
+def exact_copies(source: DataFrame, *more: Column) -> tuple[DataFrame, DataFrame]:
+    """``source`` plus ``twin``: another id with the same text (the smallest, or for that one the
+    largest), null if there is none. Then the rows that have one: (id, twin, and ``more``).
+
+    Only ids and digests are compared; a text that very many documents share is combined before
+    the shuffle and its rows spread over tasks. Digests go with ids, so rows that share an id
+    may have different texts.
+    """
+    narrow = materialize(source.select("id", F.md5("text").alias("digest"), *more), "digests")
+    groups = narrow.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    groups = materialize(groups.where(F.col("first") < F.col("last")), "copied")
+    found = skewed_join(narrow, groups, "digest", salt_by=["id"]).where(F.col("first").isNotNull())
+    twin = F.when(F.col("id") > F.col("first"), F.col("first")).otherwise(F.col("last"))
+    found = found.withColumn("twin", twin).drop("first", "last")
+    entry = F.struct("digest", "twin")
+    twins = materialize(found.groupBy("id").agg(F.map_from_entries(F.collect_set(entry)).alias("twins")), "twins")
+    # A merge join, so that all uses of the result share one exchange of the texts.
+    joined = source.join(twins.hint("merge"), "id", "left")
+    whole = joined.select(*source.columns, F.try_element_at("twins", F.md5("text")).alias("twin"))
+    return whole, found.drop("digest")
+
+
 @dataclass
 class Texts:
     """Words of some texts end to end, their hashes, and the windows inside single texts."""

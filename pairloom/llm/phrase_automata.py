@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.llm.anchors import (
-    COMBINE_BYTES, Texts, mark_arrays, marked, numbered, read_texts, real_id, recurring_anchors, shards,
+    COMBINE_BYTES, Texts, exact_copies, mark_arrays, marked, numbered, read_texts, real_id, recurring_anchors, shards,
 )
 from pairloom.llm.words import chunks, gram_hashes, hash_words, scrambled, utf8
-from pairloom.runtime import materialize, ship_by_value
+from pairloom.runtime import ship_by_value
 
 SIZE, ANCHOR = 13, 5
 SHARD_ROWS = 16_000
@@ -83,47 +83,61 @@ def passages(marked_docs: DataFrame, size: int, k: int) -> DataFrame:
 
 
 class Shard:
-    """Passages of some anchors as strings with one character for each word."""
+    """Passages of some anchors, end to end, as codes of their words."""
 
     def __init__(self, texts: list[bytes], ids: list[int], size: int) -> None:
+        codes: dict[bytes, int] = {}
         split = [t.split(b" ") for t in texts]
-        self.words = list({w: None for words in split for w in words})
-        # Characters from 1 on, without the range that no string may hold.
-        letters = {w: chr(i + 1 if i + 1 < 0xD800 else i + 0x801) for i, w in enumerate(self.words)}
-        code = {w: i for i, w in enumerate(self.words)}
-        hashes = hash_words(self.words)
-        self.size, self.ids = size, ids
-        self.strings = ["".join(map(letters.__getitem__, words)) for words in split]
-        self.hashes = [hashes[np.fromiter(map(code.__getitem__, words), np.int64, len(words))] for words in split]
-
-    def recurring(self) -> dict[str, int]:
-        """Windows that start in several documents, with the smallest id."""
-        first: dict[str, int] = {}
-        several = set()
-        size = self.size
-        for doc, string in zip(self.ids, self.strings):
-            for i in range(len(string) - size + 1):
-                window = string[i : i + size]
-                known = first.setdefault(window, doc)
-                if known != doc:
-                    several.add(window)
-                    if doc < known:
-                        first[window] = doc
-        return {w: first[w] for w in several}
+        lengths = np.fromiter(map(len, split), np.int64, len(split))
+        flat = np.fromiter(
+            (codes.setdefault(w, len(codes)) for words in split for w in words), np.int64, int(lengths.sum())
+        )
+        self.size, self.ends = size, np.cumsum(lengths)
+        self.starts = self.ends - lengths
+        self.hashes = gram_hashes(hash_words(list(codes))[flat], size)
+        left = np.repeat(self.ends, lengths) - np.arange(len(flat))
+        self.window = np.flatnonzero(left[: len(self.hashes)] >= size)
+        self.owner = np.repeat(np.arange(len(split)), lengths)[self.window]
+        self.ids = np.array(ids, np.int64)
+        # One character for each word: from 1 on, without the range that no string may hold.
+        letters = flat + 1
+        letters[letters >= 0xD800] += 0x800
+        self.string = letters.astype("<u4").tobytes().decode("utf-32-le")
+
+    def recurring(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Windows that start in several documents: a place and the smallest id of each, and the
+        passages that hold them in a later document."""
+        if not len(self.window):
+            return (np.empty(0, np.int64),) * 3
+        wh, own = self.hashes[self.window], self.ids[self.owner]
+        order = np.lexsort((own, wh))
+        wh, own = wh[order], own[order]
+        start = np.flatnonzero(np.r_[True, wh[1:] != wh[:-1]])
+        count = np.diff(np.r_[start, len(wh)])
+        first = own[start]
+        several = own[start + count - 1] > first
+        later = order[own > np.repeat(first, count)]
+        return self.window[order[start[several]]], first[several], np.unique(self.owner[later])
 
     def occurrences(self) -> Iterator[tuple[int, bytes]]:
-        """(id, window hashes) of passages with windows that start in an earlier document too."""
-        patterns = self.recurring()
-        if not patterns:
+        """(id, window hashes) of passages with windows that start in an earlier document too.
+
+        Hashes only say where to look: the automaton is compiled from the words of the windows,
+        and what it does not find does not count.
+        """
+        places, first, passages = self.recurring()
+        if not len(places):
             return
         automaton = ahocorasick.Automaton()
-        for window, doc in patterns.items():
-            automaton.add_word(window, doc)
+        for at, doc in zip(places.tolist(), first.tolist()):
+            automaton.add_word(self.string[at : at + self.size], doc)
         automaton.make_automaton()
-        for doc, string, hashes in zip(self.ids, self.strings, self.hashes):
-            at = [end - self.size + 1 for end, first in automaton.iter(string) if first < doc]
+        for i in passages.tolist():
+            start, doc = int(self.starts[i]), int(self.ids[i])
+            found = automaton.iter(self.string[start : int(self.ends[i])])
+            at = [start + end - self.size + 1 for end, earliest in found if earliest < doc]
             if at:
-                yield doc, gram_hashes(hashes, self.size)[at].tobytes()
+                yield doc, self.hashes[at].tobytes()
 
 
 def repeated_windows(filed: DataFrame, size: int) -> DataFrame:
@@ -154,10 +168,12 @@ def repeated_windows(filed: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["id", "flags", "text"])
 
     gathered = filed.repartition("key").sortWithinPartitions("key")
-    found = materialize(gathered.mapInArrow(run, FOUND), "repeats")
-    first = F.min("id").over(Window.partitionBy("text"))
-    single = found.where(F.col("text").isNotNull()).withColumn("_first", first).where(F.col("id") > F.col("_first"))
-    return found.where(F.col("text").isNull()).select("id", "flags").unionByName(single.select("id", "flags"))
+    found = gathered.mapInArrow(run, FOUND)
+    # One lineage for both kinds: flags pass a window of their own id, single windows that of
+    # their text.
+    same = Window.partitionBy(F.coalesce("text", F.unhex(F.hex("id"))))
+    first = found.withColumn("_first", F.min("id").over(same))
+    return first.where(F.col("text").isNull() | (F.col("id") > F.col("_first"))).select("id", "flags")
 
 
 CUT = "id bigint, n_words bigint, n_removed bigint, kept string, kept_sha256 string"
@@ -172,19 +188,24 @@ def cut_repeats(docs: DataFrame, *, size: int = SIZE, anchor: int = ANCHOR, text
     rows that share an id do not count against each other. Null, empty and short texts lose
     nothing, and an empty table gives none.
     """
-    source = numbered(docs)
-    marks = recurring_anchors(source, anchor, size)
-    filed = passages(source.join(marks, "id"), size, anchor)
+    source, _ = exact_copies(numbered(docs))
+    # A copy of an earlier text goes as a whole, and shows others nothing that the first does not.
+    copy = F.coalesce(F.col("twin") < F.col("id"), F.lit(False))
+    single = source.where(~copy)
+    marks = recurring_anchors(single, anchor, size)
+    filed = passages(single.join(marks, "id"), size, anchor)
     flags = repeated_windows(filed, size).groupBy("id").agg(F.collect_list("flags").alias("flags"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            packed = batch.column("flags").to_pylist()
-            for text, own in zip(utf8(batch, "text"), packed):
+            packed, copies = (batch.column(c).to_pylist() for c in ("flags", "copy"))
+            for text, own, copy in zip(utf8(batch, "text"), packed, copies):
                 words = text.split()
                 kept = words
-                if own:
+                if copy:
+                    kept = words if len(words) < size else []
+                elif own:
                     wanted = np.frombuffer(b"".join(own), np.uint64)
                     at = np.flatnonzero(np.isin(gram_hashes(hash_words(words), size), wanted))
                     change = np.zeros(len(words) + 1, np.int64)
@@ -201,7 +222,7 @@ def cut_repeats(docs: DataFrame, *, size: int = SIZE, anchor: int = ANCHOR, text
                 [batch.column("id"), *arrays], ["id", "n_words", "n_removed", "kept", "kept_sha256"]
             )
 
-    joined = source.join(flags, "id", "left").select("id", "text", "flags")
+    joined = source.join(flags, "id", "left").select("id", "text", copy.alias("copy"), "flags")
     return joined.mapInArrow(run, CUT).select(real_id(), "n_words", "n_removed", "kept", "kept_sha256")
 
 

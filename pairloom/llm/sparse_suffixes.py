@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.llm.anchors import (
-    COMBINE_BYTES, mark_arrays, marked, numbered, read_texts, real_id, recurring_anchors, shards,
+    COMBINE_BYTES, exact_copies, mark_arrays, marked, numbered, read_texts, real_id, recurring_anchors, shards,
 )
-from pairloom.llm.words import chunks, scrambled, utf8
-from pairloom.runtime import materialize, ship_by_value
+from pairloom.llm.words import chunks, count_words, scrambled, utf8
+from pairloom.runtime import ship_by_value
 
 SIZE, ANCHOR = 50, 8
 SHARD_ROWS = 6_000
@@ -182,16 +182,20 @@ def matched_spans(filed: DataFrame, size: int, k: int) -> DataFrame:
             yield _batch(rows, SPANS)
 
     gathered = filed.repartition("key").sortWithinPartitions("key")
-    found = materialize(gathered.mapInArrow(run, SPANS), "spans")
-    same = Window.partitionBy("text")
-    single = found.where(F.col("text").isNotNull())
+    found = gathered.mapInArrow(run, SPANS)
+    # One lineage for both kinds: spans pass a window of their own id, single windows that of
+    # their text.
     ids = F.col("id"), F.coalesce("other", "id")
-    single = single.withColumn("_lo", F.min(F.least(*ids)).over(same)).withColumn("_hi", F.max(F.greatest(*ids)).over(same))
-    single = single.where(F.col("_lo") < F.col("_hi")).withColumn(
-        "other", F.when(F.col("id") == F.col("_lo"), F.col("_hi")).otherwise(F.col("_lo"))
+    found = found.select(
+        "*", F.coalesce("text", F.unhex(F.hex("id"))).alias("_key"),
+        F.least(*ids).alias("_least"), F.greatest(*ids).alias("_most"),
     )
-    names = ["id", "row", "start", "end", "other"]
-    return found.where(F.col("text").isNull()).select(names).unionByName(single.select(names))
+    same = Window.partitionBy("_key")
+    found = found.select("*", F.min("_least").over(same).alias("_lo"), F.max("_most").over(same).alias("_hi"))
+    partner = F.when(F.col("id") == F.col("_lo"), F.col("_hi")).otherwise(F.col("_lo"))
+    kept = found.where(F.col("text").isNull() | (F.col("_lo") < F.col("_hi")))
+    other = F.when(F.col("text").isNull(), F.col("other")).otherwise(partner)
+    return kept.select("id", "row", "start", "end", other.alias("other"))
 
 
 def repeated_passages(docs: DataFrame, *, size: int = SIZE, anchor: int = ANCHOR) -> DataFrame:
@@ -203,9 +207,14 @@ def repeated_passages(docs: DataFrame, *, size: int = SIZE, anchor: int = ANCHOR
     Words are compared unchanged. Documents without an id count as one document, null and short
     texts have no passage, rows that repeat id and text are reported once.
     """
-    source = numbered(docs, F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"))
-    marks = recurring_anchors(source, anchor, size)
-    spans = matched_spans(suffixes(source.join(marks, "id"), size, anchor), size, anchor)
+    row = F.xxhash64("text").alias("row")
+    source, copied = exact_copies(numbered(docs), row, count_words("text").alias("end"))
+    # A text with a copy is a passage as a whole; its first document stands for all in the search.
+    start = F.lit(0).cast("bigint").alias("start")
+    whole = copied.where(F.col("end") >= size).select("id", "row", start, "end", F.col("twin").alias("other"))
+    single = source.where(F.coalesce(F.col("twin") > F.col("id"), F.lit(True))).withColumn("row", row)
+    marks = recurring_anchors(single, anchor, size)
+    spans = matched_spans(suffixes(single.join(marks, "id"), size, anchor), size, anchor).unionByName(whole)
     grouped = spans.groupBy("id", "row").agg(F.sort_array(F.collect_set(F.struct("start", "end", "other"))).alias("spans"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
