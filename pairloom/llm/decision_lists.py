@@ -149,15 +149,21 @@ def learn_rules(
     """Grow, prune and collect rules that reject, from rows with features and a 0/1 column ``bad``.
 
     Two thirds of the rows grow a rule condition by condition, by information gain over at
-    most ``bins`` quantile thresholds a feature; the other third drops final conditions that
+    most twice ``bins`` quantile thresholds a feature; the other third drops final conditions that
     do not help. A rule is kept if, on those rows, it covers ``support`` bad rows at least and
     its precision, less one standard error, is not below ``precision``; the list ends with the
     first that fails. Only counts per feature and bin come to the driver.
     """
+    shares = [i / bins for i in range(1, bins)]
+    some = {"all": F.lit(True), "bad": F.col(bad) == 1}
     row = stats.agg(
-        *[F.percentile_approx(f, [i / bins for i in range(1, bins)], 10_000).alias(f) for f in FEATURES]
+        *[
+            F.percentile_approx(F.when(which, F.col(f).cast("double")), shares, 10_000).alias(f"{f}_{name}")
+            for f in FEATURES for name, which in some.items()
+        ]
     ).first()
-    cuts = {f: sorted(set(row[f] or [])) for f in FEATURES}
+    # Quantiles of the bad rows besides those of all: few rows may have all that tells them apart.
+    cuts = {f: sorted({c for name in some for c in row[f"{f}_{name}"] or []}) for f in FEATURES}
     names = [f for f in FEATURES if cuts[f]]
     if not names:
         return []
