@@ -174,15 +174,15 @@ def unpatch(tokens: Column | str, c: int, h: int, w: int, p: int) -> Column:
 def fixed_length_ids(tokens: Column, vocab, length: int, pad: int) -> Column:
     """Ids of at most ``length`` tokens per row, padded to it.
 
-    ``vocab`` is a broadcast variable of (tokens, ids). The lookup is one hashed Arrow call
-    per batch.
+    ``vocab`` is a broadcast variable of an Arrow array of tokens and their ids. The lookup is
+    one hashed Arrow call per batch.
     """
 
     @F.arrow_udf("array<int>")
     def kernel(rows: pa.Array) -> pa.Array:
         words, numbers = vocab.value
         lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
-        at = pc.index_in(rows.flatten(), value_set=pa.array(words, pa.string()))
+        at = pc.index_in(rows.flatten(), value_set=words.cast(pa.string()))
         at = pc.fill_null(at, -1).to_numpy(zero_copy_only=False)
         found = np.where(at >= 0, np.asarray(numbers, np.int32)[at], pad)
         ids = np.full((len(rows), length), pad, np.int32)

@@ -12,6 +12,7 @@ from pairloom.functions.arrays import doubles, mean_squared_error, zeros
 from pairloom.functions.rand import inverse_normal, normal, sigmoid, uniform
 from pairloom.operators.latents import noise
 from pairloom.runtime import ship_by_value
+from pairloom.schemas import checked_width
 
 # Up to this width trajectories run as one window sum per dimension.
 PLAIN_WIDTH = 128
@@ -71,13 +72,20 @@ def flow_loss(
 ) -> DataFrame:
     """``loss`` per sample: mean of ``(v - v_hat)^2``. No predictions means velocity zero.
 
-    Only the loss leaves the projection; the arrays are read but not passed on.
+    Given predictions, a sample without one, or with one of another width, fails the job: left
+    out it would change the mean. Only the loss leaves the projection; the arrays are read but
+    not passed on.
     """
     if predictions is None:
         paired, guess = rows, zeros(F.size(v))
     else:
-        paired = rows.join(predictions.select(key, F.col(predicted).alias("_hat")), key)
-        guess = F.col("_hat")
+        paired = rows.join(predictions.select(key, F.col(predicted).alias("_hat")), key, "left")
+        name = F.concat(F.lit("sample "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+        guess = (
+            F.when(F.size("_hat") == F.size(v), F.col("_hat"))
+            .when(F.col("_hat").isNull(), F.raise_error(F.concat(name, F.lit(": no prediction"))))
+            .otherwise(F.raise_error(F.concat(name, F.lit(": prediction of another width"))))
+        )
     kept = [c for c in rows.columns if c not in (v, "eps", "z_t", "x")]
     return paired.select(*kept, mean_squared_error(v, guess, wide).alias("loss"))
 
@@ -90,14 +98,24 @@ def guide(
     cond: DataFrame, uncond: DataFrame | None = None, cfg: float = 2.0, *,
     on: tuple[str, ...] = ("key", "step"), v: str = "v", wide: bool = False,
 ) -> DataFrame:
-    """``v_u + cfg (v_c - v_u)``; rows without an unconditional velocity keep ``v_c``."""
+    """``v_u + cfg (v_c - v_u)``; rows without an unconditional velocity keep ``v_c``.
+
+    Velocities of different widths fail the job. They are widened to double after the join, so
+    the exchange carries them as they are stored.
+    """
     if uncond is None:
         return cond.select(*on, doubles(v).alias(v))
-    joined = cond.join(uncond.select(*on, doubles(v).alias("_u")), list(on), "left")
+    joined = cond.join(uncond.select(*on, F.col(v).alias("_u")), list(on), "left")
     if wide:
-        return joined.select(*on, kernels.blend(doubles(v), "_u", cfg).alias(v))
-    mixed = F.zip_with(doubles(v), "_u", lambda c, u: u + F.lit(float(cfg)) * (c - u))
-    return joined.select(*on, F.coalesce(mixed, doubles(v)).alias(v))
+        return joined.select(*on, kernels.blend(doubles(v), doubles("_u"), cfg).alias(v))
+    mixed = F.zip_with(doubles(v), doubles("_u"), lambda c, u: u + F.lit(float(cfg)) * (c - u))
+    return joined.select(
+        *on,
+        F.when(F.col("_u").isNull(), doubles(v))
+        .when(F.size(v) == F.size("_u"), mixed)
+        .otherwise(F.raise_error("rows differ in length"))
+        .alias(v),
+    )
 
 
 def _moves(noise_rows: DataFrame, velocity: DataFrame, n: int, key: str) -> DataFrame:
@@ -115,7 +133,7 @@ def _moves(noise_rows: DataFrame, velocity: DataFrame, n: int, key: str) -> Data
 def _replay(noise_rows, velocity, n, key, dim, predictions) -> DataFrame:
     if n < 1:
         raise ValueError("n must be at least 1")
-    rows = _moves(noise_rows, velocity, n, key)
+    rows = checked_width(_moves(noise_rows, velocity, n, key), "c", dim)
     kind = {f.name: f.dataType.simpleString() for f in rows.schema}[key]
     if dim <= PLAIN_WIDTH:
         order = Window.partitionBy(key).orderBy("step")
@@ -123,6 +141,10 @@ def _replay(noise_rows, velocity, n, key, dim, predictions) -> DataFrame:
         so_far = order.rowsBetween(Window.unboundedPreceding, last)
         left = (F.lit(n + 1) - F.col("step")).cast("double")
 
+        # Without its start a trajectory has no states.
+        begun = F.first("step").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) == 0
+        no_start = F.raise_error(F.concat(F.col(key).cast("string"), F.lit(": trajectory without a start")))
+
         def element(c: str):
             running = F.sum(c).over(so_far)
             if predictions:
@@ -132,10 +154,13 @@ def _replay(noise_rows, velocity, n, key, dim, predictions) -> DataFrame:
         # Scalars replace the array before the shuffle, which would else carry both.
         names = [f"_{i}" for i in range(dim)]
         apart = rows.select(key, "step", *[F.col("c")[i].alias(c) for i, c in enumerate(names)])
-        return apart.select(key, "step", F.array(*[element(c) for c in names]).alias("z"))
+        states = F.array(*[element(c) for c in names])
+        return apart.select(key, "step", F.when(begun, states).otherwise(no_start).alias("z"))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("step")
+        if frame["step"].iloc[0] != 0:
+            raise ValueError(f"{frame[key].iloc[0]}: trajectory without a start")
         c = np.stack(frame["c"].to_numpy())
         states = np.cumsum(c, axis=0)
         if predictions:
@@ -152,7 +177,8 @@ def replay_states(
     """Euler states of each trajectory: (key, step 0..n, z), step 0 being the start.
 
     ``noise_rows`` is (key, z), ``velocity`` (key, step, v) with steps 1..n in the order they
-    are taken, at times (n + 1 - step) / n. A group is one trajectory of n + 1 rows.
+    are taken, at times (n + 1 - step) / n. A group is one trajectory of n + 1 rows. Arrays
+    must be ``dim`` wide and every trajectory must have its start; else the job fails.
     """
     return _replay(noise_rows, velocity, n, key, dim, predictions=False)
 

@@ -9,23 +9,38 @@ from pyspark.sql import functions as F
 
 
 def timestep_bin(t: Column | str, bins: int = 10) -> Column:
+    """Bin of a timestep; what lies outside [0, 1) counts in the first or last, NULL in none."""
     time = F.col(t) if isinstance(t, str) else t
-    return F.least(F.floor(time * bins), F.lit(bins - 1)).cast("int")
+    place = F.greatest(F.least(F.floor(time * bins), F.lit(bins - 1)), F.lit(0))
+    return F.when(time.isNotNull(), place).cast("int")
 
 
-def loss_by_bin(df: DataFrame, bins: int = 10, *, t: str = "t", loss: str = "loss") -> DataFrame:
-    """(bin, loss, n) for every bin; an empty one has loss 0.0 and count 0."""
-    sums = df.groupBy(timestep_bin(t, bins).alias("bin")).agg(
-        F.sum(loss).alias("_sum"), F.count("*").alias("_n")
+def loss_by_bin(
+    df: DataFrame, bins: int = 10, *, t: str = "t", loss: str = "loss", by: tuple[str, ...] = ()
+) -> DataFrame:
+    """(by..., bin, loss, n) for every bin of every group; an empty one has loss 0.0 and count 0.
+
+    ``by`` are group keys such as a run or a log window. A row without a timestep fails the
+    job. Sums are kept per bin beside each other, so each group is one row until the end.
+    """
+    place = F.coalesce(timestep_bin(t, bins), F.raise_error("a row has no timestep").cast("int"))
+    sums = df.select(*by, place.alias("_bin"), F.col(loss).alias("_loss")).groupBy(*by).agg(
+        *[F.sum(F.when(F.col("_bin") == b, F.col("_loss"))).alias(f"_s{b}") for b in range(bins)],
+        *[F.count(F.when(F.col("_bin") == b, 1)).alias(f"_n{b}") for b in range(bins)],
     )
-    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    # At most one row per bin on either side.
-    n = F.coalesce("_n", F.lit(0))
-    return every.join(F.broadcast(sums), "bin", "left").select(
-        "bin",
-        (F.coalesce("_sum", F.lit(0.0)) / F.greatest(n, F.lit(1))).alias("loss"),
-        n.alias("n"),
+    each = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(b).alias("bin"),
+                    (F.coalesce(f"_s{b}", F.lit(0.0)) / F.greatest(f"_n{b}", F.lit(1))).alias("loss"),
+                    F.col(f"_n{b}").alias("n"),
+                )
+                for b in range(bins)
+            ]
+        )
     )
+    return sums.select(*by, each.alias("_each")).select(*by, "_each.*")
 
 
 def learning_rate(step: Column, base_lr: float, max_steps: int) -> Column:
@@ -79,8 +94,9 @@ def train_log(
     )
 
 
-def eval_summary(batch_losses: DataFrame, n: int = 21, *, batch: str = "batch_id") -> DataFrame:
-    """Unweighted mean loss of the first ``n`` batches."""
-    return batch_losses.where(F.col(batch) < n).agg(
+def eval_summary(batch_losses: DataFrame, n: int | None = None, *, batch: str = "batch_id") -> DataFrame:
+    """Unweighted mean loss of all batches, or of the first ``n``."""
+    used = batch_losses if n is None else batch_losses.where(F.col(batch) < n)
+    return used.agg(
         F.avg("loss").alias("loss"), F.count("*").alias("batches")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -21,6 +22,7 @@ from pairloom.runtime import (
     BROADCAST_BYTES,
     HOT_ROWS,
     lookup_join,
+    materialize,
     measured_bytes,
     ship_by_value,
     skewed_join,
@@ -67,7 +69,7 @@ def build_vocab(df: DataFrame, text_col: str, size: int) -> DataFrame:
 
 def encode_fixed_length(
     df: DataFrame, vocab: DataFrame, length: int = 128, *, key: str = "id", text_col: str = "caption",
-    vocab_bytes: int | None = None, out: str = "ids", broadcast_bytes: int = BROADCAST_BYTES,
+    out: str = "ids", broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(key, ids): exactly ``length`` ids per row, cut or padded with the unknown id.
 
@@ -77,7 +79,7 @@ def encode_fixed_length(
     a broadcast for a vocabulary of checked size and a salted join beyond. Pass a stored
     vocabulary: one still to be built is built again for each use.
     """
-    size = measured_bytes(vocab, "token") if vocab_bytes is None else vocab_bytes
+    size = measured_bytes(vocab, "token")
     placed = df.select(key, first_tokens(text_col, length).alias("_tokens")).repartition(key)
     long = placed.select(key, F.posexplode_outer("_tokens").alias("_pos", "token"))
     found = lookup_join(
@@ -91,28 +93,42 @@ def encode_fixed_length(
     return found.groupBy(key).agg(padded.alias(out))
 
 
+@dataclass
+class SharedVocab:
+    """A vocabulary made ready once for many uses: a broadcast variable if it is small enough."""
+
+    table: DataFrame
+    entries: object | None
+
+
+def share_vocab(vocab: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> SharedVocab:
+    """Measure a vocabulary and, within ``broadcast_bytes``, send it to the tasks."""
+    if measured_bytes(vocab, "token") > broadcast_bytes:
+        return SharedVocab(vocab, None)
+    found = vocab.select("token", F.col("id").cast("int").alias("id")).toArrow().combine_chunks()
+    tokens, ids = found["token"].combine_chunks(), found["id"].to_numpy()
+    return SharedVocab(vocab, vocab.sparkSession.sparkContext.broadcast((tokens, ids)))
+
+
 def encode_in_place(
-    df: DataFrame, vocab: DataFrame, length: int = 128, *, key: str = "id", text_col: str = "caption",
-    vocab_bytes: int | None = None, out: str = "ids", broadcast_bytes: int = BROADCAST_BYTES,
+    df: DataFrame, vocab: DataFrame | SharedVocab, length: int = 128, *, text_col: str = "caption",
+    out: str = "ids", broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Like :func:`encode_fixed_length`, but keeps all columns and moves no row.
+    """Like :func:`encode_fixed_length`, but keeps all columns and every row, whatever its key.
 
-    A vocabulary of checked size travels to the tasks as a broadcast variable. A larger one
-    is joined, and the ids are joined back by key.
+    A vocabulary of checked size travels to the tasks as a broadcast variable, and no row
+    moves. For a larger one the rows are stored with a number of their own, by which the ids
+    are joined back.
     """
-    size = measured_bytes(vocab, "token") if vocab_bytes is None else vocab_bytes
-    if size > broadcast_bytes:
+    shared = vocab if isinstance(vocab, SharedVocab) else share_vocab(vocab, broadcast_bytes)
+    if shared.entries is None:
+        tagged = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "captions")
         ids = encode_fixed_length(
-            df, vocab, length, key=key, text_col=text_col, vocab_bytes=size, out=out,
-            broadcast_bytes=broadcast_bytes,
+            tagged, shared.table, length, key="_row", text_col=text_col, out=out, broadcast_bytes=broadcast_bytes,
         )
-        return df.join(ids, key)
-    entries = vocab.select("token", F.col("id").cast("int").alias("id")).toArrow()
-    shared = df.sparkSession.sparkContext.broadcast(
-        (entries["token"].to_pylist(), entries["id"].to_pylist())
-    )
+        return tagged.join(ids, "_row").select(*df.columns, out)
     cut = first_tokens(text_col, length)
-    return df.withColumn(out, kernels.fixed_length_ids(cut, shared, length, UNK))
+    return df.withColumn(out, kernels.fixed_length_ids(cut, shared.entries, length, UNK))
 
 
 def expand_prompts(df: DataFrame, n: int) -> DataFrame:

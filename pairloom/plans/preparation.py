@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.arrays import normalize_latent
 from pairloom.operators.samples import extract_caption, is_json, with_reject_reason
-from pairloom.operators.text import encode_in_place
+from pairloom.operators.text import SharedVocab, encode_in_place
 
 OK = "ok"
 
 
 def prepare(
-    raw: DataFrame, vocab: DataFrame, *, shift: float, scale: float, length: int = 128,
-    vocab_bytes: int | None = None, wide: bool = False,
+    raw: DataFrame, vocab: DataFrame | SharedVocab, *, shift: float, scale: float, length: int = 128,
+    wide: bool = False,
 ) -> DataFrame:
     """(id, url, caption, ids, latent, verdict) of rows shaped like ``schemas.RAW_SAMPLE``.
 
@@ -29,7 +29,7 @@ def prepare(
         "no_latent": F.col("latent").isNotNull(),
     }
     tagged = with_reject_reason(extract_caption(raw), rules)
-    encoded = encode_in_place(tagged, vocab, length, vocab_bytes=vocab_bytes)
+    encoded = encode_in_place(tagged, vocab, length)
     fine = F.col("reason").isNull()
     latent = normalize_latent("latent", shift, scale, wide)
     return encoded.select(

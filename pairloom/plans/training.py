@@ -10,11 +10,12 @@ from pairloom.operators.epochs import caption_dropout, epoch_limit, with_batches
 from pairloom.operators.flow import batch_loss, flow_loss, make_flow_rows, sample_timesteps
 from pairloom.operators.index import with_index
 from pairloom.operators.metrics import eval_summary, loss_by_bin
+from pairloom.runtime import materialize
 
 
 def training_rows(
-    placed: DataFrame, *, shift: float, scale: float, seed: int, epoch: int, p: float = 0.1,
-    dropout: str = "reference", mode: str = "logit_normal", source: str = "md5",
+    placed: DataFrame, *, shift: float, scale: float, seed: int, epoch: int, dropout: str, p: float = 0.1,
+    mode: str = "logit_normal", source: str = "md5",
 ) -> DataFrame:
     """Model inputs and targets of samples that have a ``batch_id`` and ``pos``.
 
@@ -41,18 +42,24 @@ def step_losses(
 
 def evaluate(
     samples: DataFrame, predictions: DataFrame | None = None, *, shift: float, scale: float,
-    seed: int, b: int = 64, max_items: int = 2_000, batches: int = 21, key: str = "id",
-    wide: bool = False,
+    seed: int, b: int = 64, max_items: int | None = None, batches: int | None = None,
+    key: str = "id", wide: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(summary, loss by timestep bin) of held-out samples in key order.
 
-    Only keys are sorted; latents are joined to their places afterwards.
+    All samples count unless ``max_items`` or ``batches`` limits them. Only keys are sorted;
+    latents are joined to their places afterwards. The losses, one narrow row per sample, are
+    stored once and both reports read them.
     """
-    order = epoch_limit(with_batches(with_index(samples.select(key), key), b), max_items, b)
-    used = order.where(F.col("batch_id") < batches).drop("idx")
+    order = with_batches(with_index(samples.select(key), key), b)
+    if max_items is not None:
+        order = epoch_limit(order, max_items, b)
+    if batches is not None:
+        order = order.where(F.col("batch_id") < batches)
     rows = training_rows(
-        used.join(samples, key), shift=shift, scale=scale, seed=seed, epoch=0,
-        source="philox" if wide else "md5",
+        order.drop("idx").join(samples, key), shift=shift, scale=scale, seed=seed, epoch=0,
+        dropout="reference", source="philox" if wide else "md5",
     )
-    losses = flow_loss(rows, predictions, key="slot", wide=wide)
-    return eval_summary(batch_loss(losses), batches), loss_by_bin(losses)
+    losses = flow_loss(rows, predictions, key="slot", wide=wide).select("slot", "batch_id", "t", "loss")
+    losses = materialize(losses, "losses")
+    return eval_summary(batch_loss(losses)), loss_by_bin(losses)

@@ -92,13 +92,13 @@ def skewed_join(
     ``other`` has each key once. Keys with more than ``hot_rows`` rows are found by a count
     that is combined before its shuffle; there can be only rows / ``hot_rows`` of them. Their
     rows spread over ``salts`` tasks by a hash of ``salt_by`` (all columns by default) and
-    only their matches are copied.
+    only their matches are copied. Rows without a key match nothing and spread as well.
     """
     counts = df.groupBy(key).agg(F.count("*").alias("_n"))
     hot = counts.where(F.col("_n") > hot_rows).select(key, F.lit(True).alias("_hot"))
     row_hash = F.pmod(F.xxhash64(*(salt_by or df.columns)), F.lit(salts)).cast("int")
     spread = df.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), row_hash).otherwise(0)
+        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), row_hash).otherwise(0)
     )
     every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     copies = other.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(every))

@@ -13,18 +13,18 @@ def load_metadata_shards(
 ) -> DataFrame:
     """Concatenate shards 0..n-1 in one scan.
 
-    With ``schema`` nothing is inferred. Without, every shard must have the first one's
-    columns and types; this reads footers only.
+    Every shard must have, in any order, the columns and types of ``schema``, or of the first shard if none
+    is given; this reads footers only.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
     paths = [f"{folder.rstrip('/')}/{pattern.format(i=i)}" for i in range(n)]
-    if schema is None:
-        found = [[(f.name, f.dataType) for f in spark.read.parquet(p).schema] for p in paths]
-        for path, fields in zip(paths, found):
-            if fields != found[0]:
-                raise ValueError(f"{path} has schema {fields}, expected {found[0]}")
-        schema = spark.read.parquet(paths[0]).schema
+    for path in paths:
+        found = spark.read.parquet(path).schema
+        schema = schema or found
+        fields, wanted = (sorted((f.name, f.dataType.simpleString()) for f in s) for s in (found, schema))
+        if fields != wanted:
+            raise ValueError(f"{path} has schema {fields}, expected {wanted}")
     return spark.read.schema(schema).parquet(*paths)
 
 
@@ -43,12 +43,21 @@ def project_manifest(
 
 
 def _landed(payloads: DataFrame, timeout_s: float, key: str) -> DataFrame:
-    """(key, data, status). Bytes of timed-out fetches go before anything is shuffled."""
+    """(key, data, status), one row per key: a fetch that landed again counts once, the best first.
+
+    Bytes of timed-out fetches go before anything is shuffled.
+    """
     late = F.col("elapsed_s") > timeout_s
     status = (
         F.when(late, F.lit("timeout")).when(F.col("data").isNull(), F.lit("missing")).otherwise("ok")
     )
-    return payloads.select(key, F.when(~late, F.col("data")).alias("data"), status.alias("status"))
+    data = F.when(~late, F.col("data"))
+    rank = F.when(status == "ok", 0).when(status == "timeout", 1).otherwise(2)
+    tried = payloads.select(
+        key, F.struct(data.alias("data"), status.alias("status")).alias("_got"),
+        F.struct(rank.alias("rank"), "elapsed_s", F.xxhash64("data").alias("hash")).alias("_order"),
+    )
+    return tried.groupBy(key).agg(F.min_by("_got", "_order").alias("_got")).select(key, "_got.*")
 
 
 def attach_payloads(
@@ -57,7 +66,8 @@ def attach_payloads(
     """Manifest rows with their landed ``data`` and a ``status``: ok, missing or timeout.
 
     A fetch slower than ``timeout_s`` counts as timed out and its bytes are dropped.
-    ``payloads`` has one row per key: (key, data, elapsed_s).
+    ``payloads`` is (key, data, elapsed_s); of several rows of a key a usable one counts, the
+    fastest if there are more. The join uses the grouping of that choice, so bytes move once.
     """
     joined = manifest.join(_landed(payloads, timeout_s, key), key, "left")
     return joined.withColumn("status", F.coalesce("status", F.lit("missing")))
@@ -67,7 +77,7 @@ def retry_list(
     manifest: DataFrame, payloads: DataFrame, timeout_s: float = 8, *, key: str = "id"
 ) -> DataFrame:
     """Manifest rows without a usable payload. No payload byte is shuffled."""
-    usable = _landed(payloads, timeout_s, key).where("status = 'ok'").select(key)
+    usable = payloads.where((F.col("elapsed_s") <= timeout_s) & F.col("data").isNotNull()).select(key)
     return manifest.join(usable, key, "left_anti")
 
 

@@ -464,7 +464,7 @@ def with_learning_rate(spark, sf):
 
 def eval_summary(spark, sf):
     log = fx.step_log(spark, sf).withColumn("batch_id", F.floor(F.col("step") / 64).cast("bigint"))
-    return metrics.eval_summary(flow.batch_loss(log)).withColumn("loss", r("loss"))
+    return metrics.eval_summary(flow.batch_loss(log), 21).withColumn("loss", r("loss"))
 
 
 def with_run_events(spark, sf):
@@ -559,7 +559,7 @@ def train_epoch(spark, sf):
     n = pool.select("shard").distinct().count()
     plan = plan_epoch(pool, epoch=3, seed=SEED, b=16, max_items=10**9, n_draws=n, buf=100)
     rows = training_rows(
-        attach_rows(plan, pool), shift=fx.SHIFT, scale=fx.SCALE, seed=SEED, epoch=3
+        attach_rows(plan, pool), shift=fx.SHIFT, scale=fx.SCALE, seed=SEED, epoch=3, dropout="reference"
     )
     losses = step_losses(rows, None, first_step=1000, epoch=3)
     kept = rows.groupBy((F.col("batch_id") + 1000).alias("step")).agg(F.count_if("kept").alias("kept"))

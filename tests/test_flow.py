@@ -108,3 +108,26 @@ def test_wide_profile_agrees_in_distribution(spark):
     ]
     for k in set(both[0]) & set(both[1]):
         assert abs(both[0][k] - both[1][k]) < 0.25
+
+
+@pytest.mark.parametrize("wide", [True, False])
+def test_missing_and_misfit_predictions_fail(spark, wide):
+    rows = spark.createDataFrame([(1, 0, [1.0, 3.0]), (2, 0, [0.0, 0.0])], "id int, batch_id int, v array<double>")
+    for guess in ([(1, [0.0, 1.0])], [(1, [0.0, 1.0]), (2, [1.0])]):
+        table = spark.createDataFrame(guess, "id int, v_hat array<double>")
+        with pytest.raises(Exception, match="sample 2"):
+            flow.flow_loss(rows, table, wide=wide).collect()
+    uneven = spark.createDataFrame([(1, 1, [2.0])], "key int, step int, v array<double>")
+    other = spark.createDataFrame([(1, 1, [2.0, 3.0])], "key int, step int, v array<double>")
+    with pytest.raises(Exception, match="differ in length"):
+        flow.guide(other, uneven, wide=wide).collect()
+
+
+@pytest.mark.parametrize("width", [0, 128])
+def test_replay_refuses_other_widths_and_orphans(spark, width, monkeypatch):
+    monkeypatch.setattr(flow, "PLAIN_WIDTH", width)
+    noise, velocity = trajectory(spark)
+    with pytest.raises(Exception, match="expected 2 values"):
+        flow.replay_states(noise, velocity, 2, dim=2).collect()
+    with pytest.raises(Exception, match="without a start"):
+        flow.replay_states(noise.limit(0), velocity, 2, dim=1).collect()

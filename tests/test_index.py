@@ -53,3 +53,20 @@ def test_arrival_index_with_many_files_salts_instead(spark, tmp_path, monkeypatc
     )
     rows = index.with_arrival_index(spark.read.parquet(path)).collect()
     assert sorted(r["idx"] for r in rows) == list(range(500))
+
+
+def test_rows_without_a_key_spread(spark):
+    from pairloom.runtime import skewed_join
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), "id")
+        other = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+        joined = skewed_join(df, other, "k", salt_by=["id"])
+        at = joined.where(F.col("k").isNull()).select(F.spark_partition_id().alias("p")).distinct().count()
+        assert joined.count() == 4000 and joined.where("v = 1").count() == 50
+        assert at > 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

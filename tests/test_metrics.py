@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from pairloom.operators import metrics
@@ -45,5 +46,16 @@ def test_log_row_at_step_zero(spark):
 
 def test_eval_reads_21_batches(spark):
     df = spark.range(31).select(F.col("id").alias("batch_id"), F.col("id").cast("double").alias("loss"))
-    row = metrics.eval_summary(df).first()
+    row = metrics.eval_summary(df, 21).first()
     assert row["loss"] == 10.0 and row["batches"] == 21
+    assert metrics.eval_summary(df).first()["batches"] == 31
+
+
+def test_bins_keep_every_row(spark):
+    df = spark.createDataFrame([(1, -0.5, 2.0), (1, 0.05, 4.0), (1, 1.5, 3.0), (2, 0.95, 5.0)], "run int, t double, loss double")
+    rows = {r["bin"]: (r["loss"], r["n"]) for r in metrics.loss_by_bin(df).collect()}
+    assert rows[0] == (3.0, 2) and rows[9] == (4.0, 2) and sum(n for _, n in rows.values()) == 4
+    by_run = {(r["run"], r["bin"]): (r["loss"], r["n"]) for r in metrics.loss_by_bin(df, by=("run",)).collect()}
+    assert len(by_run) == 20 and by_run[1, 9] == (3.0, 1) and by_run[2, 9] == (5.0, 1) and by_run[2, 0] == (0.0, 0)
+    with pytest.raises(Exception, match="no timestep"):
+        metrics.loss_by_bin(df.withColumn("t", F.lit(None).cast("double"))).collect()

@@ -126,3 +126,23 @@ def test_decode_members(spark):
     df = spark.createDataFrame([("caption.txt", "é".encode()), ("vae_latent.pth", b"\x80"), ("jpg", b"\xff")], "ext string, data binary")
     out = tar.decode_members(df).collect()
     assert [(r["kind"], r["text"]) for r in out] == [("text", "é"), ("tensor", None), ("raw", None)]
+
+
+def test_given_schema_is_checked(spark, tmp_path):
+    spark.range(2).selectExpr("id", "'x' AS url").write.parquet(f"{tmp_path}/metadata.00.parquet")
+    spark.range(2).selectExpr("id", "'x' AS link").write.parquet(f"{tmp_path}/metadata.01.parquet")
+    schema = spark.read.parquet(f"{tmp_path}/metadata.00.parquet").schema
+    with pytest.raises(ValueError, match="01"):
+        manifest.load_metadata_shards(spark, str(tmp_path), 2, schema=schema)
+    assert manifest.load_metadata_shards(spark, str(tmp_path), 1, schema=schema).count() == 2
+
+
+def test_payload_that_landed_twice_counts_once(spark):
+    rows = spark.createDataFrame([(1,), (2,)], "id int")
+    landed = spark.createDataFrame(
+        [(1, b"late", 9.0), (1, b"slow", 3.0), (1, b"fast", 1.0), (2, None, 1.0), (2, b"late", 20.0)],
+        "id int, data binary, elapsed_s double",
+    )
+    got = {r["id"]: (r["data"], r["status"]) for r in manifest.attach_payloads(rows, landed).collect()}
+    assert got == {1: (bytearray(b"fast"), "ok"), 2: (None, "timeout")}
+    assert [r["id"] for r in manifest.retry_list(rows, landed).collect()] == [2]

@@ -140,3 +140,12 @@ def test_first_tokens_are_the_first_of_all(spark, docs, n):
     both = docs.unionAll(odd)
     rows = both.select(text.first_tokens("caption", n).alias("a"), F.slice(text.tokens("caption"), 1, n).alias("b"))
     assert all(r["a"] == r["b"] for r in rows.collect())
+
+
+def test_encoding_is_the_same_on_both_sides_of_the_limit(spark):
+    df = spark.createDataFrame([(1, "a b"), (1, "b c"), (None, "a"), (2, None)], "id int, caption string")
+    vocab = spark.createDataFrame([("a", 1), ("b", 2)], "token string, id int")
+    both = [
+        sorted(map(str, text.encode_in_place(df, vocab, 3, broadcast_bytes=limit).collect())) for limit in (0, 1 << 20)
+    ]
+    assert both[0] == both[1] and len(both[0]) == 4
