@@ -11,19 +11,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.llm.anchors import (
     COMBINE_BYTES, exact_copies, mark_arrays, marked, numbered, read_texts, real_id, recurring_anchors, shards,
 )
-from pairloom.llm.words import chunks, count_words, scrambled, utf8
+from pairloom.llm.words import chunks, count_words, gram_hashes, hash_words, scrambled, utf8
 from pairloom.runtime import ship_by_value
 
 SIZE, ANCHOR = 50, 8
 SHARD_ROWS = 6_000
 SUFFIXES = "key bigint, id bigint, row bigint, at bigint, left int, text binary, other bigint, size int"
-SPANS = "id bigint, row bigint, start bigint, end bigint, other bigint, text binary"
+SPANS = "id bigint, row bigint, start bigint, end bigint, other bigint, window bigint"
 REPEATS = "id bigint, start_word bigint, end_word bigint, other_id bigint"
 
 
@@ -148,53 +149,76 @@ def matches(
     return [(int(i), int(left[i] - high[i]), int(left[i] - low[i] + size), int(other[i])) for i in np.flatnonzero(high >= 0)]
 
 
-def matched_spans(filed: DataFrame, size: int, k: int) -> DataFrame:
-    """(id, row, start, end, other) of passages that another document has too.
+def _refiled(suffix: tuple, size: int, k: int) -> Iterator[tuple]:
+    """A suffix of a very common anchor under longer keys.
 
-    Anchors with more suffixes than a shard holds are cut into single windows, which are
-    compared by their text.
+    Of ``size`` words half at least lie to the right of the anchor's start or half to its left,
+    so two suffixes that match share the words of one of these halves.
     """
+    _, doc, row, at, left, text, other, _ = suffix
+    words, half = text.split(b" "), size // 2
+    if len(words) - left >= half:
+        yield _long_key(b"right", words[left : left + max(half, k)]), doc, row, at, left, text, other, None
+    if left >= half:
+        yield _long_key(b"left", words[left - half : left + k]), doc, row, at, left, text, other, None
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for hot, batch in shards(batches, SHARD_ROWS):
-            columns = {c: batch.column(c).to_pylist() for c in ("id", "row", "at", "left", "text", "other", "size")}
-            rows = [
-                (i, r, at, at + n, other, None)
-                for i, r, at, n, other in zip(*(columns[c] for c in ("id", "row", "at", "size", "other")))
-                if n is not None
-            ]
-            real = [i for i, text in enumerate(columns["text"]) if text is not None]
-            texts = [columns["text"][i] for i in real]
-            if hot:
-                for i, text in zip(real, texts):
-                    words, at = text.split(b" "), columns["at"][i]
-                    rows += [
-                        (columns["id"][i], columns["row"][i], at + j, at + j + size, columns["other"][i], b" ".join(words[j : j + size]))
-                        for j in range(len(words) - size + 1)
-                    ]
-            elif real:
-                pick = lambda c: np.array([columns[c][i] for i in real], np.int64)
-                key = batch.column("key").to_numpy()[real]
-                columns["other"] = [i if o is None else o for i, o in zip(columns["id"], columns["other"])]
-                for i, s, e, other in matches(key, pick("id"), pick("other"), pick("left"), texts, size, k):
-                    at = columns["at"][real[i]]
-                    rows.append((columns["id"][real[i]], columns["row"][real[i]], at + s, at + e, other, None))
-            yield _batch(rows, SPANS)
-
-    gathered = filed.repartition("key").sortWithinPartitions("key")
-    found = gathered.mapInArrow(run, SPANS)
-    # One lineage for both kinds: spans pass a window of their own id, single windows that of
-    # their text.
+
+def _long_key(side: bytes, words: list[bytes]) -> int:
+    return xxhash.xxh3_64_intdigest(b" ".join([side, *words])) - (1 << 63)
+
+
+def _search(batches: Iterator[pa.RecordBatch], size: int, k: int, last: bool) -> Iterator[pa.RecordBatch]:
+    """Spans found in a sorted partition of suffixes; spans found before pass through.
+
+    Suffixes of a run that is too long for a shard go on: under longer keys, or in the ``last``
+    round as hashes of their single windows.
+    """
+    for hot, batch in shards(batches, SHARD_ROWS):
+        rows = list(zip(*(c.to_pylist() for c in batch.columns)))
+        real = [r for r in rows if r[5] is not None]
+        out = [r for r in rows if r[5] is None]
+        if hot and not last:
+            out += [new for r in real for new in _refiled(r, size, k)]
+        elif real and not hot:
+            array = lambda c: np.array([r[c] for r in real], np.int64)
+            others = np.array([r[1] if r[6] is None else r[6] for r in real], np.int64)
+            for i, s, e, other in matches(array(0), array(1), others, array(4), [r[5] for r in real], size, k):
+                _, doc, row, at, *_ = real[i]
+                out.append((doc ^ row, doc, row, at + s, None, None, other, e - s))
+        if not last:
+            yield _batch(out, SUFFIXES)
+            continue
+        yield _batch([(doc, row, at, at + n, other, None) for _, doc, row, at, _, _, other, n in out], SPANS)
+        for start in range(0, len(real) if hot else 0, 500):
+            single = []
+            for _, doc, row, at, _, text, other, _ in real[start : start + 500]:
+                hashes = gram_hashes(hash_words(text.split(b" ")), size).view(np.int64).tolist()
+                single += [(doc, row, at + j, at + j + size, other, h) for j, h in enumerate(hashes)]
+            yield _batch(single, SPANS)
+
+
+def matched_spans(filed: DataFrame, size: int, k: int) -> DataFrame:
+    """(id, row, start, end, other) of passages that another document has too."""
+
+    def search(suffixes: DataFrame, schema: str, last: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return _search(batches, size, k, last)
+
+        return suffixes.repartition("key").sortWithinPartitions("key").mapInArrow(run, schema)
+
+    found = search(search(filed, SUFFIXES, False), SPANS, True)
+    # One lineage for both kinds: spans pass a window of their own, single windows that of their
+    # hash.
     ids = F.col("id"), F.coalesce("other", "id")
     found = found.select(
-        "*", F.coalesce("text", F.unhex(F.hex("id"))).alias("_key"),
-        F.least(*ids).alias("_least"), F.greatest(*ids).alias("_most"),
+        "*", F.coalesce("window", F.xxhash64("id", "row", "start")).alias("_key"),
+        F.least(*ids).alias("_least"), F.greatest(*ids).alias("_most"), F.col("window").isNotNull().alias("_single"),
     )
-    same = Window.partitionBy("_key")
+    same = Window.partitionBy("_key", "_single")
     found = found.select("*", F.min("_least").over(same).alias("_lo"), F.max("_most").over(same).alias("_hi"))
     partner = F.when(F.col("id") == F.col("_lo"), F.col("_hi")).otherwise(F.col("_lo"))
-    kept = found.where(F.col("text").isNull() | (F.col("_lo") < F.col("_hi")))
-    other = F.when(F.col("text").isNull(), F.col("other")).otherwise(partner)
+    kept = found.where(~F.col("_single") | (F.col("_lo") < F.col("_hi")))
+    other = F.when(F.col("_single"), partner).otherwise(F.col("other"))
     return kept.select("id", "row", "start", "end", other.alias("other"))
 
 
