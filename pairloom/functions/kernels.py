@@ -193,4 +193,35 @@ def fixed_length_ids(tokens: Column, vocab, length: int, pad: int) -> Column:
     return kernel(tokens)
 
 
+def pooled_rows(ids: Column | str, table, pad: int | None, block: int = 256) -> Column:
+    """Mean of the table's vectors at a row's ids, taken modulo its size.
+
+    ``table`` is a broadcast matrix. Positions with the id ``pad`` do not count; a row without
+    any other has zeros. Rows are gathered in blocks, so that a batch of long rows stays small.
+    """
+
+    @F.arrow_udf("array<double>")
+    def kernel(rows: pa.Array) -> pa.Array:
+        matrix = table.value
+        values, lengths, missing = _flat(rows)
+        ends = np.cumsum(lengths)
+        out = np.zeros((len(rows), matrix.shape[1]))
+        for start in range(0, len(rows), block):
+            stop = min(start + block, len(rows))
+            first, last = ends[start] - lengths[start], ends[stop - 1]
+            own = values[first:last].astype(np.int64)
+            vectors = matrix[own % len(matrix)].astype(np.float64)
+            used = np.ones(len(own), bool) if pad is None else own != pad
+            vectors[~used] = 0.0
+            some = np.flatnonzero(lengths[start:stop])
+            begin = (ends[start:stop] - lengths[start:stop] - first)[some]
+            if len(begin):
+                counts = np.add.reduceat(used.astype(np.int64), begin)
+                out[start + some] = np.add.reduceat(vectors, begin, axis=0) / np.maximum(counts, 1)[:, None]
+        width = np.where(missing, 0, matrix.shape[1])
+        return _lists(out[~missing].reshape(-1), width, missing, pa.float64())
+
+    return kernel(as_column(ids))
+
+
 ship_by_value(__name__)

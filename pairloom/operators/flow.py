@@ -48,14 +48,16 @@ def sample_timesteps(
 
 def make_flow_rows(
     df: DataFrame, seed: int = 12, *, key: str = "id", epoch: int = 0, x: str = "x", t: str = "t",
-    source: str = "md5",
+    source: str = "md5", wide: bool | None = None,
 ) -> DataFrame:
     """Add noise ``eps``, the interpolated ``z_t`` and the target velocity ``v``.
 
-    ``source="philox"`` also interpolates in Arrow batches; use it for wide latents.
+    ``wide`` interpolates in Arrow batches, which pays for wide latents; by default it is on
+    with ``source="philox"``.
     """
+    wide = source == "philox" if wide is None else wide
     drawn = df.withColumn("eps", noise(F.size(x), source, seed, "eps", epoch, key))
-    if source == "philox":
+    if wide:
         both = drawn.withColumn("_flow", kernels.interpolate(x, t, "eps"))
         return both.select("*", "_flow.z_t", "_flow.v").drop("_flow")
     data, time = doubles(x), F.col(t)
@@ -130,12 +132,12 @@ def _moves(noise_rows: DataFrame, velocity: DataFrame, n: int, key: str) -> Data
     return start.unionByName(moves)
 
 
-def _replay(noise_rows, velocity, n, key, dim, predictions) -> DataFrame:
+def _replay(noise_rows, velocity, n, key, dim, predictions, wide) -> DataFrame:
     if n < 1:
         raise ValueError("n must be at least 1")
     rows = checked_width(_moves(noise_rows, velocity, n, key), "c", dim)
     kind = {f.name: f.dataType.simpleString() for f in rows.schema}[key]
-    if dim <= PLAIN_WIDTH:
+    if dim <= PLAIN_WIDTH if wide is None else not wide:
         order = Window.partitionBy(key).orderBy("step")
         last = -1 if predictions else Window.currentRow
         so_far = order.rowsBetween(Window.unboundedPreceding, last)
@@ -172,25 +174,28 @@ def _replay(noise_rows, velocity, n, key, dim, predictions) -> DataFrame:
 
 
 def replay_states(
-    noise_rows: DataFrame, velocity: DataFrame, n: int = 50, *, dim: int, key: str = "key"
+    noise_rows: DataFrame, velocity: DataFrame, n: int = 50, *, dim: int, key: str = "key",
+    wide: bool | None = None,
 ) -> DataFrame:
     """Euler states of each trajectory: (key, step 0..n, z), step 0 being the start.
 
     ``noise_rows`` is (key, z), ``velocity`` (key, step, v) with steps 1..n in the order they
     are taken, at times (n + 1 - step) / n. A group is one trajectory of n + 1 rows. Arrays
-    must be ``dim`` wide and every trajectory must have its start; else the job fails.
+    must be ``dim`` wide and every trajectory must have its start; else the job fails. ``wide``
+    sums whole arrays in groups instead of one window per dimension; by default the width decides.
     """
-    return _replay(noise_rows, velocity, n, key, dim, predictions=False)
+    return _replay(noise_rows, velocity, n, key, dim, predictions=False, wide=wide)
 
 
 def replay_predictions(
-    noise_rows: DataFrame, velocity: DataFrame, n: int = 50, *, dim: int, key: str = "key"
+    noise_rows: DataFrame, velocity: DataFrame, n: int = 50, *, dim: int, key: str = "key",
+    wide: bool | None = None,
 ) -> DataFrame:
     """The start, then per step the clean sample its velocity points at.
 
     With i = n + 1 - step left to go, that is the state before the step minus ``i v / n``.
     """
-    return _replay(noise_rows, velocity, n, key, dim, predictions=True)
+    return _replay(noise_rows, velocity, n, key, dim, predictions=True, wide=wide)
 
 
 ship_by_value(__name__)

@@ -7,6 +7,7 @@ import types
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -182,6 +183,29 @@ def mean_pool(
     )
 
 
+def pool_embeddings(
+    df: DataFrame, table: DataFrame, *, key: str = "id", ids: str = "ids", table_id: str = "token_id",
+    vec: str = "vec", dim: int, mask_padding: bool = False, out: str = "pooled",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """(key, pooled): the mean vector of each row's ids.
+
+    A table of checked size travels to the tasks, which gather and average in place: nothing is
+    exploded and no row moves. A larger one is looked up per position and averaged by ``key``,
+    which must then be unique. The table's ids must be 0..rows-1.
+    """
+    if measured_bytes(table, vec) > broadcast_bytes:
+        found = lookup_embeddings(
+            df, table, key=key, ids=ids, table_id=table_id, vec=vec, broadcast_bytes=broadcast_bytes
+        )
+        return mean_pool(found, key, dim=dim, mask_padding=mask_padding, out=out)
+    rows = table.select(F.col(table_id).alias("at"), F.col(vec).alias("vec")).toArrow()
+    order = np.argsort(rows["at"].to_numpy())
+    matrix = np.stack(rows["vec"].to_pandas().to_numpy())[order]
+    shared = df.sparkSession.sparkContext.broadcast(matrix)
+    return df.select(key, kernels.pooled_rows(ids, shared, UNK if mask_padding else None).alias(out))
+
+
 def encode_batches(
     df: DataFrame, encoder: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],
     schema: T.StructType | str, batch_size: int = 64, name: str | None = None,

@@ -369,3 +369,12 @@ ORACLES: dict[str, str] = {
       (step + 1) % 2500 = 0 AS is_checkpoint, (step + 1) % 2500 = 1 AS is_eval,
       step = (SELECT max(step) FROM steps) AS is_final FROM steps""",
 }
+
+# Second paths of an operator, taken for wide rows or large tables, have to give the same.
+for _name, _same in {
+    "lookup_embeddings_salted": "lookup_embeddings", "encode_in_place_joined": "encode_in_place",
+    "mean_pool_joined": "mean_pool", "fill_condition_hot": "fill_condition",
+    "make_flow_rows_wide": "make_flow_rows", "flow_loss_wide": "flow_loss", "guide_wide": "guide",
+    "replay_states_wide": "replay_states", "replay_predictions_wide": "replay_predictions",
+}.items():
+    ORACLES[_name] = ORACLES[_same]

@@ -247,16 +247,36 @@ def _vectors(spark, sf):
     return text.lookup_embeddings(_encoded(spark, sf), lookup)
 
 
+def _pooled(spark, sf, **options):
+    table = fx.latents(spark, sf).select(F.col("id").alias("token_id"), F.col("x").alias("vec"))
+    return long(text.pool_embeddings(_encoded(spark, sf), table, dim=64, **options), "id", x="pooled")
+
+
+def lookup_embeddings_salted(spark, sf):
+    table = fx.latents(spark, sf).select(F.col("id").alias("token_id"), F.col("x").alias("vec"))
+    found = text.lookup_embeddings(_encoded(spark, sf), table, broadcast_bytes=0)
+    return found.select("id", "pos", "token_id", dot("vec").alias("vec_dot"))
+
+
+def encode_in_place_joined(spark, sf):
+    ids = text.encode_in_place(fx.captions(spark, sf), fx.vocab(spark, sf), fx.LENGTH, broadcast_bytes=0)
+    return lat.to_long(ids, "id", x="ids", value="token_id")
+
+
 def lookup_embeddings(spark, sf):
     return _vectors(spark, sf).select("id", "pos", "token_id", dot("vec").alias("vec_dot"))
 
 
 def mean_pool(spark, sf):
-    return long(text.mean_pool(_vectors(spark, sf), dim=64), "id", x="pooled")
+    return _pooled(spark, sf)
+
+
+def mean_pool_joined(spark, sf):
+    return _pooled(spark, sf, broadcast_bytes=0)
 
 
 def mean_pool_masked(spark, sf):
-    return long(text.mean_pool(_vectors(spark, sf), dim=64, mask_padding=True), "id", x="pooled")
+    return _pooled(spark, sf, mask_padding=True)
 
 
 def encode_batches(spark, sf):
@@ -277,6 +297,13 @@ def fill_condition(spark, sf):
     return filled.select("id", "is_conditional", total("cond").alias("cond_sum"), dot("cond").alias("cond_dot"))
 
 
+def fill_condition_hot(spark, sf):
+    docs = fx.captions(spark, sf).select("id")
+    cond = fx.latents(spark, sf).withColumnRenamed("x", "vec")
+    filled = text.fill_condition(docs, cond, "zero", width=64, hot_rows=0)
+    return filled.select("id", "is_conditional", total("cond").alias("cond_sum"), dot("cond").alias("cond_dot"))
+
+
 def fill_condition_empty_prompt(spark, sf):
     docs = fx.captions(spark, sf).select("id")
     cond = fx.latents(spark, sf).withColumnRenamed("x", "vec")
@@ -394,48 +421,68 @@ def sample_timesteps(spark, sf):
     return drawn[0].unionAll(drawn[1]).unionAll(drawn[2])
 
 
-def _flow_rows(spark, sf):
+def _flow_rows(spark, sf, wide=None):
     x = fx.latents(spark, sf).withColumn("x", arrays.normalize_latent("x", fx.SHIFT, fx.SCALE))
-    return flow.make_flow_rows(flow.sample_timesteps(x, seed=SEED), SEED)
+    return flow.make_flow_rows(flow.sample_timesteps(x, seed=SEED), SEED, wide=wide)
 
 
-def make_flow_rows(spark, sf):
-    rows = _flow_rows(spark, sf).select("id", F.posexplode(F.arrays_zip("eps", "z_t", "v")).alias("pos", "e"))
+def make_flow_rows(spark, sf, wide=None):
+    rows = _flow_rows(spark, sf, wide).select("id", F.posexplode(F.arrays_zip("eps", "z_t", "v")).alias("pos", "e"))
     return rows.select("id", "pos", r("e.eps").alias("eps"), r("e.z_t").alias("z_t"), r("e.v").alias("v"))
 
 
-def _losses(spark, sf):
+def make_flow_rows_wide(spark, sf):
+    return make_flow_rows(spark, sf, wide=True)
+
+
+def _losses(spark, sf, wide=False):
     rows = _flow_rows(spark, sf).withColumn("batch_id", F.floor(F.col("id") / 64).cast("bigint"))
     guesses = fx.latents(spark, sf).select("id", F.transform("x", lambda a: a.cast("double") * 0.5).alias("v_hat"))
-    return flow.flow_loss(rows, guesses)
+    return flow.flow_loss(rows, guesses, wide=wide)
+
+
+def flow_loss(spark, sf, wide=False):
+    return _losses(spark, sf, wide).select("id", r("t").alias("t"), r("loss").alias("loss"))
 
 
-def flow_loss(spark, sf):
-    return _losses(spark, sf).select("id", r("t").alias("t"), r("loss").alias("loss"))
+def flow_loss_wide(spark, sf):
+    return flow_loss(spark, sf, wide=True)
 
 
 def batch_loss(spark, sf):
     return flow.batch_loss(_losses(spark, sf)).withColumn("loss", r("loss"))
 
 
-def _guided(spark, sf):
+def _guided(spark, sf, wide=False):
     cond = fx.velocities(spark, sf)
     # Some steps have no unconditional velocity and keep the conditional one.
     some = cond.where(uniform(0, "uncond", "key", "step") < 0.7)
-    return flow.guide(cond, some.withColumn("v", F.transform("v", lambda a: a * 0.5)), 4.0)
+    return flow.guide(cond, some.withColumn("v", F.transform("v", lambda a: a * 0.5)), 4.0, wide=wide)
+
+
+def guide(spark, sf, wide=False):
+    return _guided(spark, sf, wide).select("key", "step", total("v").alias("v_sum"), dot("v").alias("v_dot"))
+
+
+def guide_wide(spark, sf):
+    return guide(spark, sf, wide=True)
+
+
+def replay_states_wide(spark, sf):
+    return replay_states(spark, sf, wide=True)
 
 
-def guide(spark, sf):
-    return _guided(spark, sf).select("key", "step", total("v").alias("v_sum"), dot("v").alias("v_dot"))
+def replay_predictions_wide(spark, sf):
+    return replay_predictions(spark, sf, wide=True)
 
 
-def replay_states(spark, sf):
-    states = flow.replay_states(fx.start_noise(spark, sf), fx.velocities(spark, sf), fx.STEPS, dim=64)
+def replay_states(spark, sf, wide=None):
+    states = flow.replay_states(fx.start_noise(spark, sf), fx.velocities(spark, sf), fx.STEPS, dim=64, wide=wide)
     return states.select("key", "step", total("z").alias("z_sum"), dot("z").alias("z_dot"))
 
 
-def replay_predictions(spark, sf):
-    seen = flow.replay_predictions(fx.start_noise(spark, sf), fx.velocities(spark, sf), fx.STEPS, dim=64)
+def replay_predictions(spark, sf, wide=None):
+    seen = flow.replay_predictions(fx.start_noise(spark, sf), fx.velocities(spark, sf), fx.STEPS, dim=64, wide=wide)
     return seen.select("key", "step", total("z").alias("z_sum"), dot("z").alias("z_dot"))
 
 
@@ -612,6 +659,8 @@ _PLAIN = (
     flow_loss, batch_loss, guide, replay_states, replay_predictions, loss_by_bin, train_log,
     with_learning_rate, eval_summary, with_run_events, prepare_batch, prepare_stream_rejected,
     train_epoch, evaluate_summary, evaluate_bins, decode_steps,
+    lookup_embeddings_salted, encode_in_place_joined, mean_pool_joined, fill_condition_hot,
+    make_flow_rows_wide, flow_loss_wide, guide_wide, replay_states_wide, replay_predictions_wide,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
