@@ -154,7 +154,9 @@ def raw_samples(spark, sf) -> DataFrame:
     good = F.to_json(F.struct("caption"))
     text = F.when(u < 0.05, F.lit('{"caption" }')).when(u < 0.1, F.lit('{"title": 1}')).otherwise(good)
     url = F.concat(F.lit("img/"), F.col("id").cast("string"))
-    return samples(spark, sf).select("id", url.alias("url"), text.alias("json"), F.col("x").alias("latent"))
+    # Most documents have no latent and are set aside for that.
+    every = captions(spark, sf).join(latents(spark, sf), "id", "left")
+    return every.select("id", url.alias("url"), text.alias("json"), F.col("x").alias("latent"))
 
 
 def write_tars(df: DataFrame, folder: str) -> int:

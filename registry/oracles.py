@@ -129,8 +129,9 @@ SIZES = f"""sizes AS (SELECT page_id AS id, (64 + floor({h('page_id', 'w')} * 96
   (64 + floor({h('page_id', 'h')} * 96e1))::INTEGER AS h,
   CASE WHEN {h('page_id', 'fmt')} < 7e-1 THEN 'jpg' ELSE 'png' END AS format FROM pages)"""
 PIXELS = f"{LAT}, px AS (SELECT id, pos, floor(x * 127e0 + 128e0)::INTEGER AS p FROM lat)"
-PREPARED = f"""{LAT}, {ENCODED}, {SAMPLES},
-  raw AS (SELECT id, 'img/' || id AS url, text, {h('id', 'broken')} AS b FROM samples)"""
+PREPARED = f"""{LAT}, {ENCODED},
+  raw AS (SELECT doc_id AS id, 'img/' || doc_id AS url, text, {h('doc_id', 'broken')} AS b,
+    vec_id IS NOT NULL AS has_latent FROM documents LEFT JOIN embeddings ON vec_id = doc_id)"""
 
 
 def digests(keys: str, x: str, source: str, total: str, dot: str) -> str:
@@ -228,7 +229,8 @@ ORACLES: dict[str, str] = {
     "prepare_stream": PREPARED_ROWS,
     "prepare_batch": PREPARED_ROWS,
     "prepare_stream_rejected": f"""WITH {PREPARED} SELECT id, url,
-      CASE WHEN b < 5e-2 THEN 'bad_json' ELSE 'no_caption' END AS reason FROM raw WHERE b < 1e-1""",
+      CASE WHEN b < 5e-2 THEN 'bad_json' WHEN b < 1e-1 THEN 'no_caption' ELSE 'no_latent' END AS reason
+      FROM raw WHERE b < 1e-1 OR NOT has_latent""",
     "loss_monitor": f"""WITH timed AS (SELECT date_trunc('hour', ts)::TIMESTAMP AS window_start, value AS loss,
         least(floor({h('event_id', 't')} * 10), 9)::INTEGER AS bin FROM events)
       SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, bin,
