@@ -149,3 +149,12 @@ def test_encoding_is_the_same_on_both_sides_of_the_limit(spark):
         sorted(map(str, text.encode_in_place(df, vocab, 3, broadcast_bytes=limit).collect())) for limit in (0, 1 << 20)
     ]
     assert both[0] == both[1] and len(both[0]) == 4
+
+
+def test_pooling_is_the_same_on_both_sides_of_the_limit(spark):
+    df = spark.createDataFrame([(1, [1, 2, 0, 0]), (2, [0, 0]), (3, [5, 1, 1])], "id int, ids array<int>")
+    table = spark.createDataFrame([(i, [float(i), 1.0]) for i in (2, 0, 1)], "token_id int, vec array<double>")
+    for mask, want in ((False, {1: [0.75, 1.0], 2: [0.0, 1.0], 3: [4 / 3, 1.0]}), (True, {1: [1.5, 1.0], 2: [0.0, 0.0], 3: [4 / 3, 1.0]})):
+        for limit in (0, 1 << 20):
+            got = text.pool_embeddings(df, table, dim=2, mask_padding=mask, broadcast_bytes=limit).collect()
+            assert {r["id"]: r["pooled"] for r in got} == {k: pytest.approx(v) for k, v in want.items()}
