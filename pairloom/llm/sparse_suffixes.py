@@ -22,7 +22,8 @@ from pairloom.llm.words import chunks, count_words, gram_hashes, hash_words, scr
 from pairloom.runtime import ship_by_value
 
 SIZE, ANCHOR = 50, 8
-SHARD_ROWS = 6_000
+# Suffixes compared at once, and those in the last round, when only very common ones are left.
+SHARD_ROWS, LAST_ROWS = 6_000, 20_000
 SUFFIXES = "key bigint, id bigint, row bigint, at bigint, left int, text binary, other bigint, size int"
 SPANS = "id bigint, row bigint, start bigint, end bigint, other bigint, window bigint"
 REPEATS = "id bigint, start_word bigint, end_word bigint, other_id bigint"
@@ -173,7 +174,7 @@ def _search(batches: Iterator[pa.RecordBatch], size: int, k: int, last: bool) ->
     Suffixes of a run that is too long for a shard go on: under longer keys, or in the ``last``
     round as hashes of their single windows.
     """
-    for hot, batch in shards(batches, SHARD_ROWS):
+    for hot, batch in shards(batches, LAST_ROWS if last else SHARD_ROWS):
         rows = list(zip(*(c.to_pylist() for c in batch.columns)))
         real = [r for r in rows if r[5] is not None]
         out = [r for r in rows if r[5] is None]

@@ -48,6 +48,7 @@ def test_repeated_passages(make_docs, corpus, size, anchor):
 @pytest.mark.parametrize("limit,combine", [(1, 1), (1, 6 << 20), (6000, 1)])
 def test_repeated_passages_in_other_batches_and_hot_groups(make_docs, corpus, monkeypatch, limit, combine):
     monkeypatch.setattr(sparse_suffixes, "SHARD_ROWS", limit)
+    monkeypatch.setattr(sparse_suffixes, "LAST_ROWS", limit)
     monkeypatch.setattr(sparse_suffixes, "COMBINE_BYTES", combine)
     rows = [r for r in corpus if r[0] != 3008]
     assert _spans(sparse_suffixes.repeated_passages(make_docs(rows))) == brute.repeats(rows, 50)
