@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -128,11 +128,13 @@ class Template:
     name: str
     words: list[bytes]
     keys: frozenset
+    place: dict[bytes, int]  # of words that the template holds once
 
     @classmethod
     def make(cls, name: str, text: str) -> Template:
         words = tokens(text.encode())
-        return cls(name, words, frozenset(words) - COMMON or frozenset(words))
+        place = {w: i for i, w in enumerate(words) if words.count(w) == 1}
+        return cls(name, words, frozenset(words) - COMMON or frozenset(words), place)
 
 
 def regions(hits: list[int], keys_at: list[bytes], template: Template) -> Iterator[tuple[int, int]]:
@@ -148,6 +150,42 @@ def regions(hits: list[int], keys_at: list[bytes], template: Template) -> Iterat
             start = next((j for j in range(start + 1, i) if hits[j] - hits[start] > 2 * size), i) if full else i
 
 
+def repeats(words: list[bytes], start: int, end: int, template: Template) -> Iterator[tuple[int, int]]:
+    """Ranges of one copy each, for a region that may hold several.
+
+    Words of two copies are not unique in a region and anchor nothing there. But each word that
+    the template holds once says where a copy around it would start, and the words of one copy
+    agree on that within the words that it has more or less.
+    """
+    place, size = template.place, len(template.words)
+    start, end = max(0, start), min(end, len(words))
+    said = sorted(i - place[words[i]] for i in range(start, end) if words[i] in place)
+    drift = SLACK + size // 4
+    for d in sorted(set(said)):
+        agree = bisect_right(said, d + drift) - bisect_left(said, d - drift)
+        if 2 * agree >= len(place):
+            yield max(0, d), d + size
+            yield max(0, d - SLACK), d + size + drift
+
+
+def several(words: list[bytes], start: int, end: int, template: Template) -> bool:
+    """Whether half of the words that the template holds once stand in a region twice or more."""
+    counts = Counter(w for w in words[max(0, start) : end] if w in template.place)
+    return 2 * sum(n > 1 for n in counts.values()) >= len(template.place) > 0
+
+
+def apart(found: list[tuple[str, float, int, int, int]]) -> list[tuple[str, float, int, int, int]]:
+    """Those that overlap none before them."""
+    starts: list[int] = []
+    chosen: list[tuple[str, float, int, int, int]] = []
+    for one in found:
+        at = bisect_left(starts, one[3])
+        if (at == 0 or chosen[at - 1][4] <= one[3]) and (at == len(chosen) or one[4] <= chosen[at][3]):
+            starts.insert(at, one[3])
+            chosen.insert(at, one)
+    return chosen
+
+
 def licenses_of(words: list[bytes], templates: list[Template], least: float) -> list[tuple[str, float, int, int, int]]:
     """(license, coverage, words matched, first word, end) of the notices in a text, best first, not
     overlapping."""
@@ -156,17 +194,21 @@ def licenses_of(words: list[bytes], templates: list[Template], least: float) ->
     found = []
     for template in templates if hits else ():
         own = [i for i in hits if words[i] in template.keys]
+        ranges = []
         for start, end in regions(own, [words[i] for i in own], template):
+            ranges.append((start, end))
+            if several(words, start, end, template):
+                ranges += repeats(words, start, end, template)
+        copies = set()
+        for start, end in dict.fromkeys(ranges):
             pairs = densest(align(template.words, words[start:end]))
             coverage = len(pairs) / len(template.words)
             if coverage >= least:
-                found.append((template.name, coverage, len(pairs), start + pairs[0][1], start + pairs[-1][1] + 1))
+                copies.add((template.name, coverage, len(pairs), start + pairs[0][1], start + pairs[-1][1] + 1))
+        # Parts of two copies may align better than either, over a longer stretch.
+        found += apart(sorted(copies, key=lambda f: (f[4] - f[3] - 2 * f[2], f[3])))
     # A long template that is covered says more than a short one inside it.
-    chosen: list[tuple[str, float, int, int, int]] = []
-    for one in sorted(found, key=lambda f: (-f[2], -f[1], f[3], f[0])):
-        if all(one[4] <= c[3] or c[4] <= one[3] for c in chosen):
-            chosen.append(one)
-    return sorted(chosen, key=lambda f: f[3])
+    return sorted(apart(sorted(found, key=lambda f: (-f[2], -f[1], f[3], f[0]))), key=lambda f: f[3])
 
 
 LICENSES = "doc_id bigint, license string, coverage double, n_matched bigint, start_word bigint, end_word bigint"

@@ -4,7 +4,7 @@ from itertools import combinations
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pairloom.llm.patience import TEMPLATES, align, find_licenses, longest_increasing
+from pairloom.llm.patience import TEMPLATES, Template, align, find_licenses, licenses_of, longest_increasing, tokens
 from tests.llm import brute
 
 
@@ -47,3 +47,28 @@ def test_find_licenses(make_docs):
         assert 0.8 <= r.coverage <= 1 and r.start_word < r.end_word
     assert got == want
     assert find_licenses(make_docs([])).count() == 0
+
+
+def test_copies_side_by_side():
+    rng = random.Random(5)
+    prose = lambda n: ["".join(rng.choices("abcdefgh", k=5)) for _ in range(n)]
+    made = [Template.make(*t) for t in TEMPLATES]
+    for name, text in TEMPLATES:
+        own = tokens(text.encode())
+        for copies in range(2, 6):
+            for between in (0, 3, 20, len(own)):
+                # One word tells the short notices of Creative Commons apart.
+                for lost in (0, len(own) // 10) if len(own) > 20 else (0,):
+                    words, want = [w.encode() for w in prose(40)], []
+                    for _ in range(copies):
+                        one = list(own)
+                        for at in sorted(rng.sample(range(1, len(own) - 1), lost), reverse=True):
+                            if rng.random() < 0.5:
+                                one[at] = b"changed"
+                            else:
+                                del one[at]
+                        want.append((name, len(words)))
+                        words += one + [w.encode() for w in prose(between)]
+                    words += [w.encode() for w in prose(40)]
+                    got = [(f[0], f[3]) for f in licenses_of(words, made, 0.8)]
+                    assert got == want, (name, copies, between, lost)
