@@ -30,7 +30,9 @@ SENSITIVE_WORDS = (
     "passw", "passphrase", "secret", "token", "credential", "apikey", "api_key", "accesskey", "access_key",
     "privatekey", "private_key", "auth", "bearer", "signature", "session",
 )
-CANDIDATE = r"[A-Za-z0-9+/_=-]{16,256}"
+CANDIDATE = r"[A-Za-z0-9+/_-]{16,256}={0,2}"
+# What may stand between a sensitive word and an assigned value: the rest of the name, and the separator.
+ASSIGNED = re.compile(r"""[A-Za-z0-9_-]*+["']?\s*[:=]+\s*["']?""")
 SENSITIVE = f"(?ai:{'|'.join(SENSITIVE_WORDS)})"
 IDENTIFIER = r"(?a:[A-Za-z_][A-Za-z_]{2,30})"
 # Words of code around keys and tokens.
@@ -76,13 +78,14 @@ def sensitive_places(text: str) -> list[tuple[int, int]]:
     """Spans of candidates that follow a sensitive word closely."""
     found = []
     for word in sensitive_words(text):
-        window = text[word.end() : word.end() + NEAR_CHARS + 256]
-        for m in re.finditer(CANDIDATE, window):
+        assigned = ASSIGNED.match(text, word.end())
+        begin = assigned.end() if assigned else word.end()
+        for m in re.finditer(CANDIDATE, text[begin : begin + NEAR_CHARS + 256]):
             if m.start() > NEAR_CHARS:
                 break
-            start, end = word.end() + m.start(), word.end() + m.end()
+            start, end = begin + m.start(), begin + m.end()
             # A word that merely contains the sensitive one goes on from it.
-            if m.start() > 0 and (not found or found[-1][1] <= start):
+            if (assigned or m.start() > 0) and (not found or found[-1][1] <= start):
                 found.append((start, end))
     return found
 

@@ -1,6 +1,8 @@
 import hashlib
 
-from pairloom.llm.secret_novelty import Novelty, base_spans, find_secrets, identifiers, redact, written
+from pairloom.llm.secret_novelty import (
+    SENSITIVE_WORDS, Novelty, base_spans, find_secrets, identifiers, novel_spans, redact, sensitive_places, written,
+)
 from tests.llm import brute
 
 KEY = "q7Zp2LkX9vRt4MbW8sYd3NfH6gJc1TaE"
@@ -63,3 +65,20 @@ def test_redact(make_docs):
     assert KEY not in got[4].text and got[4].n_chars == len(got[4].text)
     assert got[5].text == TEXTS[4][1] and got[8].text is None
     assert all(not base_spans(r.text or "") for r in got.values())
+
+
+def _marked(text):
+    base = base_spans(text)
+    return [(s, e) for s, _, e in sorted(base + novel_spans(text, Novelty([]), base, 4.0))]
+
+
+def test_assignments_without_spaces():
+    names = [f"{front}{word}{back}" for word in SENSITIVE_WORDS for front in ("", "AWS_") for back in ("", "_ACCESS_KEY", "-x")]
+    for name in [*names, *map(str.upper, names)]:
+        for separator in ("=", ":", ": ", " = ", '="', '": "', "=="):
+            text = f"set {name}{separator}{KEY} and go on"
+            at = text.index(KEY)
+            assert any(s <= at and at + len(KEY) <= e for s, e in _marked(text)), text
+            assert (at, at + len(KEY)) in sensitive_places(text)
+    assert sensitive_places(f"session={KEY}== x")[0] == (8, 8 + len(KEY) + 2)
+    assert sensitive_places("authentication_and_more_words here") == []
