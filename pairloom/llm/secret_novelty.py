@@ -30,7 +30,10 @@ SENSITIVE_WORDS = (
     "passw", "passphrase", "secret", "token", "credential", "apikey", "api_key", "accesskey", "access_key",
     "privatekey", "private_key", "auth", "bearer", "signature", "session",
 )
-CANDIDATE = r"[A-Za-z0-9+/_-]{16,256}={0,2}"
+# Further parts may follow dots, as in a JSON web token.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}(?:\.+[A-Za-z0-9+/_-]+={0,2})*")
+PART = r"[^.]{16,}"
+LEAST_CHARS = 16
 # What may stand between a sensitive word and an assigned value: the rest of the name, and the separator.
 ASSIGNED = re.compile(r"""[A-Za-z0-9_-]*+["']?\s*[:=]+\s*["']?""")
 SENSITIVE = f"(?ai:{'|'.join(SENSITIVE_WORDS)})"
@@ -80,13 +83,13 @@ def sensitive_places(text: str) -> list[tuple[int, int]]:
     for word in sensitive_words(text):
         assigned = ASSIGNED.match(text, word.end())
         begin = assigned.end() if assigned else word.end()
-        for m in re.finditer(CANDIDATE, text[begin : begin + NEAR_CHARS + 256]):
-            if m.start() > NEAR_CHARS:
-                break
-            start, end = begin + m.start(), begin + m.end()
+        at = begin
+        # Only the beginning has to be near: a candidate is looked for there, then read to its end.
+        while near := CANDIDATE.search(text, at, begin + NEAR_CHARS + LEAST_CHARS):
+            start, at = near.start(), CANDIDATE.match(text, near.start()).end()
             # A word that merely contains the sensitive one goes on from it.
-            if (assigned or m.start() > 0) and (not found or found[-1][1] <= start):
-                found.append((start, end))
+            if (assigned or start > begin) and (not found or found[-1][1] <= start):
+                found.append((start, at))
     return found
 
 
@@ -108,6 +111,21 @@ class Novelty:
         once, none = len(packer.compress(candidate)), len(packer.compress(b""))
         return 8.0 * (once - none) / len(candidate)
 
+    def bits_once(self, text: str, start: int, end: int) -> float:
+        """The same as if the candidate stood nowhere else around: a copy does not explain it."""
+        candidate, blank = text[start:end], " " * (end - start)
+        # A copy at the edge of the surroundings is seen whole.
+        reach = AROUND_CHARS + len(candidate)
+        before = text[max(0, start - reach) : start].replace(candidate, blank)[-AROUND_CHARS:]
+        after = text[end : end + reach].replace(candidate, blank)[:AROUND_CHARS]
+        return self.bits(before + candidate + after, len(before), len(before) + len(candidate))
+
+
+def _novel(text: str, start: int, end: int, novelty: Novelty, min_bits: float) -> bool:
+    # Letters alone, or digits alone, are words and numbers, not keys.
+    keyed = ALPHABET.search(text, start, end) and DIGIT.search(text, start, end)
+    return bool(keyed) and novelty.bits_once(text, start, end) >= min_bits
+
 
 def novel_spans(text: str, novelty: Novelty, taken: list[tuple[int, int, int]], min_bits: float) -> list[tuple[int, int, int]]:
     """Candidates outside the base spans that the compressor cannot explain."""
@@ -115,8 +133,8 @@ def novel_spans(text: str, novelty: Novelty, taken: list[tuple[int, int, int]],
     for start, end in sensitive_places(text):
         if any(s < end and start < e for s, _, e in taken):
             continue
-        # Letters alone, or digits alone, are words and numbers, not keys.
-        if ALPHABET.search(text, start, end) and DIGIT.search(text, start, end) and novelty.bits(text, start, end) >= min_bits:
+        parts = [m.span() for m in re.finditer(PART, text[start:end])]
+        if any(_novel(text, start + s, start + e, novelty, min_bits) for s, e in parts):
             spans.append((start, 3, end))
     return spans
 

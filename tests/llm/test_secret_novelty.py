@@ -1,4 +1,6 @@
 import hashlib
+import random
+import string
 
 from pairloom.llm.secret_novelty import (
     SENSITIVE_WORDS, Novelty, base_spans, find_secrets, identifiers, novel_spans, redact, sensitive_places, written,
@@ -82,3 +84,26 @@ def test_assignments_without_spaces():
             assert (at, at + len(KEY)) in sensitive_places(text)
     assert sensitive_places(f"session={KEY}== x")[0] == (8, 8 + len(KEY) + 2)
     assert sensitive_places("authentication_and_more_words here") == []
+
+
+def test_long_and_dotted_and_repeated_secrets():
+    rng = random.Random(2)
+    key = lambda n: "".join(rng.choices(string.ascii_letters + string.digits, k=n))
+    long, signed = key(400) + "==", ".".join([key(36), key(300), key(43)])
+    for secret in (long, signed, f"{key(20)}..{key(16)}.{key(8)}", key(5000)):
+        text = f"the credential was {secret} they said"
+        at = text.index(secret)
+        assert _marked(text) == [(at, at + len(secret))]
+    for gap in (" again ", " " * 200 + " session "):
+        text = f"auth {KEY}{gap}{KEY} end"
+        spans = [text.index(KEY), text.rindex(KEY)]
+        assert _marked(text) == [(s, s + len(KEY)) for s in spans]
+    text = f"auth {long} and then the session {long} end"
+    assert len(_marked(text)) == 2
+    assert _marked("the session ended. credential number 12 of password_of_the_session.") == []
+
+
+def test_whole_secrets_are_redacted(make_docs):
+    key = "".join(random.Random(4).choices(string.ascii_letters + string.digits, k=400))
+    got = redact(make_docs([(1, f"signature={key}.{key[:50]} x"), (2, f"auth {KEY} again {KEY}")])).collect()
+    assert sorted(r.text for r in got) == ["auth [secret] again [secret]", "signature=[secret] x"]
