@@ -94,7 +94,101 @@ SELECT page_id, host, path, {rule} AS rule,
 FROM parts JOIN bounded USING (host)"""
 
 
+# crc32 from its definition: the table of 256 entries is derived from the polynomial.
+CRC_TABLE = """
+SELECT list_transform(range(256), lambda n: list_reduce(
+         list_prepend(n::UBIGINT, range(8)::UBIGINT[]),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS tab"""
+
+
+def crc32_sql(text: str) -> str:
+    """crc32 of a string's UTF-8 bytes, with ``tab`` from CRC_TABLE in scope."""
+    data = f"hex(encode({text}))"
+    values = f"list_transform(range(0, length({data}) // 2), lambda i: ('0x' || substr({data}, (2 * i + 1)::BIGINT, 2))::UBIGINT)"
+    step = "lambda c, b: xor(c >> 8, tab[(1 + (xor(c, b) & 255))::BIGINT])"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {values}), {step}), 4294967295::UBIGINT)"
+
+
+def conversations_sql() -> str:
+    """Every conversation's best (cost, audit) for each of four states, turn by turn.
+
+    A pair is a string, the cost in nine digits and then the audit, so that ``least`` orders pairs.
+    """
+
+    def add(pair: str, cost: str, letter: str) -> str:
+        return f"lpad((left({pair}, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({pair}, 10) || '{letter}'"
+
+    act = crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")
+    return rf"""
+WITH RECURSIVE crc AS ({CRC_TABLE}
+), hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {act} % 20 AS act
+  FROM conversations, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE act WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE act WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE act WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hashed
+), placed AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS initial,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM damaged
+), judged AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 AS again, NOT regexp_matches(text, '{WORD}') AS blank, again AND NOT blank AS duplicate,
+         NOT blank AND NOT duplicate AND NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS truncated,
+         NOT blank AND NOT duplicate AS stays,
+         coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY place) || initial NOT IN ('su', 'ua', 'au'), false)
+           AS illegal
+  FROM placed
+), search AS (
+  SELECT conv_id, 0::BIGINT AS place, '000000000' AS s0, NULL::VARCHAR AS s1, '000000002I' AS s2, NULL::VARCHAR AS s3
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, place, n0, n1, least(n2, {add("least(n0, n1, n3)", "2", "I")}), least(n3, {add("n2", "2", "I")})
+  FROM (
+    SELECT j.conv_id, j.place, {add("s0", "3", "D")} AS n0,
+           least({add("s1", "3", "D")}, CASE WHEN stays AND initial = 's' THEN {add("s0", "truncated::INT", "K")} END) AS n1,
+           least({add("s2", "3", "D")},
+                 CASE WHEN stays AND initial = 'u' THEN {add("least(s0, s1, s3)", "truncated::INT", "K")} END,
+                 CASE WHEN stays THEN {add("least(s0, s1, s3)", "2 + truncated::INT", "R")} END) AS n2,
+           least({add("s3", "3", "D")},
+                 CASE WHEN stays AND initial = 'a' THEN {add("s2", "truncated::INT", "K")} END,
+                 CASE WHEN stays THEN {add("s2", "2 + truncated::INT", "R")} END) AS n3
+    FROM search s JOIN judged j ON j.conv_id IS NOT DISTINCT FROM s.conv_id AND j.place = s.place + 1
+  )
+), best AS (
+  SELECT conv_id, left(pair, 9)::BIGINT AS cost, substr(pair, 10) AS audit
+  FROM (SELECT conv_id, arg_max(least(s0, s3), place) AS pair FROM search GROUP BY conv_id)
+), letters AS (
+  SELECT conv_id, unnest(string_split(audit, '')) AS letter, generate_subscripts(string_split(audit, ''), 1) AS spot
+  FROM best WHERE audit <> ''
+), counted AS (
+  SELECT *, count(*) FILTER (letter <> 'I') OVER so_far AS place, count(*) FILTER (letter <> 'D') OVER so_far AS line
+  FROM letters WINDOW so_far AS (PARTITION BY conv_id ORDER BY spot)
+), lines AS (
+  SELECT c.*, j.role, j.text, coalesce(bool_or(line = 1 AND letter = 'K' AND initial = 's') OVER (PARTITION BY c.conv_id), false)::INT AS led
+  FROM counted c LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM c.conv_id AND j.place = c.place
+  WHERE letter <> 'D'
+), written AS (
+  SELECT conv_id, string_agg(
+           CASE letter WHEN 'K' THEN role ELSE CASE (line - led) % 2 WHEN 1 THEN 'user' ELSE 'assistant' END END
+           || ':' || CASE letter WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY spot) AS whole
+  FROM lines GROUP BY conv_id
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (illegal) AS illegal
+  FROM judged GROUP BY conv_id
+)
+SELECT b.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, cost, audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM best b LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM b.conv_id
+            LEFT JOIN written w ON w.conv_id IS NOT DISTINCT FROM b.conv_id"""
+
+
 ORACLES = {
+    "op13_conversation_repair": conversations_sql(),
     "op1_url_reputation": url_sql(),
     "op9_mixture": f"SELECT doc_id, size, source_size, target, size * copies AS taken FROM ({mixture_sql()})",
 }

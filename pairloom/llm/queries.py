@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import (
-    decision_lists, factorization, golay_simhash, latent_search, mixing, patience, phrase_automata,
+    conversation_repair, decision_lists, factorization, golay_simhash, latent_search, mixing, patience, phrase_automata,
     secret_novelty, sparse_suffixes, url_reputation,
 )
 
@@ -64,6 +64,10 @@ def op10_factorization_machine(spark: SparkSession, sf: str) -> DataFrame:
     return factorization.score_toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return conversation_repair.repair_conversations(conversation_repair.damaged(_table(spark, sf, "conversations")))
+
+
 QUERIES = {
     "op1_url_reputation": op1_url_reputation,
     "op2_golay_simhash": op2_golay_simhash,
@@ -75,4 +79,5 @@ QUERIES = {
     "op8_latent_search": op8_latent_search,
     "op9_mixture": op9_mixture,
     "op10_factorization_machine": op10_factorization_machine,
+    "op13_conversation_repair": op13_conversation_repair,
 }

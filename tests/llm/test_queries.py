@@ -13,7 +13,7 @@ def test_entry_has_them_all():
     entry = importlib.import_module("__spark_entry__")
     names = set(entry.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(ORACLES) <= set(entry.oracle_sql())
 
 
