@@ -187,7 +187,74 @@ FROM best b LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM b.conv_id
             LEFT JOIN written w ON w.conv_id IS NOT DISTINCT FROM b.conv_id"""
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def jaccard_sql(size: int = 4, percent: int = 80) -> str:
+    """All pairs of documents that share a shingle, by count; then what each document reaches."""
+    shingle = f"lambda i: array_to_string(w[i:i + {size - 1}], ' ')"
+    return rf"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= {size} THEN list_distinct(list_transform(range(1, len(w) - {size - 2}), {shingle}))
+                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE []::VARCHAR[] END AS s
+  FROM split
+), elements AS (SELECT doc_id, len(s) AS n, unnest(s) AS e FROM sets
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM elements a JOIN elements b ON a.e = b.e AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= {percent} * (any_value(a.n) + any_value(b.n) - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON reach.b = pairs.a
+), least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least USING (doc_id)"""
+
+
+def spelling_sql(least: int = 7, times: int = 2, ratio: int = 10) -> str:
+    """Words one edit apart share what is left of one without a letter; replaced letters keep their place."""
+    runs = r"regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')"
+    return rf"""
+WITH RECURSIVE crc AS ({CRC_TABLE}
+), runs AS (
+  SELECT doc_id, translate(unnest({runs}), '{UPPER}', '{LOWER}') AS run FROM documents
+), hashed AS (
+  SELECT run, n, {crc32_sql("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h
+  FROM (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= {least} GROUP BY ALL), crc
+), typed AS (
+  SELECT n, CASE h % 31 WHEN 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+                        ELSE run END AS word
+  FROM hashed
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM typed WHERE length(word) >= {least} GROUP BY word HAVING sum(n) >= {times}
+), cut AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS spot FROM words
+), shorter AS (
+  SELECT DISTINCT word, n, left(word, spot - 1) || substr(word, spot + 1) AS rest FROM cut
+), holed AS (
+  SELECT word, n, spot, left(word, spot - 1) || '*' || substr(word, spot + 1) AS hole FROM cut
+), near AS (
+  SELECT l.word AS word, w.word AS near, w.n AS near_n FROM shorter l JOIN words w ON l.rest = w.word
+  UNION SELECT w.word, l.word, l.n FROM shorter l JOIN words w ON l.rest = w.word
+  UNION SELECT a.word, b.word, b.n FROM holed a JOIN holed b ON a.hole = b.hole AND a.spot = b.spot AND a.word <> b.word
+), nearest AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, encode(near)) AS near, max(near_n) AS near_n
+  FROM near GROUP BY word
+), forms AS (
+  SELECT w.word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= {ratio} * n THEN near END AS form,
+         CASE WHEN near_n >= {ratio} * n THEN near_n END AS form_n
+  FROM words w LEFT JOIN nearest USING (word)
+), chain AS (
+  SELECT word, word AS root, 0 AS hops FROM forms
+  UNION ALL SELECT c.word, f.form, hops + 1 FROM chain c JOIN forms f ON f.word = c.root AND f.form IS NOT NULL
+), roots AS (SELECT word, arg_max(root, hops) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)"""
+
+
 ORACLES = {
+    "op11_bottom_k": jaccard_sql(),
+    "op12_pivotal_grams": spelling_sql(),
     "op13_conversation_repair": conversations_sql(),
     "op1_url_reputation": url_sql(),
     "op9_mixture": f"SELECT doc_id, size, source_size, target, size * copies AS taken FROM ({mixture_sql()})",

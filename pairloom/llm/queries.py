@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import (
-    conversation_repair, decision_lists, factorization, golay_simhash, latent_search, mixing, patience, phrase_automata,
-    secret_novelty, sparse_suffixes, url_reputation,
+    bottom_k, conversation_repair, decision_lists, factorization, golay_simhash, latent_search, mixing, patience, phrase_automata,
+    pivotal_grams, secret_novelty, sparse_suffixes, url_reputation,
 )
 
 
@@ -64,6 +64,14 @@ def op10_factorization_machine(spark: SparkSession, sf: str) -> DataFrame:
     return factorization.score_toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def op11_bottom_k(spark: SparkSession, sf: str) -> DataFrame:
+    return bottom_k.near_duplicates(_table(spark, sf, "documents"))
+
+
+def op12_pivotal_grams(spark: SparkSession, sf: str) -> DataFrame:
+    return pivotal_grams.spelling_variants(_table(spark, sf, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     return conversation_repair.repair_conversations(conversation_repair.damaged(_table(spark, sf, "conversations")))
 
@@ -79,5 +87,7 @@ QUERIES = {
     "op8_latent_search": op8_latent_search,
     "op9_mixture": op9_mixture,
     "op10_factorization_machine": op10_factorization_machine,
+    "op11_bottom_k": op11_bottom_k,
+    "op12_pivotal_grams": op12_pivotal_grams,
     "op13_conversation_repair": op13_conversation_repair,
 }

@@ -204,3 +204,64 @@ def damage(rows):
             role = "user"
         said += [(turn, role, text)] * {0: 0, 3: 2}.get(act, 1)
     return out
+
+
+def shingle_set(text, size):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = words(low)
+    return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} or ({tuple(w)} if w else set())
+
+
+def jaccard_classes(rows, size=4, percent=80):
+    """(set size, smallest id reachable) per place of (id, text) rows; a null id is larger than all."""
+    sets = [shingle_set(t, size) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            common = len(a & b)
+            if common and 100 * common >= percent * (len(a) + len(b) - common):
+                up[root(i)] = root(j)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None:
+            least[root(i)] = min(doc, least.get(root(i), doc))
+    return [(len(sets[i]), least.get(root(i))) for i in range(len(rows))]
+
+
+def one_edit(a, b):
+    """Do two different words differ by one inserted, deleted or replaced character?"""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(a) + 1 == len(b) and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def variants(rows, least=7, times=2, ratio=10):
+    """{word: (form, root, n, n_near, form_n)} of (id, text) rows."""
+    counts = {}
+    for doc, text in rows:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{low}".encode())
+            if h % 31 == 0:
+                low = low[: h % len(low)] + low[h % len(low) + 1 :]
+            counts[low] = counts.get(low, 0) + 1
+    counts = {w: n for w, n in counts.items() if len(w) >= least and n >= times}
+    near = {w: [v for v in counts if one_edit(w, v)] for w in counts}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best and counts[best] >= ratio * counts[w] else None
+
+    def last(w):
+        return last(form[w]) if form[w] else w
+
+    return {w: (form[w], last(w), n, len(near[w]), counts.get(form[w])) for w, n in counts.items()}
