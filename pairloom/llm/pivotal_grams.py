@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -105,59 +107,158 @@ def pivots_of(prefix: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return min(best[2])[1]
 
 
-def _key(kind: str, rank: int, at: int, size: int, side: str) -> int:
-    return xxhash.xxh3_64_intdigest(f"{kind} {rank} {at} {size} {side}".encode()) - (1 << 63)
+def _key(rank: int, at: int, size: int, side: str, part: str) -> int:
+    return xxhash.xxh3_64_intdigest(f"{rank} {at} {size} {side} {part}".encode()) - (1 << 63)
 
 
-def filed(word: str, prefix: list[tuple[int, int]]) -> set[int]:
-    """Keys of a word's prefix: bigram, position and length, with what stands left or right of it."""
+def _part(word: str, other: int, side: str) -> str:
+    """The half of a word that one of ``other`` letters has too, if their one edit is in the other half.
+
+    Halves are those of the shorter of both.
+    """
+    short = min(len(word), other)
+    half = short // 2
+    return word[:half] if side == "l" else word[len(word) - (short - half) :]
+
+
+def filed(word: str, prefix: list[tuple[int, int]]) -> dict[int, int]:
+    """Keys of a word's prefix: bigram, position and length, with the half that stays, and where that is cut off."""
     size = len(word)
-    return {
-        key for rank, at in prefix
-        for key in (_key("l", rank, at, size, word[:at]), _key("r", rank, at, size, word[at + 2 :]))
-    }
+    parts = {(side, _part(word, other, side)) for other in (size - 1, size, size + 1) for side in "lr"}
+    return {_key(rank, at, size, side, part): _cut(side, part) for rank, at in prefix for side, part in parts}
 
 
-def asked(word: str, pivots: list[tuple[int, int]]) -> set[int]:
-    """Keys under which words one edit apart that share a pivot are filed.
+def asked(word: str, pivots: list[tuple[int, int]]) -> dict[int, int]:
+    """Keys under which words one edit apart that share a pivot are filed, likewise.
 
-    The edit is on one side of the pivot. On its right, what is left of the pivot stays, and so
-    does its position; on its left, the position moves with the length.
+    An edit in one half leaves the other as it is. A pivot in the left half keeps its position if that
+    stays, one in the right half moves with the length if that stays; any other may do both.
     """
-    size, out = len(word), set()
+    size, out = len(word), {}
     for rank, at in pivots:
-        for grown in (-1, 0, 1):
-            out.add(_key("l", rank, at, size + grown, word[:at]))
-            out.add(_key("r", rank, at + grown, size + grown, word[at + 2 :]))
+        for other in (size - 1, size, size + 1):
+            half, moved = min(size, other) // 2, at + other - size
+            for side in "lr":
+                inside = at + 2 <= half if side == "l" else at >= size - (min(size, other) - half)
+                part = _part(word, other, side)
+                for p in ({at} if side == "l" else {moved}) if inside else {at, moved}:
+                    out[_key(rank, p, other, side, part)] = _cut(side, part)
     return out
 
 
+def _cut(side: str, part: str) -> int:
+    return len(part) if side == "l" else -len(part)
+
+
+def _rest(word: str, cut: int) -> str:
+    return word[cut:] if cut >= 0 else word[:cut]
+
+
+def one_edit(a: str, b: str) -> bool:
+    """Do two strings differ by exactly one inserted, deleted or replaced character?"""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1 or a == b:
+        return False
+    at = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[at + (len(a) == len(b)) :] == b[at + 1 :]
+
+
+def _shorter(word: str) -> set[str]:
+    return {word[:i] + word[i + 1 :] for i in range(len(word))}
+
+
+def _holed(word: str) -> list[str]:
+    return [f"{word[:i]}\0{word[i + 1 :]}" for i in range(len(word))]
+
+
+def _met(own: list[tuple[str, str]], asking: list[tuple[str, str]]) -> Iterator[tuple[str, str]]:
+    """(word, near) of one key's (word, rest) rows whose rests are one edit apart.
+
+    Many rows are looked up by their rests less one letter, so the work grows with the rows.
+    """
+    if len(own) * len(asking) <= 16:
+        for word, a in asking:
+            yield from ((word, near) for near, b in own if one_edit(a, b))
+        return
+    exact, cut, holed = defaultdict(list), defaultdict(list), defaultdict(list)
+    for near, b in own:
+        exact[b].append(near)
+        for x in _shorter(b):
+            cut[x].append(near)
+        for x in _holed(b):
+            holed[x].append(near)
+    for word, a in asking:
+        yield from ((word, near) for near in cut.get(a, ()))
+        for x in _shorter(a):
+            yield from ((word, near) for near in exact.get(x, ()))
+        for x in _holed(a):
+            yield from ((word, near) for near in holed.get(x, ()) if near != word)
+
+
+def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs from the runs of equal keys of a sorted partition; a task holds a batch and the run it ends in."""
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        key, asks, cut = (table.column(c).to_numpy() for c in ("key", "asks", "cut"))
+        starts = np.r_[0, np.flatnonzero(np.diff(key)) + 1]
+        ends = np.r_[starts[1:], len(key)]
+        asking = np.add.reduceat(asks.astype(np.int64), starts)
+        some = (asking > 0) & (asking < ends - starts)
+        words = table.column("word").combine_chunks()
+        # Most words meet only themselves.
+        two = np.flatnonzero(some & (ends - starts == 2))
+        same = pc.equal(words.take(pa.array(starts[two])), words.take(pa.array(starts[two] + 1)))
+        some[two[same.to_numpy(zero_copy_only=False)]] = False
+        found = set()
+        for s, e in zip(starts[some].tolist(), ends[some].tolist()):
+            rows = [(w, _rest(w, c)) for w, c in zip(words.slice(s, e - s).to_pylist(), cut[s:e].tolist())]
+            kinds = asks[s:e].tolist()
+            found.update(_met([r for r, k in zip(rows, kinds) if not k], [r for r, k in zip(rows, kinds) if k]))
+        columns = list(zip(*found)) if found else [(), ()]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["word", "near"])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column("key").to_numpy()
+        last = int(np.searchsorted(key, key[-1], "left"))
+        if last or held and held[-1].column("key")[0].as_py() != key[0]:
+            whole = pa.Table.from_batches([*held, batch.slice(0, last)])
+            if whole.num_rows:
+                yield pairs(whole)
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pairs(pa.Table.from_batches(held))
+
+
 def near_words(words: DataFrame) -> DataFrame:
     """(word, near) for all pairs of words that differ by one inserted, deleted or replaced code point, both ways.
 
     Words of four letters or more, each once. Each word asks with its two pivots and is filed under
-    its prefix; what meets is verified inside the join.
+    its prefix; what meets under a key shares half of its letters, and the other half is verified.
     """
     counts = gram_counts(words)
     rank = {gram: i for i, gram in enumerate(sorted(counts, key=lambda g: (counts[g], g)))}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, names, asks = [], [], []
+            keys, names, cuts, asks = [], [], [], []
             for w in batch.column("word").to_pylist():
                 prefix = prefix_of(w, rank)
                 for kind, found in ((False, filed(w, prefix)), (True, asked(w, pivots_of(prefix)))):
                     keys.extend(found)
+                    cuts.extend(found.values())
                     names.extend([w] * len(found))
                     asks.extend([kind] * len(found))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(names, pa.string()), pa.array(asks, pa.bool_())], ["key", "word", "asks"]
-            )
-
-    keyed = materialize(words.select("word").mapInArrow(run, "key bigint, word string, asks boolean"), "grams")
-    own = keyed.where(~F.col("asks")).select("key", F.col("word").alias("near"))
-    asking = keyed.where("asks").select("key", "word")
-    met = asking.join(own, "key").where(F.expr("levenshtein(word, near, 1) = 1")).select("word", "near")
+            columns = [pa.array(keys, pa.int64()), pa.array(names, pa.string()), pa.array(cuts, pa.int32()), pa.array(asks, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "word", "cut", "asks"])
+
+    keyed = words.select("word").mapInArrow(run, "key bigint, word string, cut int, asks boolean")
+    met = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_matched, "word string, near string")
+    met = materialize(met.distinct(), "near")
     return met.unionByName(met.select(F.col("near").alias("word"), F.col("word").alias("near"))).distinct()
 
 

@@ -4,7 +4,7 @@ from zlib import crc32
 import pytest
 
 from pairloom.llm.pivotal_grams import (
-    asked, filed, near_words, pivots_of, prefix_of, runs_of, spelling_variants, typo, word_counts,
+    _met, asked, filed, near_words, one_edit, pivots_of, prefix_of, runs_of, spelling_variants, typo, word_counts,
 )
 from tests.llm import brute
 
@@ -65,7 +65,7 @@ def test_words_one_edit_apart_meet(seed):
         (pa, pb) = prefix_of(a, rank), prefix_of(b, rank)
         x, y = pivots_of(pa)
         assert abs(x[1] - y[1]) >= 2
-        assert asked(a, [x, y]) & filed(b, pb) or asked(b, pivots_of(pb)) & filed(a, pa), (a, b)
+        assert asked(a, [x, y]).keys() & filed(b, pb).keys() or asked(b, pivots_of(pb)).keys() & filed(a, pa).keys(), (a, b)
 
 
 def test_pivots_are_the_rarest_disjoint_pair():
@@ -77,6 +77,16 @@ def test_pivots_are_the_rarest_disjoint_pair():
         assert sum(r for r, _ in pivots_of(prefix)) == least
 
 
+def test_one_edit_and_many_rows_of_a_key():
+    rng = random.Random(6)
+    words = sorted({"".join(rng.choices("abc", k=rng.randint(1, 5))) for _ in range(60)})
+    wanted = {(a, b) for a in words for b in words if brute.one_edit(a, b)}
+    assert {(a, b) for a in words for b in words if one_edit(a, b)} == wanted
+    rows = [(w, w) for w in words]
+    assert set(_met(rows, rows)) == wanted
+    assert {pair for r in rows for pair in _met(rows[:3], [r])} == {p for p in wanted if p[1] in words[:3]}
+
+
 def test_matches_brute_force(spark):
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS word", "2 AS key")
