@@ -8,6 +8,7 @@ one batch, keeps row lengths and maps NULL rows to NULL.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -171,28 +172,47 @@ def unpatch(tokens: Column | str, c: int, h: int, w: int, p: int) -> Column:
     return kernel(as_column(tokens))
 
 
+def _ids_of(words: pa.Array, vocab, pad: int) -> np.ndarray:
+    """Ids of words. The index over the vocabulary is kept in the broadcast value, so a worker builds it once."""
+    entries = vocab.value
+    if "index" not in entries:
+        entries["index"] = pd.Index(entries["tokens"].to_pandas())
+    if not len(words):
+        return np.empty(0, np.int32)
+    coded = words.dictionary_encode()
+    at = entries["index"].get_indexer(coded.dictionary.to_pandas())
+    found = np.where(at >= 0, np.asarray(entries["ids"], np.int32)[at] if len(entries["ids"]) else pad, pad)
+    return found[coded.indices.to_numpy(zero_copy_only=False)].astype(np.int32)
+
+
 def fixed_length_ids(tokens: Column, vocab, length: int, pad: int) -> Column:
     """Ids of at most ``length`` tokens per row, padded to it.
 
-    ``vocab`` is a broadcast variable of an Arrow array of tokens and their ids. The lookup is
-    one hashed Arrow call per batch.
+    ``vocab`` is a broadcast variable of an Arrow array of tokens and their ids.
     """
 
     @F.arrow_udf("array<int>")
     def kernel(rows: pa.Array) -> pa.Array:
-        words, numbers = vocab.value
         lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
-        at = pc.index_in(rows.flatten(), value_set=words.cast(pa.string()))
-        at = pc.fill_null(at, -1).to_numpy(zero_copy_only=False)
-        found = np.where(at >= 0, np.asarray(numbers, np.int32)[at], pad)
         ids = np.full((len(rows), length), pad, np.int32)
-        ids[np.arange(length) < lengths[:, None]] = found
+        ids[np.arange(length) < lengths[:, None]] = _ids_of(rows.flatten(), vocab, pad)
         missing = np.zeros(len(rows), bool)
         return _lists(ids.reshape(-1), np.full(len(rows), length), missing, pa.int32())
 
     return kernel(tokens)
 
 
+def token_ids(tokens: Column, vocab, pad: int) -> Column:
+    """Ids of all tokens of a row; ``vocab`` as for :func:`fixed_length_ids`."""
+
+    @F.arrow_udf("array<int>")
+    def kernel(rows: pa.Array) -> pa.Array:
+        lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+        return _lists(_ids_of(rows.flatten(), vocab, pad), lengths, np.zeros(len(rows), bool), pa.int32())
+
+    return kernel(tokens)
+
+
 def pooled_rows(ids: Column | str, table, pad: int | None, block: int = 256) -> Column:
     """Mean of the table's vectors at a row's ids, taken modulo its size.
 

@@ -7,6 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.operators.asof import as_of
+from pairloom.runtime import as_column
+
 
 def timestep_bin(t: Column | str, bins: int = 10) -> Column:
     """Bin of a timestep; what lies outside [0, 1) counts in the first or last, NULL in none."""
@@ -100,3 +103,57 @@ def eval_summary(batch_losses: DataFrame, n: int | None = None, *, batch: str =
     return used.agg(
         F.avg("loss").alias("loss"), F.count("*").alias("batches")
     )
+
+
+def log_window(step: Column | str, every: int) -> Column:
+    """The window that a step is logged with: the log at a multiple of ``every`` closes the steps up to it."""
+    return F.floor((as_column(step) + (every - 1)) / every).cast("bigint")
+
+
+def log_windows(
+    df: DataFrame, every: int, bins: int = 10, *, by: tuple[str, ...] = ("run",), step: str = "step", t: str = "t",
+    loss: str = "loss", whole: bool = False,
+) -> DataFrame:
+    """(by..., window, bin, loss, n): loss per timestep bin since the log before, of one row per step.
+
+    ``whole`` leaves out windows whose steps are not all there, such as the last of a run.
+    """
+    placed = df.withColumn("window", log_window(step, every))
+    means = loss_by_bin(placed, bins, t=t, loss=loss, by=(*by, "window"))
+    if not whole:
+        return means
+    steps = F.when(F.col("window") == 0, 1).otherwise(every)
+    full = placed.groupBy(*by, "window").agg(F.count("*").alias("_steps")).where(F.col("_steps") == steps)
+    return means.join(full.drop("_steps"), [*by, "window"])
+
+
+def eval_records(
+    evaluations: DataFrame, steps: DataFrame, *, b: int = 64, batches: int = 21, bins: int = 10,
+    by: tuple[str, ...] = ("run",), at: str = "ts", width: float = 3600.0,
+) -> DataFrame:
+    """(by..., ts, step, epoch, datapoints, loss, bin_0, ...): one record per evaluation.
+
+    ``evaluations`` has a row per sample (by..., ts, batch_id, t, loss), ``ts`` being that of the
+    evaluation; ``steps`` has (by..., ts, step, epoch). A record carries the count of steps done
+    by then, from the last step before it, the unweighted mean of the first ``batches`` batches,
+    and the mean loss of their samples per timestep bin.
+    """
+    place = F.coalesce(timestep_bin("t", bins), F.raise_error("a row has no timestep").cast("int"))
+    rows = evaluations.where(F.col("batch_id") < batches).withColumn("_bin", place)
+    per_batch = rows.groupBy(*by, at, "batch_id").agg(
+        F.avg("loss").alias("_mean"),
+        *[F.sum(F.when(F.col("_bin") == i, F.col("loss"))).alias(f"_s{i}") for i in range(bins)],
+        *[F.count_if(F.col("_bin") == i).alias(f"_n{i}") for i in range(bins)],
+    )
+    records = per_batch.groupBy(*by, at).agg(
+        F.avg("_mean").alias("loss"),
+        *[
+            (F.coalesce(F.sum(f"_s{i}"), F.lit(0.0)) / F.greatest(F.sum(f"_n{i}"), F.lit(1))).alias(f"bin_{i}")
+            for i in range(bins)
+        ],
+    )
+    found = as_of(records, steps.select(*by, at, "step", "epoch"), list(by), at=at, width=width, columns=["step", "epoch"])
+    done = F.coalesce(F.col("step") + 1, F.lit(0))
+    return found.select(
+        *by, at, done.alias("step"), "epoch", (done * b).alias("datapoints"), "loss", *[f"bin_{i}" for i in range(bins)]
+    )

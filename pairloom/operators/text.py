@@ -107,8 +107,8 @@ def share_vocab(vocab: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Sha
     if measured_bytes(vocab, "token") > broadcast_bytes:
         return SharedVocab(vocab, None)
     found = vocab.select("token", F.col("id").cast("int").alias("id")).toArrow().combine_chunks()
-    tokens, ids = found["token"].combine_chunks(), found["id"].to_numpy()
-    return SharedVocab(vocab, vocab.sparkSession.sparkContext.broadcast((tokens, ids)))
+    entries = {"tokens": found["token"].combine_chunks(), "ids": found["id"].to_numpy()}
+    return SharedVocab(vocab, vocab.sparkSession.sparkContext.broadcast(entries))
 
 
 def encode_in_place(
@@ -132,6 +132,29 @@ def encode_in_place(
     return df.withColumn(out, kernels.fixed_length_ids(cut, shared.entries, length, UNK))
 
 
+def encode_whole(
+    df: DataFrame, vocab: DataFrame | SharedVocab, *, text_col: str = "caption", out: str = "ids",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """All columns and the ids of every token of a text, uncut and without padding; none for a null text.
+
+    Works as :func:`encode_in_place` does. Beyond a vocabulary that can be broadcast, tokens are
+    joined by themselves and gathered by row; a text is the largest group.
+    """
+    shared = vocab if isinstance(vocab, SharedVocab) else share_vocab(vocab, broadcast_bytes)
+    cut = F.coalesce(tokens(text_col), F.array().cast("array<string>"))
+    if shared.entries is not None:
+        return df.withColumn(out, kernels.token_ids(cut, shared.entries, UNK))
+    tagged = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "captions")
+    long = tagged.select("_row", F.posexplode(cut).alias("_pos", "token"))
+    known = shared.table.select("token", F.col("id").cast("int").alias("_id"))
+    found = skewed_join(long, known, "token", salt_by=["_row", "_pos"])
+    entry = F.struct("_pos", F.coalesce("_id", F.lit(UNK)).alias("_id"))
+    ids = found.groupBy("_row").agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["_id"]).alias(out))
+    none = F.array().cast("array<int>")
+    return tagged.join(ids, "_row", "left").select(*df.columns, F.coalesce(out, none).alias(out))
+
+
 def expand_prompts(df: DataFrame, n: int) -> DataFrame:
     """``n`` consecutive copies of each row, numbered by ``copy``."""
     if n < 1:

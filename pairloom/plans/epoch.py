@@ -5,28 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.operators.epochs import bounded_shuffle, epoch_limit, resample_shards, with_batches
+from pairloom.operators.epochs import bounded_shuffle, epoch_limit, fill_epoch, with_batches
 from pairloom.operators.index import with_index
 
 
 def plan_epoch(
-    samples: DataFrame, *, epoch: int, seed: int, b: int, max_items: int, n_draws: int | None = None,
+    samples: DataFrame, *, epoch: int, seed: int, b: int, max_items: int, resampled: bool = False,
     buf: int | None = 1024, key: str = "id", shard: str = "shard",
 ) -> DataFrame:
-    """(batch_id, pos, key) of one epoch.
+    """(batch_id, pos, key) of one epoch of ``max_items // b`` batches.
 
-    With ``n_draws`` shards are drawn with replacement; without, the epoch is one pass. The
-    same arguments give the same plan, so any epoch can be repeated or audited.
+    ``resampled`` draws shards with replacement until these batches are full, exactly. Else the
+    epoch is one pass, which may end before. The same arguments give the same plan, so any epoch
+    can be repeated or audited.
     """
-    keys = samples.select(key, shard)
-    if n_draws is None:
-        drawn = keys.withColumn("draw", F.col(shard).cast("bigint"))
+    if resampled:
+        numbered = fill_epoch(samples, max_items // b * b, seed, epoch, shard=shard, key=key)
     else:
-        drawn = resample_shards(keys, n_draws, seed, epoch, shard=shard, key=key)
-    # A repeated sample is told apart by its draw.
-    numbered = with_index(drawn.select("draw", key), "draw", key)
+        drawn = samples.select(key, F.col(shard).cast("bigint").alias("draw"))
+        numbered = with_index(drawn, "draw", key)
     order = "idx"
     if buf is None or buf > 1:
+        # A repeated sample is told apart by its draw.
         numbered = bounded_shuffle(numbered, buf, seed, epoch, key=("draw", key), out="_place")
         order = "_place"
     return epoch_limit(with_batches(numbered, b, index=order), max_items, b).select(

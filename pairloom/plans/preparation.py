@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pairloom.functions.arrays import normalize_latent
@@ -10,6 +10,7 @@ from pairloom.operators.samples import extract_caption, is_json, with_reject_rea
 from pairloom.operators.text import SharedVocab, encode_in_place
 
 OK = "ok"
+VERDICTS = (OK, "bad_json", "no_caption", "no_latent")
 
 
 def prepare(
@@ -40,6 +41,12 @@ def prepare(
     )
 
 
-def write_prepared(prepared: DataFrame, path: str) -> None:
-    """Replace the table at ``path``, partitioned by verdict."""
-    prepared.write.mode("overwrite").partitionBy("verdict").parquet(path)
+def write_prepared(prepared: DataFrame, path: str) -> dict[str, int]:
+    """Replace the table at ``path``, partitioned by verdict, and count its rows per verdict on the way.
+
+    The counts come from the write itself; the input is read once.
+    """
+    seen = Observation("verdicts")
+    counts = [F.count_if(F.col("verdict") == v).alias(v) for v in VERDICTS]
+    prepared.observe(seen, *counts).write.mode("overwrite").partitionBy("verdict").parquet(path)
+    return {v: n for v, n in seen.get.items() if n}

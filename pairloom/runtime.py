@@ -73,36 +73,36 @@ def lookup_join(
     """Equi-join a large, possibly skewed ``df`` with a lookup table of known size.
 
     ``size`` is an upper bound on the lookup's bytes. Within ``limit`` the lookup is
-    broadcast and ``df`` does not move. Beyond it the join is shuffled on (``on``, salt):
-    each key of ``df`` spreads over ``salts`` tasks, so no hot key lands in one of them.
+    broadcast and ``df`` does not move. Beyond it both are shuffled, and keys that very many rows
+    of ``df`` share are split as in :func:`skewed_join`; the rest of the lookup moves once.
     """
     if size <= limit:
         return df.join(F.broadcast(lookup), on, how)
-    spread = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, [*on, "_salt"], how).drop("_salt")
+    return skewed_join(df, lookup, on, salt_by=salt_by, salts=salts, how=how)
 
 
 def skewed_join(
-    df: DataFrame, other: DataFrame, key: str, *, salt_by: list[str] | None = None,
-    hot_rows: int = HOT_ROWS, salts: int = SALTS,
+    df: DataFrame, other: DataFrame, key: str | list[str], *, salt_by: list[str] | None = None,
+    hot_rows: int = HOT_ROWS, salts: int = SALTS, how: str = "left",
 ) -> DataFrame:
-    """Left join of two large tables where a key may repeat very often in ``df``.
+    """Join of two large tables where a key may repeat very often in ``df``.
 
-    ``other`` has each key once. Keys with more than ``hot_rows`` rows are found by a count
-    that is combined before its shuffle; there can be only rows / ``hot_rows`` of them. Their
-    rows spread over ``salts`` tasks by a hash of ``salt_by`` (all columns by default) and
-    only their matches are copied. Rows without a key match nothing and spread as well.
+    Keys with more than ``hot_rows`` rows are found by a count that is combined before its
+    shuffle; there can be only rows / ``hot_rows`` of them. Their rows spread over ``salts`` tasks
+    by a hash of ``salt_by`` (all columns by default) and only their matches are copied. Rows
+    without a key match nothing and spread as well.
     """
-    counts = df.groupBy(key).agg(F.count("*").alias("_n"))
-    hot = counts.where(F.col("_n") > hot_rows).select(key, F.lit(True).alias("_hot"))
+    keys = [key] if isinstance(key, str) else list(key)
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    hot = counts.where(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
     row_hash = F.pmod(F.xxhash64(*(salt_by or df.columns)), F.lit(salts)).cast("int")
-    spread = df.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), row_hash).otherwise(0)
-    )
+    apart = F.col("_hot")
+    for k in keys:
+        apart = apart | F.col(k).isNull()
+    spread = df.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.when(apart, row_hash).otherwise(0))
     every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copies = other.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(every))
-    return spread.drop("_hot").join(copies.drop("_hot"), [key, "_salt"], "left").drop("_salt")
+    copies = other.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(every))
+    return spread.drop("_hot").join(copies.drop("_hot"), [*keys, "_salt"], how).drop("_salt")
 
 
 def as_column(c: Column | str | int) -> Column:
@@ -110,14 +110,3 @@ def as_column(c: Column | str | int) -> Column:
     if isinstance(c, Column):
         return c
     return F.col(c) if isinstance(c, str) else F.lit(c)
-
-
-def use_small_batches(spark: SparkSession, row_bytes: int, batch_bytes: int = 16 << 20) -> None:
-    """Size vectorised readers and Arrow batches for wide rows.
-
-    The defaults (4,096 and 10,000 rows) hold hundreds of megabytes per task once a row
-    carries a latent of 16,384 values.
-    """
-    n = str(max(1, min(4096, batch_bytes // max(1, row_bytes))))
-    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", n)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+FOOTER_READS = 16
+
 
 def load_metadata_shards(
     spark: SparkSession, folder: str, n: int, pattern: str = "metadata.{i:02d}.parquet",
@@ -14,15 +18,17 @@ def load_metadata_shards(
     """Concatenate shards 0..n-1 in one scan.
 
     Every shard must have, in any order, the columns and types of ``schema``, or of the first shard if none
-    is given; this reads footers only.
+    is given; this reads footers only, those of several shards at a time.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
     paths = [f"{folder.rstrip('/')}/{pattern.format(i=i)}" for i in range(n)]
-    for path in paths:
-        found = spark.read.parquet(path).schema
-        schema = schema or found
-        fields, wanted = (sorted((f.name, f.dataType.simpleString()) for f in s) for s in (found, schema))
+    with ThreadPoolExecutor(FOOTER_READS) as pool:
+        found = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
+    schema = schema or found[0]
+    wanted = sorted((f.name, f.dataType.simpleString()) for f in schema)
+    for path, own in zip(paths, found):
+        fields = sorted((f.name, f.dataType.simpleString()) for f in own)
         if fields != wanted:
             raise ValueError(f"{path} has schema {fields}, expected {wanted}")
     return spark.read.schema(schema).parquet(*paths)

@@ -21,6 +21,8 @@ from pairloom.runtime import ship_by_value
 HEADERS = "path string, shard string, name string, key string, ext string, offset long, size long"
 # Payload rows handed to Arrow at a time, bounding a task's memory.
 READ_BYTES = 64 * 1024 * 1024
+# Bytes of tar files that one task reads: what a lost one costs again.
+TASK_BYTES = 256 * 1024 * 1024
 FILE_URI = re.compile(r"^file:/+")
 
 
@@ -31,12 +33,21 @@ def _open(path: str):
     return system.open_input_file(inside)
 
 
-def list_tar_members(spark: SparkSession, glob: str) -> DataFrame:
-    """One row per regular member: where it lies, its sample key and its extension.
+def sample_name(member: tarfile.TarInfo) -> tuple[str, str] | None:
+    """(key, extension) of a regular member; None if it holds no sample.
 
     A member ``dir/a.b.c`` belongs to key ``dir/a`` with extension ``b.c``, in lower case.
     Names whose last part starts with a dot, and ``__`` directories, hold no sample.
     """
+    folder, _, base = member.name.rpartition("/")
+    stem, dot, ext = base.partition(".")
+    if not member.isfile() or not stem or not dot or base.startswith("__"):
+        return None
+    return (f"{folder}/{stem}" if folder else stem), ext.lower()
+
+
+def list_tar_members(spark: SparkSession, glob: str) -> DataFrame:
+    """One row per member that holds part of a sample: where it lies, its key and its extension."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -46,25 +57,27 @@ def list_tar_members(spark: SparkSession, glob: str) -> DataFrame:
                 with _open(path) as source, tarfile.open(fileobj=source, mode="r:") as tar:
                     for member in tar:
                         tar.members.clear()
-                        folder, _, base = member.name.rpartition("/")
-                        stem, dot, ext = base.partition(".")
-                        if not member.isfile() or not stem or not dot or base.startswith("__"):
+                        named = sample_name(member)
+                        if named is None:
                             continue
-                        key = f"{folder}/{stem}" if folder else stem
-                        rows.append(
-                            (path, shard, member.name, key, ext.lower(), member.offset_data, member.size)
-                        )
+                        rows.append((path, shard, member.name, *named, member.offset_data, member.size))
                         if len(rows) >= 10_000:
                             yield pd.DataFrame(rows, columns=columns)
                             rows = []
                 yield pd.DataFrame(rows, columns=columns)
 
     columns = [c.split()[0] for c in HEADERS.split(", ")]
-    files = spark.read.format("binaryFile").load(glob).select("path")
-    spread = files.repartition(spark.sparkContext.defaultParallelism)
+    files = spark.read.format("binaryFile").load(glob).select("path", "length")
+    n_files, size = files.agg(F.count("*"), F.sum("length")).first()
+    spread = files.select("path").repartition(max(1, min(n_files, _tasks(spark, size))))
     return spread.mapInPandas(run, HEADERS)
 
 
+def _tasks(spark: SparkSession, size: int | None) -> int:
+    """Tasks for so many bytes: one for each ``TASK_BYTES``, and all cores at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-(size or 0) // TASK_BYTES))
+
+
 def import_tar_shards(
     spark: SparkSession, glob: str, exts: tuple[str, ...] = ("jpg", "png", "json"), *,
     partitions: int | None = None,
@@ -103,6 +116,7 @@ def import_tar_shards(
             source.close()
 
     names = ["shard", "key", *exts]
+    files = spark.read.format("binaryFile").load(glob).select("path", "length")
     members = list_tar_members(spark, glob)
     where = [
         F.max(F.when(F.col("ext") == ext, F.struct("offset", "size"))).alias(f"at_{i}")
@@ -115,7 +129,7 @@ def import_tar_shards(
         F.least(*[F.col(f"at_{i}.offset") for i in range(len(exts))] + [F.lit(1 << 62)]).alias("_first"),
     )
     # Ranges of (path, offset): each task reads neighbouring bytes, and a huge file is split.
-    n = partitions or spark.sparkContext.defaultParallelism
+    n = partitions or _tasks(spark, files.agg(F.sum("length")).first()[0])
     located = flat.repartitionByRange(n, "path", "_first").sortWithinPartitions("path", "_first")
     schema = "shard string, key string, " + ", ".join(f"`{e}` binary" for e in exts)
     return located.drop("_first").mapInPandas(run, schema)

@@ -107,7 +107,11 @@ def captions(spark, sf) -> DataFrame:
 
 
 def samples(spark, sf) -> DataFrame:
-    return captions(spark, sf).join(latents(spark, sf), "id")
+    """Every document with a latent; there are fewer latents, so they repeat."""
+    x = latents(spark, sf)
+    x = x.select(F.col("id").alias("_at"), "x")
+    at = F.col("id") % x.count()
+    return captions(spark, sf).withColumn("_at", at).join(x, "_at").drop("_at")
 
 
 def sharded_samples(spark, sf) -> DataFrame:
@@ -149,6 +153,43 @@ def step_log(spark, sf) -> DataFrame:
     )
 
 
+RUNS, LOG_EVERY = 3, 100
+EVAL_EVERY, EVAL_ROWS = 50, 10
+
+
+def run_log(spark, sf) -> DataFrame:
+    """Steps of three runs that log at once: (run, step, epoch, t, loss, ts)."""
+    step = F.floor(F.col("event_id") / RUNS).cast("bigint")
+    return table(spark, sf, "events").select(
+        (F.col("event_id") % RUNS).alias("run"), step.alias("step"), F.floor(step / 500).cast("bigint").alias("epoch"),
+        h("event_id", "t").alias("t"), F.col("value").alias("loss"), F.col("ts").cast("timestamp").alias("ts"),
+    )
+
+
+def evaluations(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Every fortieth row of a run is followed by ten of an evaluation, in batches of two: (samples, steps)."""
+    rows = run_log(spark, sf)
+    turn, place = F.floor(F.col("step") / EVAL_EVERY), F.col("step") % EVAL_EVERY
+    first = EVAL_EVERY - EVAL_ROWS
+    tests = rows.where(place >= first).select(
+        "run", turn.alias("turn"), ((place - first) / 2).cast("bigint").alias("batch_id"), "t", "loss", "ts"
+    )
+    begun = tests.groupBy("run", "turn").agg(F.min("ts").alias("ts"))
+    samples = tests.drop("ts").join(begun, ["run", "turn"]).drop("turn")
+    steps = rows.where(place < first).select("run", (turn * first + place).alias("step"), "epoch", "ts")
+    return samples, steps
+
+
+def chunked(df: DataFrame, label: str, parts: list[Column]) -> str:
+    """A folder with one written file set per condition, each after the one before, as a stream finds them."""
+    from pairloom.runtime import work_dir
+
+    folder = work_dir(df.sparkSession, label)
+    for part in parts:
+        df.where(part).coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
 def raw_samples(spark, sf) -> DataFrame:
     u = h("id", "broken")
     good = F.to_json(F.struct("caption"))

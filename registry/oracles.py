@@ -93,10 +93,10 @@ MEMBERS = f"""members AS (SELECT event_id AS id,
        THEN 'tensor' ELSE 'raw' END AS kind FROM events)"""
 CAPTION_OF = """read AS (SELECT id, json_valid(json) AS fine,
   CASE WHEN json_valid(json) THEN json_extract_string(json, '$.k') END AS caption FROM members)"""
-SAMPLES = """samples AS (SELECT doc_id AS id, text, embedding FROM documents
-  JOIN embeddings ON doc_id = vec_id)"""
+SAMPLES = """samples AS (SELECT doc_id AS id, text, embedding, vec_id FROM documents
+  JOIN embeddings ON vec_id = doc_id % (SELECT count(*) FROM embeddings))"""
 SHARDED = f"""{SAMPLES},
-  sharded AS (SELECT id, embedding, ((row_number() OVER (ORDER BY id) - 1) // 50)::INTEGER AS shard FROM samples)"""
+  sharded AS (SELECT id, vec_id, ((row_number() OVER (ORDER BY id) - 1) // 50)::INTEGER AS shard FROM samples)"""
 NUMBERED = "numbered AS (SELECT doc_id AS id, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents)"
 TOKENS = """toks AS (SELECT doc_id AS id, text,
   list_filter(string_split_regex(text, '[ \\n]'), lambda t: t <> '') AS t FROM documents)"""
@@ -108,8 +108,12 @@ ENCODED = f"""{VOCAB}, placed AS (SELECT id, unnest(t) AS token, generate_subscr
   FROM (SELECT id, unnest(range(128)) AS pos FROM toks) d
   LEFT JOIN (SELECT * FROM placed WHERE pos < 128) w ON w.id = d.id AND w.pos = d.pos
   LEFT JOIN vocab v ON v.token = w.token)"""
-VECTORS = f"""{LAT}, {ENCODED}, wrapped AS (SELECT id, pos, token_id, token_id % n AS row
-    FROM enc CROSS JOIN (SELECT count(*) AS n FROM embeddings)),
+# All tokens of a text, without cut or padding; a text without tokens has no row.
+WHOLE = f"""{VOCAB}, placed AS (SELECT id, unnest(t) AS token, generate_subscripts(t, 1) - 1 AS pos FROM toks),
+  whole AS (SELECT p.id, p.pos::INTEGER AS pos, coalesce(v.id, 0)::INTEGER AS token_id
+    FROM placed p LEFT JOIN vocab v USING (token))"""
+VECTORS = f"""{LAT}, {WHOLE}, wrapped AS (SELECT id, pos, token_id, token_id % n AS row
+    FROM whole CROSS JOIN (SELECT count(*) AS n FROM embeddings)),
   vecs AS (SELECT e.id, e.pos, e.token_id, l.pos AS dim, l.x FROM wrapped e JOIN lat l ON l.id = e.row)"""
 STEP_LOG = f"""steps AS (SELECT event_id AS step, event_id // 1000 AS epoch, {h('event_id', 't')} AS t,
   value AS loss FROM events)"""
@@ -164,8 +168,33 @@ TOKEN_IDS = f"WITH {ENCODED} SELECT id, pos, token_id FROM enc"
 NORMALIZED = f"WITH {LAT} SELECT id, pos, {r('(x - 1.159e-1) * 3.611e-1')} AS value FROM lat"
 PLAIN = f"WITH {LAT} SELECT id, pos, {r('x')} AS value FROM lat"
 PATCHED = f"WITH {PATCHES} SELECT id, patch, pos, {r('x')} AS value FROM patches"
-PLANNED = f"""{DRAWS},
-      turns AS (SELECT id, draw, row_number() OVER (ORDER BY draw, id) - 1 AS idx FROM drawn),
+RUN_LOG = f"""log AS (SELECT event_id % 3 AS run, event_id // 3 AS step, event_id // 3 // 500 AS epoch,
+  {h('event_id', 't')} AS t, value AS loss, ts FROM events)"""
+WINDOWS = f"""WITH {RUN_LOG}, placed AS (SELECT *, (step + 99) // 100 AS "window" FROM log),
+  windows AS (SELECT run, "window", count(*) AS steps FROM placed GROUP BY 1, 2)
+  SELECT w.run, w."window", b.bin, {r('coalesce(sum(loss), 0e0) / greatest(count(step), 1)')} AS loss, count(step) AS n
+  FROM windows w CROSS JOIN (SELECT unnest(range(10))::INTEGER AS bin) b
+  LEFT JOIN placed p ON p.run = w.run AND p."window" = w."window" AND least(floor(t * 10), 9) = b.bin
+  {{where}} GROUP BY w.run, w."window", b.bin"""
+
+
+def filled(epoch: int, tag: str = "") -> str:
+    """Draws of an epoch until their rows reach its items, and the rows they give."""
+    return f"""draws{tag} AS (SELECT draw, floor({u(SEED, 'shard', epoch, 'draw')} * (SELECT count(*) FROM listed))::BIGINT AS nth
+    FROM (SELECT unnest(range((SELECT items FROM goal) // (SELECT min(n) FROM listed) + 1)) AS draw)),
+  begun{tag} AS (SELECT draw, shard, (sum(n) OVER (ORDER BY draw) - n)::BIGINT AS start FROM draws{tag} JOIN listed USING (nth)),
+  turns{tag} AS (SELECT draw, id, start + place AS idx FROM begun{tag} JOIN inside USING (shard)
+    WHERE start + place < (SELECT items FROM goal))"""
+
+
+def lists(items: str) -> str:
+    return f"""{SHARDED}, goal AS (SELECT {items} AS items FROM sharded),
+  listed AS (SELECT shard, count(*) AS n, row_number() OVER (ORDER BY shard) - 1 AS nth FROM sharded GROUP BY shard),
+  inside AS (SELECT shard, id, row_number() OVER (PARTITION BY shard ORDER BY id) - 1 AS place FROM sharded)"""
+
+
+FILLED = f"{lists('(count(*) * 3 // 2 + 7) // 16 * 16')}, {filled(3)}"
+PLANNED = f"""{FILLED},
       places AS (SELECT id, (idx // 100) * 100 + row_number() OVER (PARTITION BY idx // 100
         ORDER BY {shuffle_order(SEED, 'shuffle', 3, 'draw', 'id')}, draw, id) - 1 AS place FROM turns)"""
 EVALUATED = f"""{SAMPLES}, {LAT},
@@ -173,7 +202,7 @@ EVALUATED = f"""{SAMPLES}, {LAT},
       used AS (SELECT id, place // 16 AS batch_id, (place // 16) || '-' || (place % 16) AS slot
         FROM firsts),
       el AS (SELECT batch_id, slot, {sigmoid(normal(SEED, 't', 0, 'slot'))} AS t,
-        {normal_at('pos', SEED, 'eps', 0, 'slot')} - (x - 1.159e-1) * 3.611e-1 AS v FROM used JOIN lat USING (id)),
+        {normal_at('pos', SEED, 'eps', 0, 'slot')} - (x - 1.159e-1) * 3.611e-1 AS v FROM used JOIN samples USING (id) JOIN lat ON lat.id = vec_id),
       losses AS (SELECT batch_id, slot, min(t) AS t, sum(v * v) / count(*) AS loss FROM el GROUP BY batch_id, slot)"""
 PREPARED_ROWS = f"""WITH {PREPARED} SELECT id, url, caption_md5, n_ids, ids_dot, latent_dot FROM
   (SELECT id, url, md5(text) AS caption_md5 FROM raw WHERE b >= 1e-1)
@@ -194,10 +223,58 @@ ORACLES: dict[str, str] = {
       LEFT JOIN per_sample ON least(floor(t * 10), 9) = b.bin GROUP BY b.bin""",
     "plan_epoch": f"""WITH {PLANNED}
       SELECT place // 16 AS batch_id, (place % 16)::INTEGER AS pos, id FROM places""",
+    "plan_epoch_one_pass": f"""WITH {SHARDED},
+      turns AS (SELECT id, shard AS draw, row_number() OVER (ORDER BY shard, id) - 1 AS idx FROM sharded),
+      places AS (SELECT id, (idx // 100) * 100 + row_number() OVER (PARTITION BY idx // 100
+        ORDER BY {shuffle_order(SEED, 'shuffle', 3, 'draw', 'id')}, draw, id) - 1 AS place FROM turns)
+      SELECT place // 16 AS batch_id, (place % 16)::INTEGER AS pos, id FROM places
+      WHERE place // 16 < ((SELECT count(*) FROM sharded) - 5) // 16""",
+    "place_shards": f"""WITH {SHARDED}, dealt AS (SELECT id, shard, (shard % 3)::INTEGER AS node,
+      ((shard // 3) % 2)::INTEGER AS worker FROM sharded) SELECT *, node * 2 + worker AS task FROM dealt""",
+    "batch_stream": f"""WITH {lists('count(*) * 3 // 2 + 7')}, {filled(3)}, {filled(4, '_4')},
+      seen AS (SELECT draw % 3 AS worker, 3 AS epoch, idx, id FROM turns
+        UNION ALL SELECT draw % 3, 4, idx, id FROM turns_4),
+      placed AS (SELECT worker, id, row_number() OVER (PARTITION BY worker ORDER BY epoch, idx) - 1 AS place,
+        count(*) OVER (PARTITION BY worker) AS n FROM seen)
+      SELECT worker, place // 16 AS batch_id, (place % 16)::INTEGER AS pos, id FROM placed WHERE place // 16 < n // 16""",
+    "log_windows": WINDOWS.format(where=""),
+    "log_windows_stream": WINDOWS.format(where='WHERE w.steps = CASE w."window" WHEN 0 THEN 1 ELSE 100 END'),
+    "eval_records": f"""WITH {RUN_LOG}, turned AS (SELECT *, step // 50 AS turn, step % 50 AS place FROM log),
+      begun AS (SELECT run, turn, min(ts) AS ts FROM turned WHERE place >= 40 GROUP BY run, turn),
+      steps AS (SELECT run, turn * 40 + place AS step, epoch, ts FROM turned WHERE place < 40),
+      used AS (SELECT run, turn, (place - 40) // 2 AS batch_id, least(floor(t * 10), 9) AS bin, loss
+        FROM turned WHERE place >= 40 AND (place - 40) // 2 < 4),
+      means AS (SELECT run, turn, avg(loss) AS loss FROM
+        (SELECT run, turn, batch_id, avg(loss) AS loss FROM used GROUP BY ALL) GROUP BY ALL),
+      bins AS (SELECT run, turn, {', '.join(f"{r(f'coalesce(avg(loss) FILTER (bin = {i}), 0e0)')} AS bin_{i}" for i in range(10))}
+        FROM used GROUP BY run, turn)
+      SELECT e.run, coalesce(s.step + 1, 0) AS step, s.epoch, coalesce(s.step + 1, 0) * 64 AS datapoints,
+        {r('m.loss')} AS loss, b.* EXCLUDE (run, turn)
+      FROM begun e ASOF LEFT JOIN steps s ON e.run = s.run AND e.ts >= s.ts
+      JOIN means m ON m.run = e.run AND m.turn = e.turn JOIN bins b ON b.run = e.run AND b.turn = e.turn""",
+    "roll_shards": """WITH RECURSIVE rows AS (SELECT doc_id AS id, coalesce(strlen(text), 0) AS bytes,
+        row_number() OVER (ORDER BY doc_id) AS place FROM documents),
+      rolled AS (SELECT 0::BIGINT AS place, NULL::BIGINT AS id, 0 AS shard, 0::BIGINT AS n, 0::BIGINT AS held
+        UNION ALL SELECT r.place, r.id, CASE WHEN n >= 40 OR held >= 60000 THEN shard + 1 ELSE shard END,
+          CASE WHEN n >= 40 OR held >= 60000 THEN 1 ELSE n + 1 END,
+          CASE WHEN n >= 40 OR held >= 60000 THEN r.bytes ELSE held + r.bytes END
+        FROM rolled JOIN rows r ON r.place = rolled.place + 1)
+      SELECT id, shard FROM rolled WHERE place > 0""",
+    "attach_arrivals": f"""WITH {MANIFEST}, {PAYLOADS}
+      SELECT m.id, url, CASE WHEN data IS NOT NULL THEN 'ok' ELSE 'timeout' END AS status, strlen(data) AS n_bytes,
+        md5(data) AS data_md5
+      FROM manifest m LEFT JOIN (SELECT * FROM payloads WHERE floor(elapsed_s * 1e6) <= 8e6) p ON m.id = p.id""",
+    "read_tar_range": f"""WITH {MANIFEST}, files AS (SELECT lpad((id // 50)::VARCHAR, 5, '0') AS shard,
+        lpad(id::VARCHAR, 9, '0') AS key, caption, html FROM manifest JOIN pages ON id = page_id)
+      SELECT shard, key, 'jpg' AS ext, md5(html) AS data_md5 FROM files WHERE shard > '00000'
+      UNION ALL SELECT shard, key, 'json', NULL FROM files
+      WHERE shard > '00000'""",
+    "prepare_observed": f"""WITH {PREPARED}, v AS (SELECT CASE WHEN b < 5e-2 THEN 'bad_json' WHEN b < 1e-1 THEN 'no_caption'
+      WHEN has_latent THEN 'ok' ELSE 'no_latent' END AS verdict FROM raw) SELECT verdict, count(*) AS n FROM v GROUP BY 1""",
     "train_epoch": f"""WITH {PLANNED}, {LAT},
       slots AS (SELECT id, place // 16 + 1000 AS step, (place // 16) || '-' || (place % 16) AS slot FROM places),
       el AS (SELECT step, slot, {normal_at('pos', SEED, 'eps', 3, 'slot')} - (x - 1.159e-1) * 3.611e-1 AS v
-        FROM slots JOIN lat USING (id)),
+        FROM slots JOIN samples USING (id) JOIN lat ON lat.id = vec_id),
       per AS (SELECT step, slot, sum(v * v) / count(*) AS loss FROM el GROUP BY step, slot)
       SELECT step, 3 AS epoch, {r('avg(loss)')} AS loss, count(*) AS n,
         count_if({u(SEED, 'dropout', 3, 'slot')} <= 1e-1)::BIGINT AS kept FROM per GROUP BY step""",
@@ -255,7 +332,7 @@ ORACLES: dict[str, str] = {
     "decode_members": f"""WITH {MEMBERS} SELECT id, kind, CASE WHEN kind = 'text' THEN json END AS text
       FROM members""",
     "write_sample_shards": f"""WITH {SHARDED}, {LAT} SELECT id, shard, lpad(shard::VARCHAR, 6, '0') AS name,
-      x_sum FROM sharded JOIN (SELECT id, {r('sum(x)')} AS x_sum FROM lat GROUP BY id) USING (id)""",
+      x_sum FROM sharded JOIN (SELECT id AS vec_id, {r('sum(x)')} AS x_sum FROM lat GROUP BY id) USING (vec_id)""",
     "write_arrival_shards": f"WITH {NUMBERED} SELECT id, (idx // 50)::INTEGER AS shard FROM numbered",
     "read_shard_range": f"WITH {SHARDED} SELECT id, shard FROM sharded WHERE shard BETWEEN 1 AND 3",
     "count_assets": f"""SELECT CASE WHEN {h('page_id', 'ext')} < 7e-1 THEN 'jpg' ELSE 'png' END AS ext,
@@ -297,6 +374,7 @@ ORACLES: dict[str, str] = {
     "build_vocab": f"WITH {VOCAB} SELECT token, id, n FROM vocab",
     "encode_fixed_length": TOKEN_IDS,
     "encode_in_place": TOKEN_IDS,
+    "encode_whole": f"WITH {WHOLE} SELECT id, pos, token_id FROM whole",
     "expand_prompts": """SELECT doc_id AS id, c.copy::INTEGER AS copy, md5(text) AS caption_md5
       FROM documents CROSS JOIN (SELECT unnest(range(3)) AS copy) c""",
     "lookup_embeddings": f"""WITH {VECTORS} SELECT id, pos, token_id, {r('sum(x * (dim + 1))')} AS vec_dot
@@ -375,6 +453,8 @@ ORACLES: dict[str, str] = {
 # Second paths of an operator, taken for wide rows or large tables, have to give the same.
 for _name, _same in {
     "lookup_embeddings_salted": "lookup_embeddings", "encode_in_place_joined": "encode_in_place",
+    "encode_whole_joined": "encode_whole", "read_tar_members": "import_tar_shards",
+    "prepare_stream_observed": "prepare_observed",
     "mean_pool_joined": "mean_pool", "fill_condition_hot": "fill_condition",
     "make_flow_rows_wide": "make_flow_rows", "flow_loss_wide": "flow_loss", "guide_wide": "guide",
     "replay_states_wide": "replay_states", "replay_predictions_wide": "replay_predictions",

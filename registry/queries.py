@@ -10,20 +10,22 @@ from pyspark.sql import functions as F
 
 from pairloom.functions import arrays
 from pairloom.functions.rand import uniform
-from pairloom.operators import epochs, flow, images, index, metrics, samples, text
+from pairloom.operators import buffer, epochs, flow, images, index, metrics, samples, text
 from pairloom.operators import latents as lat
 from pairloom.plans.epoch import attach_rows, plan_epoch
 from pairloom.plans.loss_profile import loss_profile
-from pairloom.plans.preparation import prepare
+from pairloom.plans.preparation import prepare, write_prepared
 from pairloom.plans.samples import build_samples, read_pairs
 from pairloom.plans.sampling import decoded_steps, to_pixels
 from pairloom.plans.training import evaluate, step_losses, training_rows
-from pairloom.runtime import ship_by_value, work_dir
+from pairloom.runtime import materialize, ship_by_value, work_dir
 from pairloom.schemas import MANIFEST
 from pairloom.sources import manifest as man
-from pairloom.sources import shards, tar
+from pairloom.sources import rolling, shards, tar, tar_ranges
 from pairloom.streaming.monitor import loss_monitor, start_monitor
+from pairloom.streaming.payloads import attach_arrivals
 from pairloom.streaming.prepare import prepare_stream
+from pairloom.streaming.state import batch_stream, land, log_window_stream, stateful_session
 from registry import fixtures as fx
 
 SEED = 12
@@ -104,6 +106,24 @@ def import_tar_shards(spark, sf):
     )
 
 
+def read_tar_members(spark, sf):
+    """Ranges much smaller than the files, so that members and samples cross them."""
+    members = tar_ranges.read_tar_members(spark, _tars(spark, sf), range_bytes=8192)
+    texts = samples.extract_caption(tar_ranges.tar_samples(members).withColumn("note", F.decode("json", "UTF-8")), "note")
+    return texts.select(
+        "shard", "key", "caption", F.octet_length("jpg").cast("bigint").alias("jpg_bytes"),
+        F.md5("jpg").alias("jpg_md5"), F.col("png").isNotNull().alias("has_png"),
+    )
+
+
+def read_tar_range(spark, sf):
+    folder = _tars(spark, sf).removesuffix("/*.tar")
+    last = fx.table(spark, sf, "pages").agg(F.max("page_id")).first()[0] // fx.SHARD_ROWS
+    members = tar_ranges.read_tar_members(spark, f"{folder}/{{00000..{last:05d}}}.tar").where("shard > '00000'")
+    image = F.when(F.col("ext") == "jpg", F.md5("data"))
+    return members.select("shard", "key", "ext", image.alias("data_md5"))
+
+
 def decode_members(spark, sf):
     return tar.decode_members(fx.members(spark, sf)).select("id", "kind", "text")
 
@@ -242,19 +262,32 @@ def expand_prompts(spark, sf):
     return text.expand_prompts(fx.captions(spark, sf), 3).select("id", "copy", F.md5("caption").alias("caption_md5"))
 
 
+def encode_whole(spark, sf):
+    return lat.to_long(_whole_ids(spark, sf), "id", x="ids", value="token_id")
+
+
+def encode_whole_joined(spark, sf):
+    ids = text.encode_whole(fx.captions(spark, sf), fx.vocab(spark, sf), broadcast_bytes=0)
+    return lat.to_long(ids, "id", x="ids", value="token_id")
+
+
+def _whole_ids(spark, sf):
+    return text.encode_whole(fx.captions(spark, sf), fx.vocab(spark, sf)).select("id", "ids")
+
+
 def _vectors(spark, sf):
     lookup = fx.latents(spark, sf).select(F.col("id").alias("token_id"), F.col("x").alias("vec"))
-    return text.lookup_embeddings(_encoded(spark, sf), lookup)
+    return text.lookup_embeddings(_whole_ids(spark, sf), lookup)
 
 
 def _pooled(spark, sf, **options):
     table = fx.latents(spark, sf).select(F.col("id").alias("token_id"), F.col("x").alias("vec"))
-    return long(text.pool_embeddings(_encoded(spark, sf), table, dim=64, **options), "id", x="pooled")
+    return long(text.pool_embeddings(_whole_ids(spark, sf), table, dim=64, **options), "id", x="pooled")
 
 
 def lookup_embeddings_salted(spark, sf):
     table = fx.latents(spark, sf).select(F.col("id").alias("token_id"), F.col("x").alias("vec"))
-    found = text.lookup_embeddings(_encoded(spark, sf), table, broadcast_bytes=0)
+    found = text.lookup_embeddings(_whole_ids(spark, sf), table, broadcast_bytes=0)
     return found.select("id", "pos", "token_id", dot("vec").alias("vec_dot"))
 
 
@@ -378,6 +411,12 @@ def assign_shards(spark, sf):
     return epochs.assign_shards(listed, 3, 2)
 
 
+def place_shards(spark, sf):
+    rows = fx.sharded_samples(spark, sf).select("id", "shard")
+    placed = epochs.place_shards(rows, 3, 2)
+    return placed.withColumn("task", F.spark_partition_id())
+
+
 def bounded_shuffle(spark, sf):
     return epochs.bounded_shuffle(_numbered(spark, sf), 32, SEED, 1).select("id", "idx", "pos")
 
@@ -486,10 +525,19 @@ def replay_predictions(spark, sf, wide=None):
     return seen.select("key", "step", total("z").alias("z_sum"), dot("z").alias("z_dot"))
 
 
+def _epoch_items(rows) -> int:
+    """Half as many again as there are, and not a multiple of the batch."""
+    return rows.count() * 3 // 2 + 7
+
+
 def plan_epoch_query(spark, sf):
     sharded = fx.sharded_samples(spark, sf)
-    n = sharded.select("shard").distinct().count()
-    return plan_epoch(sharded, epoch=3, seed=SEED, b=16, max_items=10**9, n_draws=n, buf=100)
+    return plan_epoch(sharded, epoch=3, seed=SEED, b=16, max_items=_epoch_items(sharded), resampled=True, buf=100)
+
+
+def plan_epoch_one_pass(spark, sf):
+    sharded = fx.sharded_samples(spark, sf)
+    return plan_epoch(sharded, epoch=3, seed=SEED, b=16, max_items=sharded.count() - 5, buf=100)
 
 
 # Metrics
@@ -518,9 +566,106 @@ def with_run_events(spark, sf):
     return metrics.with_run_events(fx.step_log(spark, sf).select("step"), 100, 2_500, 2_500)
 
 
+def log_windows(spark, sf):
+    return metrics.log_windows(fx.run_log(spark, sf), fx.LOG_EVERY).withColumn("loss", r("loss"))
+
+
+def eval_records(spark, sf):
+    samples_, steps = fx.evaluations(spark, sf)
+    found = metrics.eval_records(samples_, steps, b=64, batches=4)
+    bins = [r(f"bin_{i}").alias(f"bin_{i}") for i in range(10)]
+    return found.select("run", "step", "epoch", "datapoints", r("loss").alias("loss"), *bins)
+
+
+def loader_order(spark, sf):
+    rows = fx.sharded_samples(spark, sf).select(F.col("shard").alias("draw"), "id")
+    seen = buffer.loader_order(rows, 2, 3, 16, SEED, 3, worker_buffer=100, node_buffer=128, initial=20)
+    return seen.select("node", "worker", "batch_id", "pos", "id")
+
+
+def roll_shards(spark, sf):
+    rows = index.with_index(fx.captions(spark, sf), "id").select("id", "idx", F.octet_length("caption").alias("bytes"))
+    return rolling.roll_shards(rows, 40, 60_000, block_rows=100).select("id", "shard")
+
+
 # Streams
 
 
+def log_windows_stream(spark, sf):
+    rows = fx.run_log(spark, sf)
+    # The second half arrives in two parts that are not in order.
+    half = rows.agg(F.max("step")).first()[0] // 2
+    late, odd = F.col("step") > half, F.col("step") % 2 == 1
+    folder = fx.chunked(rows, "run-log", [~late, late & odd, late & ~odd])
+    session = stateful_session(spark)
+    stream = session.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    out, checkpoint = work_dir(spark, "log-windows"), work_dir(spark, "log-windows-state")
+    land(log_window_stream(stream, fx.LOG_EVERY, delay="3650 days"), out, checkpoint).awaitTermination()
+    return spark.read.parquet(out).withColumn("loss", r("loss"))
+
+
+def batch_stream_query(spark, sf):
+    sharded = fx.sharded_samples(spark, sf)
+    items = _epoch_items(sharded)
+    drawn = [
+        epochs.fill_epoch(sharded, items, SEED, e).select(
+            (F.col("draw") % 3).alias("worker"), F.lit(e).alias("epoch"), "idx", "id"
+        )
+        for e in (3, 4)
+    ]
+    rows = materialize(drawn[0].unionAll(drawn[1]), "drawn")
+    half = F.col("idx") < items // 2
+    folder = fx.chunked(rows, "loader", [(F.col("epoch") == e) & part for e in (3, 4) for part in (half, ~half)])
+    session = stateful_session(spark)
+    stream = session.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    out, checkpoint = work_dir(spark, "batches"), work_dir(spark, "batches-state")
+    land(batch_stream(stream, 16), out, checkpoint).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def attach_arrivals_query(spark, sf):
+    start = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id"))
+    asked = fx.manifest(spark, sf).select("id", "url", start.alias("requested_at"))
+    landed_at = F.timestamp_micros(F.unix_micros(start) + (F.col("elapsed_s") * 1e6).cast("bigint"))
+    landed = fx.payloads(spark, sf).select("id", "data", landed_at.alias("landed_at"))
+    # A last row on both sides, a year later, lets the streams pass every deadline.
+    end = F.timestamp_seconds(F.lit(1_800_000_000))
+    closing = spark.range(1).select(F.lit(-1).cast("bigint").alias("id"))
+    asked = asked.unionByName(closing.select("id", F.lit("").alias("url"), end.alias("requested_at")))
+    landed = landed.unionByName(closing.select("id", F.lit(None).cast("binary").alias("data"), end.alias("landed_at")))
+    half = asked.agg(F.max("id")).first()[0] // 2
+    parts = [(F.col("id") >= 0) & (F.col("id") <= half), F.col("id") > half, F.col("id") < 0]
+
+    def stream(df, label):
+        files = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
+        return files.parquet(fx.chunked(df, label, parts))
+
+    joined = attach_arrivals(stream(asked, "asked"), stream(landed, "landed"))
+    out, checkpoint = work_dir(spark, "arrivals"), work_dir(spark, "arrivals-state")
+    land(joined, out, checkpoint).awaitTermination()
+    found = spark.read.parquet(out).where("id >= 0")
+    return found.select(
+        "id", "url", "status", F.octet_length("data").cast("bigint").alias("n_bytes"), F.md5("data").alias("data_md5")
+    )
+
+
+def prepare_observed(spark, sf):
+    done = prepare(fx.raw_samples(spark, sf), fx.vocab(spark, sf), shift=fx.SHIFT, scale=fx.SCALE)
+    counts = write_prepared(done, work_dir(spark, "observed"))
+    return spark.createDataFrame(sorted(counts.items()), "verdict string, n bigint")
+
+
+def prepare_stream_observed(spark, sf):
+    rows = []
+    source, out, checkpoint = (work_dir(spark, f"stream-{part}") for part in ("in", "out", "state"))
+    fx.raw_samples(spark, sf).repartition(3).write.parquet(source)
+    prepare_stream(
+        spark, source, out, checkpoint, fx.vocab(spark, sf), shift=fx.SHIFT, scale=fx.SCALE, max_files=1,
+        report=lambda batch, counts: rows.extend(counts.items()),
+    ).awaitTermination()
+    return spark.createDataFrame(rows, "verdict string, n bigint").groupBy("verdict").agg(F.sum("n").alias("n"))
+
+
 def _prepared(df):
     return df.select(
         "id", "url", F.md5("caption").alias("caption_md5"), F.size("ids").alias("n_ids"),
@@ -603,8 +748,7 @@ def _training_samples(spark, sf):
 
 def train_epoch(spark, sf):
     pool = _training_samples(spark, sf)
-    n = pool.select("shard").distinct().count()
-    plan = plan_epoch(pool, epoch=3, seed=SEED, b=16, max_items=10**9, n_draws=n, buf=100)
+    plan = plan_epoch(pool, epoch=3, seed=SEED, b=16, max_items=_epoch_items(pool), resampled=True, buf=100)
     rows = training_rows(
         attach_rows(plan, pool), shift=fx.SHIFT, scale=fx.SCALE, seed=SEED, epoch=3, dropout="reference"
     )
@@ -654,7 +798,9 @@ _PLAIN = (
     encode_fixed_length, encode_in_place, expand_prompts, lookup_embeddings, mean_pool,
     mean_pool_masked, encode_batches, fill_condition, fill_condition_empty_prompt, sample_latent,
     normalize_latent, normalize_latent_wide, denormalize_latent, patchify,
-    patchify_in_jvm, unpatchify, unpatchify_in_jvm, timestep_features, resample_shards, assign_shards, bounded_shuffle, full_shuffle,
+    patchify_in_jvm, unpatchify, unpatchify_in_jvm, timestep_features, resample_shards, assign_shards, place_shards, bounded_shuffle, full_shuffle,
+    plan_epoch_one_pass, encode_whole, encode_whole_joined, log_windows, eval_records, loader_order, roll_shards,
+    log_windows_stream, prepare_observed, prepare_stream_observed, read_tar_members, read_tar_range,
     with_batches, batched, epoch_limit, caption_dropout, sample_timesteps, make_flow_rows,
     flow_loss, batch_loss, guide, replay_states, replay_predictions, loss_by_bin, train_log,
     with_learning_rate, eval_summary, with_run_events, prepare_batch, prepare_stream_rejected,
@@ -669,6 +815,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "build_samples": build_samples_query,
     "prepare_stream": prepare_stream_query,
     "loss_monitor": loss_monitor_query,
+    "batch_stream": batch_stream_query,
+    "attach_arrivals": attach_arrivals_query,
     **{f.__name__: f for f in _PLAIN},
 }
 

@@ -86,7 +86,27 @@ def test_one_pass_epoch_sees_each_sample_once(spark):
     assert attach_rows(plan, sharded(spark)).count() == 200
 
 
-def test_drawn_epoch_is_capped(spark):
-    plan = plan_epoch(sharded(spark), epoch=1, seed=1, b=16, max_items=100, n_draws=12, buf=None)
-    rows = plan.collect()
-    assert sorted((r["batch_id"], r["pos"]) for r in rows) == [(i // 16, i % 16) for i in range(96)]
+@pytest.mark.parametrize("seed, max_items", [(1, 100), (2, 431), (3, 16), (4, 1000)])
+@pytest.mark.parametrize("buf", [None, 32])
+def test_drawn_epoch_fills_its_batches(spark, seed, max_items, buf):
+    df = sharded(spark).where("id not in (41, 42, 43, 199)")
+    plan = plan_epoch(df, epoch=1, seed=seed, b=16, max_items=max_items, resampled=True, buf=buf)
+    full = max_items // 16 * 16
+    assert sorted((r["batch_id"], r["pos"]) for r in plan.collect()) == [(i // 16, i % 16) for i in range(full)]
+
+
+def test_filled_epoch_follows_its_draws(spark, monkeypatch):
+    monkeypatch.setattr(epochs, "DRAW_BLOCK", 3)
+    df = sharded(spark).where("id % 7 <> 3")
+    rows = {r["idx"]: (r["draw"], r["id"]) for r in epochs.fill_epoch(df, 500, 7, 2).collect()}
+    drawn = {r["draw"]: r["shard"] for r in epochs.draw_shards(df, 60, 7, 2).collect()}
+    sequence = [(d, i) for d in range(60) for i in range(20 * drawn[d], 20 * drawn[d] + 20) if i % 7 != 3]
+    assert [rows[i] for i in range(500)] == sequence[:500] and len(rows) == 500
+    with pytest.raises(ValueError):
+        epochs.fill_epoch(df.where("id < 0"), 10, 7, 2)
+
+
+def test_shards_are_placed(spark):
+    rows = epochs.place_shards(sharded(spark), 3, 2).withColumn("task", F.spark_partition_id()).collect()
+    assert all(r["task"] == 2 * r["node"] + r["worker"] for r in rows) and len(rows) == 200
+    assert {r["shard"] for r in rows if r["task"] == 0} == {0, 6}
