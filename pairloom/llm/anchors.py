@@ -25,10 +25,15 @@ NEVER = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def numbered(docs: DataFrame, *more) -> DataFrame:
-    """(id, text, ...) with null ids as ``LAST_ID`` and null texts as empty."""
+    """(id, row, text, ...) with null ids as ``LAST_ID`` and null texts as empty.
+
+    ``row`` tells texts of one id apart, so that what is gathered for a document is never more than
+    one text's, however many rows share its id or have none.
+    """
+    text = F.coalesce("text", F.lit(""))
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)).alias("id"),
-        F.coalesce("text", F.lit("")).alias("text"), *more,
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)).alias("id"), F.xxhash64(text).alias("row"),
+        text.alias("text"), *more,
     )
 
 
@@ -39,24 +44,20 @@ def real_id() -> Column:
 
 def exact_copies(source: DataFrame, *more: Column) -> tuple[DataFrame, DataFrame]:
     """``source`` plus ``twin``: another id with the same text (the smallest, or for that one the
-    largest), null if there is none. Then the rows that have one: (id, twin, and ``more``).
+    largest), null if there is none. Then the rows that have one: (id, row, twin, and ``more``).
 
-    Only ids and digests are compared; a text that very many documents share is combined before
-    the shuffle and its rows spread over tasks. Digests go with ids, so rows that share an id
-    may have different texts.
+    Only ids and SHA-256 digests are compared; a text that very many documents share is combined
+    before the shuffle and its rows spread over tasks.
     """
-    narrow = materialize(source.select("id", F.md5("text").alias("digest"), *more), "digests")
+    narrow = materialize(source.select("id", "row", F.sha2("text", 256).alias("digest"), *more), "digests")
     groups = narrow.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     groups = materialize(groups.where(F.col("first") < F.col("last")), "copied")
-    found = skewed_join(narrow, groups, "digest", salt_by=["id"]).where(F.col("first").isNotNull())
+    found = skewed_join(narrow, groups, "digest", salt_by=["id", "row"]).where(F.col("first").isNotNull())
     twin = F.when(F.col("id") > F.col("first"), F.col("first")).otherwise(F.col("last"))
-    found = found.withColumn("twin", twin).drop("first", "last")
-    entry = F.struct("digest", "twin")
-    twins = materialize(found.groupBy("id").agg(F.map_from_entries(F.collect_set(entry)).alias("twins")), "twins")
+    found = found.withColumn("twin", twin).drop("first", "last", "digest")
+    twins = materialize(found.groupBy("id", "row").agg(F.min("twin").alias("twin")), "twins")
     # A merge join, so that all uses of the result share one exchange of the texts.
-    joined = source.join(twins.hint("merge"), "id", "left")
-    whole = joined.select(*source.columns, F.try_element_at("twins", F.md5("text")).alias("twin"))
-    return whole, found.drop("digest")
+    return source.join(twins.hint("merge"), ["id", "row"], "left"), found
 
 
 @dataclass
@@ -89,48 +90,47 @@ def read_texts(texts: list[bytes], k: int, size: int) -> Texts:
 
 
 def anchor_rows(docs: DataFrame, k: int, size: int) -> DataFrame:
-    """(key, id, h) of the distinct anchors of each document.
+    """(key, id, row, h) of the distinct anchors of each text.
 
-    An anchor that several documents of a batch have is known to recur: each of them gets a row
+    An anchor that several texts of a batch have is taken to recur: each of them gets a row
     under a key of its own with the anchor in ``h``. Only the smallest id of a batch is filed
     under the anchor itself, so a passage that a third of all documents share files few rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("id").to_numpy(), utf8(batch, "text")
-            found = [(np.empty(0, np.uint64), np.empty(0, np.int64))]
+            ids, row, texts = batch.column("id").to_numpy(), batch.column("row").to_numpy(), utf8(batch, "text")
+            found = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
             for start, end in chunks(texts):
                 part = read_texts(texts[start:end], k, size)
                 at = np.unique(part.anchor)
-                found.append((part.gram[at], ids[start + part.owner[at]]))
-            h, own = (np.concatenate(c) for c in zip(*found))
-            order = np.lexsort((own, h))
-            h, own = h[order], own[order]
-            new = np.r_[True, (h[1:] != h[:-1]) | (own[1:] != own[:-1])][: len(h)]
-            h, own = h[new], own[new]
+                own = start + part.owner[at]
+                found.append((part.gram[at], ids[own], row[own]))
+            h, own, text = (np.concatenate(c) for c in zip(*found))
+            order = np.lexsort((text, own, h))
+            h, own, text = h[order], own[order], text[order]
+            new = np.r_[True, (h[1:] != h[:-1]) | (own[1:] != own[:-1]) | (text[1:] != text[:-1])][: len(h)]
+            h, own, text = h[new], own[new], text[new]
             first = np.r_[True, h[1:] != h[:-1]][: len(h)]
-            many = np.diff(np.r_[np.flatnonzero(first), len(h)]) > 1
-            known = np.repeat(many, np.diff(np.r_[np.flatnonzero(first), len(h)]))
-            key = np.r_[h[first], scrambled(h[known] ^ own[known].view(np.uint64))].view(np.int64)
+            count = np.diff(np.r_[np.flatnonzero(first), len(h)])
+            known = np.repeat(count > 1, count)
+            key = np.r_[h[first], scrambled(h[known] ^ (own[known] ^ text[known]).view(np.uint64))].view(np.int64)
             tag = pa.array(np.r_[h[first], h[known]].view(np.int64), mask=np.r_[np.ones(first.sum(), bool), np.zeros(known.sum(), bool)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(np.r_[own[first], own[known]]), tag], ["key", "id", "h"]
-            )
+            columns = [pa.array(key), pa.array(np.r_[own[first], own[known]]), pa.array(np.r_[text[first], text[known]]), tag]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "id", "row", "h"])
 
-    return docs.select("id", "text").mapInArrow(run, "key bigint, id bigint, h bigint")
+    return docs.select("id", "row", "text").mapInArrow(run, "key bigint, id bigint, row bigint, h bigint")
 
 
 def recurring_anchors(docs: DataFrame, k: int, size: int) -> DataFrame:
-    """(id, marks): for each document the anchors that another document has too.
+    """(id, row, marks): for each text the anchors that another document has too, and perhaps more.
 
-    One shuffle of narrow rows. Anchors depend on content alone, so rows that share an id can
-    share their marks.
+    One shuffle of narrow rows. Marks say where to look, not what repeats.
     """
     same = Window.partitionBy("key")
     rows = anchor_rows(docs, k, size).withColumn("lo", F.min("id").over(same)).withColumn("hi", F.max("id").over(same))
     marks = rows.where(F.col("h").isNotNull() | (F.col("lo") < F.col("hi")))
-    return marks.groupBy("id").agg(F.collect_set(F.coalesce("h", "key")).alias("marks"))
+    return marks.groupBy("id", "row").agg(F.collect_set(F.coalesce("h", "key")).alias("marks"))
 
 
 def marked(part: Texts, marks: list[np.ndarray]) -> np.ndarray:

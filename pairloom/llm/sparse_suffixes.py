@@ -7,25 +7,26 @@ the match to the left and the match to the right of such a position.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.anchors import (
     COMBINE_BYTES, exact_copies, mark_arrays, marked, numbered, read_texts, real_id, recurring_anchors, shards,
 )
-from pairloom.llm.words import chunks, count_words, gram_hashes, hash_words, scrambled, utf8
-from pairloom.runtime import ship_by_value
+from pairloom.llm.words import chunks, count_words, scrambled, utf8
+from pairloom.runtime import materialize, ship_by_value, skewed_join
 
 SIZE, ANCHOR = 50, 8
 # Suffixes compared at once, and those in the last round, when only very common ones are left.
 SHARD_ROWS, LAST_ROWS = 6_000, 20_000
 SUFFIXES = "key bigint, id bigint, row bigint, at bigint, left int, text binary, other bigint, size int"
-SPANS = "id bigint, row bigint, start bigint, end bigint, other bigint, window bigint"
+WINDOWS = "id bigint, row bigint, start bigint, end bigint, other bigint, text binary, least bigint"
 REPEATS = "id bigint, start_word bigint, end_word bigint, other_id bigint"
 
 
@@ -171,56 +172,149 @@ def _long_key(side: bytes, words: list[bytes]) -> int:
 def _search(batches: Iterator[pa.RecordBatch], size: int, k: int, last: bool) -> Iterator[pa.RecordBatch]:
     """Spans found in a sorted partition of suffixes; spans found before pass through.
 
-    Suffixes of a run that is too long for a shard go on: under longer keys, or in the ``last``
-    round as hashes of their single windows.
+    Suffixes of a run that is too long for a shard go on, under longer keys or, in the ``last``
+    round, as they are.
     """
     for hot, batch in shards(batches, LAST_ROWS if last else SHARD_ROWS):
         rows = list(zip(*(c.to_pylist() for c in batch.columns)))
         real = [r for r in rows if r[5] is not None]
         out = [r for r in rows if r[5] is None]
-        if hot and not last:
-            out += [new for r in real for new in _refiled(r, size, k)]
-        elif real and not hot:
+        if hot:
+            out += real if last else [new for r in real for new in _refiled(r, size, k)]
+        elif real:
             array = lambda c: np.array([r[c] for r in real], np.int64)
             others = np.array([r[1] if r[6] is None else r[6] for r in real], np.int64)
             for i, s, e, other in matches(array(0), array(1), others, array(4), [r[5] for r in real], size, k):
                 _, doc, row, at, *_ = real[i]
                 out.append((doc ^ row, doc, row, at + s, None, None, other, e - s))
-        if not last:
-            yield _batch(out, SUFFIXES)
+        yield _batch(out, SUFFIXES)
+
+
+ORDERED = SUFFIXES + ", ahead binary, shared int"
+
+
+def _shared(a: bytes, b: bytes) -> int:
+    """Words at the beginning of both; each word of either is followed by a space."""
+    return os.path.commonprefix((a, b)).count(b" ")
+
+
+def _with_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[int]]]:
+    """Rows of each batch of a sorted partition, and how many words each shares with a neighbour at most.
+
+    Of equal beginnings in a sorted list the longest are neighbours'. The first and the last row of a partition
+    have neighbours elsewhere; all their words count as shared.
+    """
+    at, key = ORDERED.split(", ").index("ahead binary"), 0
+    before, held = None, []
+
+    def judged(rows: list[tuple], after: tuple | None, first: bool):
+        bounds = []
+        around = [before if not first else None, *rows, after]
+        pairs = [
+            (-1 if a is None or b is None else _shared(a[at], b[at]) if a[key] == b[key] else 0)
+            for a, b in zip(around, around[1:])
+        ]
+        for row, low, high in zip(rows, pairs, pairs[1:]):
+            bounds.append(row[at].count(b" ") if -1 in (low, high) else max(low, high))
+        return rows, bounds
+
+    for batch in batches:
+        rows = list(zip(*(c.to_pylist() for c in batch.columns)))
+        if not rows:
             continue
-        yield _batch([(doc, row, at, at + n, other, None) for _, doc, row, at, _, _, other, n in out], SPANS)
-        for start in range(0, len(real) if hot else 0, 500):
-            single = []
-            for _, doc, row, at, _, text, other, _ in real[start : start + 500]:
-                hashes = gram_hashes(hash_words(text.split(b" ")), size).view(np.int64).tolist()
-                single += [(doc, row, at + j, at + j + size, other, h) for j, h in enumerate(hashes)]
-            yield _batch(single, SPANS)
+        if held:
+            yield judged(held, rows[0], before is None)
+            before = held[-1]
+        held = rows
+    if held:
+        yield judged(held, None, before is None)
+
+
+def _reach(words: list[bytes], left: int, behind: int, ahead: int, size: int, k: int) -> range:
+    """How many words before the anchor a window may begin that repeats."""
+    return range(max(0, size - min(ahead, len(words) - left)), min(behind, left, size - k) + 1)
+
+
+def hot_spans(hot: DataFrame, size: int, k: int) -> DataFrame:
+    """(id, row, start, end, other) for suffixes of runs that no task holds.
+
+    They are sorted by what follows the anchor over all tasks, then by what precedes it. How
+    much a suffix shares with its neighbours in both orders says which of its windows can repeat
+    at all; those are compared by their words, within a batch first. What repeats there is reported,
+    and once more stands for its batch; only what is alone in its batch and yet possible goes on by itself.
+    """
+
+    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = list(zip(*(c.to_pylist() for c in batch.columns)))
+            yield _batch([(*r, b" ".join([*r[5].split(b" ")[r[4] :], b""]), None) for r in rows], ORDERED)
+
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, bounds in _with_neighbours(batches):
+            out = []
+            for r, n in zip(rows, bounds):
+                back = r[5].split(b" ")[: r[4]][::-1]
+                out.append((*r[:8], b" ".join([*back, b""]), n))
+            yield _batch(out, ORDERED)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, bounds in _with_neighbours(batches):
+            least: dict[bytes, int] = {}
+            most: dict[bytes, int] = {}
+            possible: list[list[tuple[int, bytes]]] = []
+            for r, behind in zip(rows, bounds):
+                words, left, ids = r[5].split(b" "), r[4], (r[1], r[1] if r[6] is None else r[6])
+                own = [
+                    (left - a, b" ".join(words[left - a : left - a + size]))
+                    for a in _reach(words, left, behind, r[9], size, k)
+                ]
+                for _, text in own:
+                    least[text] = min(least.get(text, ids[0]), *ids)
+                    most[text] = max(most.get(text, ids[0]), *ids)
+                possible.append(own)
+            out = []
+            for r, own in zip(rows, possible):
+                _, doc, row, at, *_ = r
+                here = [(place, text) for place, text in own if least[text] < most[text]]
+                if here:
+                    text = here[0][1]
+                    other = least[text] if doc != least[text] else most[text]
+                    # Windows around one anchor overlap; they begin from the last place to the first.
+                    out.append((doc, row, at + here[-1][0], at + here[0][0] + size, other, None, None))
+                out += [
+                    (doc, row, at + place, at + place + size, None, text, doc) for place, text in own if least[text] == most[text]
+                ]
+            # What repeats here may be alone elsewhere.
+            out += [(None, None, None, None, most[text], text, low) for text, low in least.items() if low < most[text]]
+            yield _batch(out, WINDOWS)
+
+    right = hot.mapInArrow(order, ORDERED).repartitionByRange("key", "ahead", "id", "at")
+    left = right.sortWithinPartitions("key", "ahead", "id", "at").mapInArrow(turn, ORDERED)
+    left = left.repartitionByRange("key", "ahead", "id", "at").sortWithinPartitions("key", "ahead", "id", "at")
+    found = materialize(left.mapInArrow(compare, WINDOWS), "windows")
+    alone = found.where(F.col("text").isNotNull())
+    ends = alone.groupBy("text").agg(F.min("least").alias("lo"), F.max(F.coalesce("other", "least")).alias("hi"))
+    met = skewed_join(alone.where(F.col("id").isNotNull()), ends.where(F.col("lo") < F.col("hi")), "text", salt_by=["id", "row"])
+    partner = F.when(F.col("id") == F.col("lo"), F.col("hi")).otherwise(F.col("lo"))
+    late = met.where(F.col("lo").isNotNull()).select("id", "row", "start", "end", partner.alias("other"))
+    return found.where(F.col("text").isNull()).select("id", "row", "start", "end", "other").unionByName(late)
 
 
 def matched_spans(filed: DataFrame, size: int, k: int) -> DataFrame:
     """(id, row, start, end, other) of passages that another document has too."""
 
-    def search(suffixes: DataFrame, schema: str, last: bool) -> DataFrame:
+    def search(suffixes: DataFrame, last: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return _search(batches, size, k, last)
 
-        return suffixes.repartition("key").sortWithinPartitions("key").mapInArrow(run, schema)
+        return suffixes.repartition("key").sortWithinPartitions("key").mapInArrow(run, SUFFIXES)
 
-    found = search(search(filed, SUFFIXES, False), SPANS, True)
-    # One lineage for both kinds: spans pass a window of their own, single windows that of their
-    # hash.
-    ids = F.col("id"), F.coalesce("other", "id")
-    found = found.select(
-        "*", F.coalesce("window", F.xxhash64("id", "row", "start")).alias("_key"),
-        F.least(*ids).alias("_least"), F.greatest(*ids).alias("_most"), F.col("window").isNotNull().alias("_single"),
+    found = materialize(search(search(filed, False), True), "suffixes")
+    known = found.where(F.col("text").isNull()).select(
+        "id", "row", F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("end"), "other"
     )
-    same = Window.partitionBy("_key", "_single")
-    found = found.select("*", F.min("_least").over(same).alias("_lo"), F.max("_most").over(same).alias("_hi"))
-    partner = F.when(F.col("id") == F.col("_lo"), F.col("_hi")).otherwise(F.col("_lo"))
-    kept = found.where(~F.col("_single") | (F.col("_lo") < F.col("_hi")))
-    other = F.when(F.col("_single"), partner).otherwise(F.col("other"))
-    return kept.select("id", "row", "start", "end", other.alias("other"))
+    hot = found.where(F.col("text").isNotNull())
+    return known if hot.isEmpty() else known.unionByName(hot_spans(hot, size, k))
 
 
 def repeated_passages(docs: DataFrame, *, size: int = SIZE, anchor: int = ANCHOR) -> DataFrame:
@@ -232,14 +326,13 @@ def repeated_passages(docs: DataFrame, *, size: int = SIZE, anchor: int = ANCHOR
     Words are compared unchanged. Documents without an id count as one document, null and short
     texts have no passage, rows that repeat id and text are reported once.
     """
-    row = F.xxhash64("text").alias("row")
-    source, copied = exact_copies(numbered(docs), row, count_words("text").alias("end"))
+    source, copied = exact_copies(numbered(docs), count_words("text").alias("end"))
     # A text with a copy is a passage as a whole; its first document stands for all in the search.
     start = F.lit(0).cast("bigint").alias("start")
     whole = copied.where(F.col("end") >= size).select("id", "row", start, "end", F.col("twin").alias("other"))
-    single = source.where(F.coalesce(F.col("twin") > F.col("id"), F.lit(True))).withColumn("row", row)
+    single = source.where(F.coalesce(F.col("twin") > F.col("id"), F.lit(True)))
     marks = recurring_anchors(single, anchor, size)
-    spans = matched_spans(suffixes(single.join(marks, "id"), size, anchor), size, anchor).unionByName(whole)
+    spans = matched_spans(suffixes(single.join(marks, ["id", "row"]), size, anchor), size, anchor).unionByName(whole)
     grouped = spans.groupBy("id", "row").agg(F.sort_array(F.collect_set(F.struct("start", "end", "other"))).alias("spans"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

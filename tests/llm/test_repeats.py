@@ -30,6 +30,47 @@ def test_hot_phrases_are_cut_into_windows(make_docs, corpus, monkeypatch):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute.cut(rows)
 
 
+@pytest.mark.parametrize("shard_rows", [16_000, 1])
+def test_colliding_hashes_change_nothing(make_docs, corpus, monkeypatch, shard_rows):
+    real = phrase_automata.gram_hashes
+    monkeypatch.setattr(phrase_automata, "gram_hashes", lambda hashes, k: real(hashes, k) % 64)
+    monkeypatch.setattr(phrase_automata, "SHARD_ROWS", shard_rows)
+    rows = [r for r in corpus if r[0] != 3008]
+    got = phrase_automata.cut_repeats(make_docs(rows)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute.cut(rows)
+
+
+def test_without_the_automata_nothing_goes(make_docs, corpus, monkeypatch):
+    """Each text in a batch of its own, and none with a copy: all that is removed is found by automata."""
+    monkeypatch.setattr(phrase_automata, "COMBINE_BYTES", 1)
+    monkeypatch.setattr(phrase_automata.Shard, "occurrences", lambda self: iter(()))
+    rows = [r for r in corpus if r[0] < 2000]
+    got = phrase_automata.cut_repeats(make_docs(rows)).collect()
+    assert sum(r.n_removed for r in got) == 0 and sum(n for _, n, _ in brute.cut(rows).values()) > 500
+
+
+def test_a_third_without_ids(make_docs, corpus):
+    """Texts without an id are one document, after all others, and keep their own marks."""
+    rows = [(None if i % 3 == 0 else doc, text) for i, (doc, text) in enumerate(corpus) if doc != 3008]
+    order = [r for r in rows if r[0] is not None]
+    first = {}
+    for doc, text in sorted(order):
+        w = brute.words(text)
+        for i in range(len(w) - 12):
+            first.setdefault(tuple(w[i : i + 13]), doc)
+    wanted = []
+    for doc, text in rows:
+        w = brute.words(text)
+        gone = set()
+        for i in range(len(w) - 12):
+            earlier = first.get(tuple(w[i : i + 13]))
+            if earlier is not None and (doc is None or earlier < doc):
+                gone.update(range(i, i + 13))
+        wanted.append((doc, len(w), len(gone)))
+    got = phrase_automata.cut_repeats(make_docs(rows)).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed) for r in got), key=str) == sorted(wanted, key=str)
+
+
 def _spans(frame):
     out = {}
     for r in frame.collect():
