@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,7 +36,8 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}(?:\.+[A-Za-z0-9+/_-]+={0,2})
 PART = r"[^.]{16,}"
 LEAST_CHARS = 16
 # What may stand between a sensitive word and an assigned value: the rest of the name, and the separator.
-ASSIGNED = re.compile(r"""[A-Za-z0-9_-]*+["']?\s*[:=]+\s*["']?""")
+NAME = re.compile(r"[A-Za-z0-9_-]*+")
+SEPARATOR = re.compile(r"""["']?\s*[:=]+\s*["']?""")
 SENSITIVE = f"(?ai:{'|'.join(SENSITIVE_WORDS)})"
 IDENTIFIER = r"(?a:[A-Za-z_][A-Za-z_]{2,30})"
 # Words of code around keys and tokens.
@@ -78,17 +80,29 @@ def sensitive_words(text: str) -> Iterator[re.Match]:
 
 
 def sensitive_places(text: str) -> list[tuple[int, int]]:
-    """Spans of candidates that follow a sensitive word closely."""
+    """Spans of candidates that follow a sensitive word closely.
+
+    One pass from left to right: the end of a name, what follows it, and the end of a candidate are
+    the same for all sensitive words in it and are looked for once.
+    """
     found = []
+    name_end, value = -1, None
+    known_start = known_end = -1
     for word in sensitive_words(text):
-        assigned = ASSIGNED.match(text, word.end())
-        begin = assigned.end() if assigned else word.end()
+        if word.end() > name_end:
+            name_end = NAME.match(text, word.end()).end()
+            assigned = SEPARATOR.match(text, name_end)
+            value = assigned.end() if assigned else None
+        begin = word.end() if value is None else value
         at = begin
         # Only the beginning has to be near: a candidate is looked for there, then read to its end.
         while near := CANDIDATE.search(text, at, begin + NEAR_CHARS + LEAST_CHARS):
-            start, at = near.start(), CANDIDATE.match(text, near.start()).end()
+            start = near.start()
+            if not known_start <= start < known_end:
+                known_start, known_end = start, CANDIDATE.match(text, start).end()
+            at = known_end
             # A word that merely contains the sensitive one goes on from it.
-            if (assigned or start > begin) and (not found or found[-1][1] <= start):
+            if (value is not None or start > begin) and (not found or found[-1][1] <= start):
                 found.append((start, at))
     return found
 
@@ -127,15 +141,37 @@ def _novel(text: str, start: int, end: int, novelty: Novelty, min_bits: float) -
     return bool(keyed) and novelty.bits_once(text, start, end) >= min_bits
 
 
+def _joined(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of spans sorted by start, those that overlap as one."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, _, end in spans:
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
 def novel_spans(text: str, novelty: Novelty, taken: list[tuple[int, int, int]], min_bits: float) -> list[tuple[int, int, int]]:
-    """Candidates outside the base spans that the compressor cannot explain."""
+    """Candidates outside the base spans (sorted) that the compressor cannot explain."""
     spans = []
+    starts, ends = _joined(taken)
+    judged: dict[tuple[str, str, str], bool] = {}
     for start, end in sensitive_places(text):
-        if any(s < end and start < e for s, _, e in taken):
+        last = bisect_left(starts, end) - 1
+        if last >= 0 and ends[last] > start:
             continue
-        parts = [m.span() for m in re.finditer(PART, text[start:end])]
-        if any(_novel(text, start + s, start + e, novelty, min_bits) for s, e in parts):
-            spans.append((start, 3, end))
+        for part in re.finditer(PART, text[start:end]):
+            s, e = start + part.start(), start + part.end()
+            # The same part in the same surroundings is compressed once.
+            own = text[max(0, s - AROUND_CHARS) : s], part[0], text[e : e + AROUND_CHARS]
+            if own not in judged:
+                judged[own] = _novel(text, s, e, novelty, min_bits)
+            if judged[own]:
+                spans.append((start, 3, end))
+                break
     return spans
 
 
@@ -155,7 +191,12 @@ def identifier_counts(docs: DataFrame) -> DataFrame:
         for _, texts in _text_batches(batches):
             counts: Counter[str] = Counter()
             for text in texts:
+                before = -1
                 for m in sensitive_words(text):
+                    # Sensitive words end to end are one place.
+                    before, adjoins = m.end(), m.start() == before
+                    if adjoins:
+                        continue
                     near = text[max(0, m.start() - NEAR_CHARS) : m.end() + NEAR_CHARS]
                     counts.update(set(re.findall(IDENTIFIER, near)))
             yield pa.RecordBatch.from_arrays(
@@ -182,8 +223,9 @@ def find_secrets(
 ) -> DataFrame:
     """One row per document: counts per kind, a digest of the base spans, and all spans.
 
-    Base spans are those of ``BASE``. Beyond them a candidate near a sensitive word is ``novel``
-    if, with the corpus' identifiers, code words and its own surroundings as a dictionary,
+    Base spans are those of ``BASE``. A candidate is a string of ``LEAST_CHARS`` characters or more,
+    with further parts after dots, that begins within ``NEAR_CHARS`` characters after a sensitive word or the
+    separator behind it. Beyond base spans it is ``novel`` if one of its parts has both a letter and a digit and, with the corpus' identifiers, code words and its own surroundings as a dictionary,
     zstandard still needs ``min_bits`` bits for each of its characters. Spans are in code
     points, ends exclusive. Null and empty texts have none; null ids stay; repeated rows give
     repeated results.
@@ -213,7 +255,8 @@ def redact(docs: DataFrame, *, mark: str = "[secret]", min_bits: float = MIN_BIT
     """``docs`` with every span found replaced by ``mark``; overlapping spans become one.
 
     All rows and columns stay; only texts with a span change. ``n_chars``, where there is one,
-    follows the text.
+    follows the text. Null and empty texts stay as they are, repeated rows change alike, and an
+    empty table stays empty.
     """
     words = identifiers(docs, dictionary_words)
 

@@ -1,7 +1,11 @@
 import hashlib
 import random
 import string
+import time
 
+import pytest
+
+from pairloom.llm import secret_novelty
 from pairloom.llm.secret_novelty import (
     SENSITIVE_WORDS, Novelty, base_spans, find_secrets, identifiers, novel_spans, redact, sensitive_places, written,
 )
@@ -107,3 +111,37 @@ def test_whole_secrets_are_redacted(make_docs):
     key = "".join(random.Random(4).choices(string.ascii_letters + string.digits, k=400))
     got = redact(make_docs([(1, f"signature={key}.{key[:50]} x"), (2, f"auth {KEY} again {KEY}")])).collect()
     assert sorted(r.text for r in got) == ["auth [secret] again [secret]", "signature=[secret] x"]
+
+
+def _old_places(text):
+    """Every sensitive word by itself, without what is remembered from the word before."""
+    found = []
+    for word in secret_novelty.sensitive_words(text):
+        name = secret_novelty.NAME.match(text, word.end()).end()
+        assigned = secret_novelty.SEPARATOR.match(text, name)
+        begin = at = assigned.end() if assigned else word.end()
+        while near := secret_novelty.CANDIDATE.search(text, at, begin + secret_novelty.NEAR_CHARS + secret_novelty.LEAST_CHARS):
+            start, at = near.start(), secret_novelty.CANDIDATE.match(text, near.start()).end()
+            if (assigned or start > begin) and (not found or found[-1][1] <= start):
+                found.append((start, at))
+    return found
+
+
+def test_places_do_not_depend_on_what_is_remembered():
+    rng = random.Random(8)
+    parts = ["token", "secret", "auth_", "=", " = ", ": ", ".", "..", " ", "-", '"', "a1b2c3d4e5f6g7h8", "Zz9+/" * 5, "x", "session_key", "\n"]
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 25)))
+        assert secret_novelty.sensitive_places(text) == _old_places(text)
+
+
+@pytest.mark.parametrize("unit", ["token", "token-a1b2.", "token=abcdef1 ", "secret ", "auth.auth_"])
+def test_long_runs_take_linear_time(unit):
+    novelty = secret_novelty.Novelty(["token"])
+    seconds = []
+    for n in (200_000, 800_000):
+        text = unit * (n // len(unit))
+        begin = time.perf_counter()
+        secret_novelty.novel_spans(text, novelty, secret_novelty.base_spans(text), 4.0)
+        seconds.append(time.perf_counter() - begin)
+    assert seconds[1] < 10 * seconds[0] + 0.5 and seconds[1] < 20
