@@ -19,6 +19,10 @@ TERM = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 BUCKET_BITS = 20
 CACHED_WORDS = 400_000
+# Deviations from which a term counts by itself, and a pair of terms by what it adds to them.
+LEAST_Z, PAIR_Z = 3.0, 6.0
+# Terms whose pairs are counted, those of pairs that take part at most, and rows multiplied at once.
+PAIR_TERMS, MOST_PAIRED, PAIR_ROWS, PAIR_PARTS = 1024, 256, 4096, 4
 
 
 def buckets_of(word: str) -> list[int]:
@@ -115,9 +119,67 @@ def choose_terms(counts: DataFrame, rows: int, bad: int, size: int, least: int)
     """Terms whose share of toxic documents differs most, in deviations, from the overall share."""
     rate = bad / rows
     z = (F.col("bad") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate))
-    chosen = counts.where(F.col("n") >= least).select("term", F.abs(z).alias("z")).where(F.col("z") > 3)
+    chosen = counts.where(F.col("n") >= least).select("term", F.abs(z).alias("z")).where(F.col("z") > LEAST_Z)
     picked = chosen.orderBy(F.desc("z"), "term").limit(size).collect()
-    return np.sort(np.array([r["term"] for r in picked], np.int64))
+    return np.array([r["term"] for r in picked], np.int64)
+
+
+def encoded_rows(sample: DataFrame, terms: np.ndarray) -> DataFrame:
+    """(at, y): places in ``terms`` of each text's terms, and its label."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(terms)
+        for batch in batches:
+            rows = [reader.row(t).astype(np.int32) for t in batch.column("text").to_pylist()]
+            y = [int(v == 1) for v in batch.column("_label").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(y, pa.int32())], ["at", "y"])
+
+    return sample.select("text", "_label").mapInArrow(encode, "at array<int>, y int")
+
+
+def choose_pairs(sample: DataFrame, counts: DataFrame, rows: int, bad: int, size: int, least: int) -> np.ndarray:
+    """Terms of pairs that tell more together than their single shares do.
+
+    Of the ``PAIR_TERMS`` terms that divide the texts most evenly all pairs are counted, as products of
+    matrices, one small matrix per partition. A pair counts if its share of toxic texts is many
+    deviations from the sum of what its two terms add to the overall share. A term may have no
+    deviation of its own.
+    """
+    rate = bad / rows
+    even = F.col("n") * (rows - F.col("n"))
+    spread = counts.where((F.col("n") >= least) & (F.col("n") <= rows - least)).orderBy(F.desc(even), "term")
+    terms = np.array([r["term"] for r in spread.limit(PAIR_TERMS).collect()], np.int64)
+    n = len(terms)
+    if n < 2:
+        return np.empty(0, np.int64)
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, n, n), np.float32)
+        for batch in batches:
+            at, y = batch.column("at"), batch.column("y").to_numpy()
+            sizes = np.diff(at.offsets.to_numpy())
+            for start in range(0, len(sizes), PAIR_ROWS):
+                stop = min(start + PAIR_ROWS, len(sizes))
+                flat = at.slice(start, stop - start).flatten().to_numpy()
+                x = np.zeros((stop - start, n), np.float32)
+                x[np.repeat(np.arange(stop - start), sizes[start:stop]), flat] = 1
+                total[0] += x.T @ x
+                toxic = x[y[start:stop] == 1]
+                total[1] += toxic.T @ toxic
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["c"])
+
+    parts = encoded_rows(sample, terms).coalesce(PAIR_PARTS).mapInArrow(multiply, "c binary").toArrow().column("c").to_pylist()
+    both, toxic = np.sum([np.frombuffer(p, np.float32).reshape(2, n, n) for p in parts], axis=0, dtype=np.float64)
+    single = np.diag(toxic) / np.maximum(np.diag(both), 1)
+    expected = np.clip(single[:, None] + single[None, :] - rate, 0.5 / rows, 1 - 0.5 / rows)
+    z = np.abs(toxic - both * expected) / np.sqrt(np.maximum(both, 1) * expected * (1 - expected))
+    i, j = np.triu_indices(n, 1)
+    some = (both[i, j] >= least) & (z[i, j] > PAIR_Z)
+    i, j = i[some], j[some]
+    order = np.lexsort((terms[j], terms[i], -z[i, j]))
+    ranked = np.stack([terms[i[order]], terms[j[order]]], axis=1).ravel()
+    _, first = np.unique(ranked, return_index=True)
+    return ranked[np.sort(first)][:size]
 
 
 def fit(
@@ -126,26 +188,19 @@ def fit(
 ) -> Machine | None:
     """A machine from (text, _label) rows, None if they have one label only.
 
-    At most ``terms`` hashed terms take part, chosen by counts over the whole sample. Each step
+    At most ``terms`` hashed terms take part, by what they and their pairs say over the whole sample. Each step
     is a Spark job: partitions of the stored rows add up gradients, and the driver, which sees
     one gradient per partition and no row, moves the weights (Adam). Rare labels weigh more.
     """
     n, bad = sample.agg(F.count("*"), F.coalesce(F.sum((F.col("_label") == 1).cast("int")), F.lit(0))).first()
     if not bad or bad == n:
         return None
-    chosen = choose_terms(term_counts(sample), n, bad, terms, least)
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(chosen)
-        for batch in batches:
-            rows = [reader.row(t).astype(np.int32) for t in batch.column("text").to_pylist()]
-            y = [int(v == 1) for v in batch.column("_label").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.list_(pa.int32())), pa.array(y, pa.int32())], ["at", "y"]
-            )
+    counts = materialize(term_counts(sample), "term-counts")
+    own = choose_terms(counts, n, bad, terms, least)
+    paired = choose_pairs(sample, counts, n, bad, min(terms // 4, MOST_PAIRED), least)
+    chosen = np.unique(np.r_[own[: terms - len(paired)], paired])
 
-    encoded = sample.select("text", "_label").mapInArrow(encode, "at array<int>, y int")
-    encoded = materialize(encoded.coalesce(parts), "terms")
+    encoded = materialize(encoded_rows(sample, chosen).coalesce(parts), "terms")
     rng = np.random.default_rng(seed)
     size = len(chosen)
     bias, linear, v = 0.0, np.zeros(size), rng.normal(0, 0.02, (size, factors))

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from pairloom.llm.factorization import _forward, _gradient, held_out, score_toxicity
+from pairloom.llm.factorization import Reader, _forward, _gradient, fit, held_out, score_toxicity
 
 
 def test_gradient_is_the_slope():
@@ -62,3 +62,58 @@ def test_without_labels(spark, make_docs):
 def test_held_out_rule(spark):
     got = {r.id: r.h for r in spark.range(200).select("id", held_out(F.col("id")).alias("h")).collect()}
     assert got == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in range(200)}
+
+
+def _xor(n=1500, seed=3):
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        words = rng.choices([f"w{c}" * 2 for c in "abcdefghijklmnopqrst"], k=12)
+        first, second = rng.random() < 0.5, rng.random() < 0.5
+        words += ["grubby"] * first + ["mountainfolk"] * second
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(first != second)))
+    return rows, labels
+
+
+def test_exactly_one_of_two_words(spark, make_docs):
+    """No word, and no sum of words, tells these labels apart."""
+    rows, labels = _xor()
+    got = score_toxicity(make_docs(rows), spark.createDataFrame(labels, "doc_id bigint, toxic int")).collect()
+    label = dict(labels)
+    held = [r for r in got if r.held_out]
+    assert len(held) > 200 and np.mean([r.predicted == label[r.doc_id] for r in held]) > 0.95
+
+
+def test_scores_equal_a_dense_machine(spark):
+    """The same steps on a dense matrix, pair by pair."""
+    rows, labels = _xor(120)
+    sample = spark.createDataFrame([(t, y) for (_, t), (_, y) in zip(rows, labels)], "text string, _label int")
+    machine = fit(sample, steps=12, factors=3)
+    reader = Reader(machine.terms)
+    x = np.zeros((len(rows), len(machine.terms)))
+    for i, (_, text) in enumerate(rows):
+        x[i, reader.row(text)] = 1
+    y = np.array([v for _, v in labels])
+    size, n, bad = x.shape[1], len(y), y.sum()
+    assert size > 2
+    b, w, v = 0.0, np.zeros(size), np.random.default_rng(7).normal(0, 0.02, (size, 3))
+    weight = np.where(y == 1, min(10.0, (n - bad) / bad), 1.0)
+
+    def raw(row):
+        at = np.flatnonzero(row)
+        return b + w[at].sum() + sum(v[i] @ v[j] for k, i in enumerate(at) for j in at[:k])
+
+    m1 = m2 = np.zeros(1 + size * 4)
+    for step in range(1, 13):
+        error = weight * (1 / (1 + np.exp(-np.array([raw(r) for r in x]))) - y)
+        slope = np.concatenate([[error.sum()], x.T @ error, sum(
+            e * np.outer(r, r @ v) - e * r[:, None] * v for e, r in zip(error, x)
+        ).ravel()]) / n
+        slope += 1e-4 * np.concatenate([[0.0], w, v.ravel()])
+        m1, m2 = 0.9 * m1 + 0.1 * slope, 0.99 * m2 + 0.01 * slope * slope
+        move = 0.05 * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
+        b, w, v = b - move[0], w - move[1 : 1 + size], v - move[1 + size :].reshape(size, 3)
+    wanted = 1 / (1 + np.exp(-np.array([raw(r) for r in x])))
+    assert np.allclose(machine.score([reader.row(t) for _, t in rows]), wanted, atol=1e-6)
