@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.components import components
+from pairloom.llm.golay_simhash import Forest
 from pairloom.llm.words import utf8
 from pairloom.runtime import materialize, ship_by_value, skewed_join
 
@@ -20,8 +21,10 @@ SHINGLE, PERCENT = 4, 80
 RETAINED, KEYS = 64, 16
 # A value that more texts have as a key is common; a text with this many other values is not looked up by common ones.
 COMMON_TEXTS, RARE_VALUES = 100, 40
-# A pair of similarity 0.8 has an estimate below this once in 10**10 times.
-LEAST_ESTIMATE = 0.4
+# A pair of similarity 0.8 has an estimate below this less than once in 10**8 times.
+LEAST_ESTIMATE = 0.45
+# What pads short sketches.
+TOP = np.iinfo(np.int64).max
 # Rows of an inverted list compared in one task, and members checked against a leader in one.
 BLOCK, MEMBERS = 2000, 500
 
@@ -70,8 +73,8 @@ def sketches(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     ).withColumn("at", F.monotonically_increasing_id())
 
 
-def inverted_lists(texts: DataFrame, percent: int = PERCENT, common_texts: int = COMMON_TEXTS) -> DataFrame:
-    """(value, node): the lists in which texts look for each other.
+def keys_of(texts: DataFrame, percent: int = PERCENT, common_texts: int = COMMON_TEXTS) -> DataFrame:
+    """(node, keys): the values in whose inverted lists a text looks for others.
 
     Values are taken in one order, rare before common, then by hash. A text whose set is retained
     whole is filed under as many as it may miss and be similar, and one more; two such texts share
@@ -92,7 +95,7 @@ def inverted_lists(texts: DataFrame, percent: int = PERCENT, common_texts: int =
     first = F.when(whole, n - F.floor((n * percent + 99) / 100) + 1).otherwise(KEYS).cast("int")
     also = F.when(~whole & (F.size("rare") < RARE_VALUES), KEYS).otherwise(0)
     keys = F.array_union(F.slice(F.concat("rare", "common"), F.lit(1), first), F.slice("common", F.lit(1), also))
-    return tiers.select("node", F.explode(keys).alias("value"))
+    return tiers.select("node", keys.alias("keys"))
 
 
 def estimate(a: np.ndarray, sizes: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
@@ -101,7 +104,7 @@ def estimate(a: np.ndarray, sizes: np.ndarray, b: np.ndarray, size: int) -> np.n
     Up to the smaller of the two largest retained values both sketches are complete, so what they
     hold there is a uniform sample of the union. Rows are padded with the largest number.
     """
-    top = np.iinfo(np.int64).max
+    top = TOP
     limit = np.where(sizes > RETAINED, a[:, -1], top)
     limit = np.minimum(limit, b[-1] if size > RETAINED else top)
     own = (a <= limit[:, None]) & (a != top)
@@ -111,32 +114,71 @@ def estimate(a: np.ndarray, sizes: np.ndarray, b: np.ndarray, size: int) -> np.n
     return common / np.maximum(own.sum(axis=1) + other - common, 1)
 
 
-def _across(roots: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, table: np.ndarray, halves: np.ndarray) -> list[tuple[str, str]]:
-    """Pairs of a list that may be similar and are not known to be connected.
+def candidates(rows: dict[str, np.ndarray], value: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, js): rows of a list that may be similar to row i and are not known to be connected with it.
 
-    ``halves`` says which of two blocks a row is of; without two, all rows meet all.
+    ``second`` tells two parts of a long list apart; then rows of the first meet those of the second. Of
+    the lists that a pair shares only that of its smallest common key counts, so no pair is looked
+    at twice.
     """
-    out = []
-    two = halves.any() and not halves.all()
-    for i in range(len(nodes)):
-        if two and halves[i]:
+    second, roots, sizes, keys = rows["second"], rows["root"], rows["n"], rows["keys"]
+    two = second.any() and not second.all()
+    for i in range(len(sizes)):
+        if two and second[i]:
             continue
-        rest = np.flatnonzero(halves) if two else np.arange(i + 1, len(nodes))
+        rest = np.flatnonzero(second) if two else np.arange(i + 1, len(sizes))
         rest = rest[roots[rest] != roots[i]]
         small, large = np.minimum(sizes[rest], sizes[i]), np.maximum(sizes[rest], sizes[i])
         rest = rest[100 * small >= PERCENT * large]
+        if not len(rest):
+            continue
+        own = rows["sketch"][i][: min(sizes[i], RETAINED)]
+        rest = rest[estimate(rows["sketch"][rest], sizes[rest], own, sizes[i]) >= LEAST_ESTIMATE]
+        shared = np.isin(keys[rest], keys[i][keys[i] < value])
+        rest = rest[~(shared & (keys[rest] < value)).any(axis=1)]
         if len(rest):
-            own = table[i][: min(sizes[i], RETAINED)]
-            near = rest[estimate(table[rest], sizes[rest], own, sizes[i]) >= LEAST_ESTIMATE]
-            out.extend((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for j in near)
+            yield i, rest
+
+
+def _padded(lists: list[np.ndarray], width: int) -> np.ndarray:
+    out = np.full((len(lists), width), TOP)
+    for row, values in zip(out, lists):
+        row[: len(values)] = values
     return out
 
 
-def _unconnected(lists: DataFrame, block: int) -> DataFrame:
-    """(a, b) of a (value, node, root, n, sketch) table: pairs of each list that may be similar, of different roots.
+def _arrays(batch: pa.RecordBatch, name: str) -> list[np.ndarray]:
+    column = batch.column(name)
+    flat, at = column.flatten().to_numpy(), column.offsets.to_numpy()
+    return [flat[s:e] for s, e in zip(at[:-1] - at[0], at[1:] - at[0])]
 
-    A list longer than ``block`` is cut by a hash of the node, and each two parts meet in a task.
-    """
+
+def _lists_of(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[tuple, dict]]:
+    """((value, x, y), columns) of each list, or pair of parts of one, in a sorted partition."""
+    held: list[tuple] = []
+    last = None
+
+    def whole() -> tuple[tuple, dict]:
+        columns = dict(zip([*names, "sketch", "keys"], map(list, zip(*held))))
+        columns["sketch"] = _padded(columns["sketch"], RETAINED)
+        columns["keys"] = _padded(columns["keys"], 2 * KEYS)
+        return last, {c: v if c in ("sketch", "keys", "text", "node") else np.array(v) for c, v in columns.items()}
+
+    for batch in batches:
+        keys = zip(*(batch.column(c).to_pylist() for c in ("value", "x", "y")))
+        columns = [batch.column(c).to_pylist() for c in names]
+        for key, *row in zip(keys, *columns, _arrays(batch, "sketch"), _arrays(batch, "keys")):
+            if key != last:
+                if len(held) > 1:
+                    yield whole()
+                held, last = [], key
+            held.append(tuple(row))
+    if len(held) > 1:
+        yield whole()
+
+
+def _spread(lists: DataFrame, block: int) -> DataFrame:
+    """Lists longer than ``block`` cut by a hash of the node, each two parts (x, y) of them side by side."""
     counts = lists.groupBy("value").agg(F.count("*").alias("rows"))
     long = counts.where(F.col("rows") > block).withColumn("parts", F.ceil(F.col("rows") / block).cast("int"))
     long = materialize(long.select("value", "parts"), "long-lists")
@@ -148,36 +190,64 @@ def _unconnected(lists: DataFrame, block: int) -> DataFrame:
     )
     alone = F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(False).alias("second")))
     spread = placed.withColumn("at", F.explode(F.when(F.col("parts").isNull(), alone).otherwise(others)))
-    spread = spread.select("value", "at.x", "at.y", "at.second", "node", "root", "n", "sketch")
+    return spread.select("value", "at.x", "at.y", "at.second", "node")
+
+
+def _sorted_lists(rows: DataFrame) -> DataFrame:
+    return rows.repartition("value", "x", "y").sortWithinPartitions("value", "x", "y")
+
+
+def marked(lists: DataFrame, facts: DataFrame) -> DataFrame:
+    """(value, x, y, second, node): rows of lists that have a candidate there; a list gives no more rows than it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
-        last = None
+        for (value, x, y), rows in _lists_of(batches, ["second", "node", "root", "n"]):
+            some = np.zeros(len(rows["n"]), bool)
+            for i, js in candidates(rows, value):
+                some[i] = some[js] = True
+            at = np.flatnonzero(some)
+            n = len(at)
+            columns = [pa.array([v] * n, k) for v, k in ((value, pa.int64()), (x, pa.int32()), (y, pa.int32()))]
+            columns += [pa.array(rows["second"][at]), pa.array([rows["node"][i] for i in at], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["value", "x", "y", "second", "node"])
 
-        def pairs() -> pa.RecordBatch:
-            nodes, roots, sizes, found, second = (list(c) for c in zip(*held))
-            table = np.full((len(found), RETAINED), np.iinfo(np.int64).max)
-            for row, values in zip(table, found):
-                row[: len(values)] = values
-            met = _across(np.array(roots), np.array(nodes), np.array(sizes), table, np.array(second))
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (zip(*met) if met else ((), ()))], ["a", "b"])
+    known = lists.join(facts, "node")
+    return _sorted_lists(known).mapInArrow(run, "value bigint, x int, y int, second boolean, node string")
 
-        for batch in batches:
-            names = ("value", "x", "y", "node", "root", "n", "second")
-            columns = [batch.column(c).to_pylist() for c in names]
-            found = batch.column("sketch")
-            flat, offsets = found.flatten().to_numpy(), found.offsets.to_numpy() - found.offsets[0].as_py()
-            for i, (value, x, y, node, root, n, second) in enumerate(zip(*columns)):
-                if (value, x, y) != last:
-                    if len(held) > 1:
-                        yield pairs()
-                    held, last = [], (value, x, y)
-                held.append((node, root, n, flat[offsets[i] : offsets[i + 1]], second))
-        if len(held) > 1:
-            yield pairs()
-
-    met = spread.repartition("value", "x", "y").sortWithinPartitions("value", "x", "y").mapInArrow(run, "a string, b string")
-    return met.distinct()
+
+def connected(rows: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
+    """(a, b): verified links between the roots of candidates, as many as connect what a list connects.
+
+    Hashes of whole sets decide who is compared by shingles; each text is cut once a list.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (value, _, _), rows in _lists_of(batches, ["second", "root", "n", "text"]):
+            texts = [(t or "").encode() for t in rows["text"]]
+            sets: dict[int, np.ndarray] = {}
+            forest, found = Forest(), []
+
+            def hashes(i: int) -> np.ndarray:
+                if i not in sets:
+                    sets[i] = sketch(shingles(texts[i], size), 1 << 62)
+                return sets[i]
+
+            for i, js in candidates(rows, value):
+                own = hashes(i)
+                for j in js.tolist():
+                    a, b = str(rows["root"][i]), str(rows["root"][j])
+                    if forest.root(a) == forest.root(b):
+                        continue
+                    other = hashes(j)
+                    common = len(np.intersect1d(own, other, assume_unique=True))
+                    if 100 * common < percent * (len(own) + len(other) - common) - 100:
+                        continue
+                    if similar(shingles(texts[i], size), shingles(texts[j], size), percent) and forest.link(a, b):
+                        found.append((a, b))
+            columns = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["a", "b"])
+
+    return _sorted_lists(rows).mapInArrow(run, "a string, b string").distinct()
 
 
 def verified(pairs: DataFrame, stored: DataFrame, texts: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -188,9 +258,7 @@ def verified(pairs: DataFrame, stored: DataFrame, texts: DataFrame, size: int =
     shingles of one ``a``.
     """
     pairs = materialize(pairs, "pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    needed = materialize(texts.select("node", "at").join(nodes, "node"), "needed")
-    bodies = materialize(stored.select("at", "text").join(needed, "at").select("node", "text"), "bodies")
+    bodies = _bodies(pairs.select(F.explode(F.array("a", "b")).alias("node")), stored, texts)
     counts = pairs.groupBy("a").agg(F.count("*").alias("rows"))
     many = counts.where(F.col("rows") > MEMBERS).select("a", F.ceil(F.col("rows") / MEMBERS).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
@@ -225,7 +293,7 @@ def _estimated(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     both = skewed_join(skewed_join(pairs, side("a"), "a", salt_by=["b"]), side("b"), "b", salt_by=["a"])
 
     def limit(name: str):
-        return F.when(F.col(f"n_{name}") > RETAINED, F.element_at(f"s_{name}", -1)).otherwise(F.lit(int(np.iinfo(np.int64).max)))
+        return F.when(F.col(f"n_{name}") > RETAINED, F.element_at(f"s_{name}", -1)).otherwise(F.lit(int(TOP)))
 
     sized = both.where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")).withColumn("limit", F.least(limit("a"), limit("b")))
     common = F.size(F.array_intersect("s_a", "s_b"))
@@ -233,35 +301,50 @@ def _estimated(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return sized.where(common >= LEAST_ESTIMATE * (below[0] + below[1] - common)).select("a", "b")
 
 
+def _bodies(nodes: DataFrame, stored: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, text) of some nodes: only their texts leave the stored table."""
+    needed = materialize(texts.select("node", "at").join(nodes.distinct(), "node"), "needed")
+    return materialize(stored.select("at", "text").join(needed, "at").select("node", "text"), "bodies")
+
+
 def classes(
     texts: DataFrame, stored: DataFrame, size: int = SHINGLE, common_texts: int = COMMON_TEXTS, block: int = BLOCK
 ) -> DataFrame:
     """(node, root) of nodes that similar texts connect, directly or through others.
 
-    First each list's texts are compared with the smallest of the list, which connects most groups
-    with as many rows as the lists have. Then lists that hold texts not yet connected compare
-    those with each other: every pair that shares a list is either connected, or estimated. What
-    that verifies connects the first classes.
+    First each list's texts are compared with the text of the list that shares most of its keys
+    with others, as an original does with its copies; that connects most groups with no more rows
+    than the lists have. Then lists that hold texts not yet connected compare those with each
+    other: every pair that shares a list is either connected, or estimated, and what may be
+    similar meets by its text in that list. What that verifies connects the first classes.
     """
-    lists = materialize(inverted_lists(texts, common_texts=common_texts), "lists")
-    heads = lists.groupBy("value").agg(F.min("node").alias("a"), F.count("*").alias("n")).where(F.col("n") > 1)
-    stars = skewed_join(lists, heads.drop("n"), "value", salt_by=["node"]).where(F.col("a") < F.col("node"))
-    stars = materialize(stars.select("a", F.col("node").alias("b")).distinct(), "stars")
+    keyed = materialize(keys_of(texts, common_texts=common_texts), "keys")
+    lists = materialize(keyed.select("node", F.explode("keys").alias("value")), "lists")
+    shared = lists.groupBy("value").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    several = materialize(skewed_join(lists, shared, "value", salt_by=["node"], how="inner").drop("n"), "shared-lists")
+    weight = several.groupBy("node").agg(F.count("*").alias("weight"))
+    heads = several.join(weight, "node").groupBy("value").agg(F.max_by("node", F.struct("weight", "node")).alias("head"))
+    stars = skewed_join(several, heads, "value", salt_by=["node"]).where(F.col("head") != F.col("node"))
+    stars = stars.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     roots = components(verified(_estimated(stars, texts), stored, texts, size))
 
-    rooted = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = several.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = materialize(rooted, "rooted")
     spans = rooted.groupBy("value").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(F.col("x") != F.col("y"))
-    left = skewed_join(rooted, spans.select("value", F.lit(True).alias("open")), "value", salt_by=["node"]).where("open")
-    full = materialize(left.drop("open").join(texts.select("node", F.col("n_shingles").alias("n"), "sketch"), "node"), "open-lists")
-    rest = materialize(_unconnected(full, block).join(stars, ["a", "b"], "left_anti"), "rest")
+    opened = skewed_join(rooted, spans.select("value"), "value", salt_by=["node"], how="inner")
+    opened = materialize(_spread(opened.select("value", "node"), block), "open-lists")
+    facts = texts.select("node", F.col("n_shingles").alias("n"), "sketch").join(keyed, "node").join(
+        rooted.select("node", "root").distinct(), "node"
+    )
+    facts = materialize(facts.join(opened.select("node").distinct(), "node"), "facts")
+    rest = materialize(marked(opened, facts), "rest")
     if rest.isEmpty():
         return roots
-    known = texts.select("node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ends = [known.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab"]
-    more = skewed_join(skewed_join(verified(rest, stored, texts, size), ends[0], "a"), ends[1], "b")
-    joined = components(more.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    bodies = _bodies(rest.select("node"), stored, texts)
+    more = connected(rest.join(facts, "node").join(bodies, "node"), size)
+    joined = components(more)
     tops = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    known = texts.select("node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return skewed_join(known, tops, "root", salt_by=["node"]).select("node", F.coalesce("top", "root").alias("root"))
 
 
