@@ -42,19 +42,22 @@ SELECT *, (floor(rate) + (((('0x' || substr({draw}, 1, 8))::BIGINT)::DOUBLE + 5e
 FROM rated"""
 
 
-def _rules() -> tuple[str, str]:
-    from pairloom.llm.url_reputation import RULES
-
-    rule, verdict = [], []
-    for kind, host, path in sorted(RULES, key=lambda r: -len(r[1] + r[2])):
-        fits = f"WHEN (host = '{host}' OR suffix(host, '.{host}')) AND prefix(path, '{path}')"
-        rule.append(f"{fits} THEN '{host}{path}'")
-        verdict.append(f"{fits} THEN '{kind}'")
-    return f"CASE {' '.join(rule)} END", f"CASE {' '.join(verdict)} END"
+# The five rules, longest first, written out.
+RULE_SQL = """CASE
+    WHEN (host = 'www.example.com' OR suffix(host, '.www.example.com')) AND prefix(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND prefix(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR suffix(host, '.com')) AND prefix(path, '/') THEN 'com/' END"""
+VERDICT_SQL = """CASE rule WHEN 'www.example.com/en/' THEN 'allow' WHEN 'com/' THEN 'allow'
+    WHEN 'example.com/en/' THEN 'block' WHEN 'net/es/' THEN 'block' WHEN 'net/fr/' THEN 'block'
+    ELSE CASE WHEN bound > 25e-2 THEN 'block' ELSE 'allow' END END"""
+SUFFIX_SQL = """'ac.jp', 'ac.uk', 'co.id', 'co.il', 'co.in', 'co.jp', 'co.kr', 'co.nz', 'co.th', 'co.uk', 'co.za', 'com.ar',
+    'com.au', 'com.br', 'com.cn', 'com.co', 'com.hk', 'com.mx', 'com.my', 'com.pl', 'com.sg', 'com.tr', 'com.tw', 'com.ua',
+    'com.vn', 'edu.au', 'gov.au', 'gov.uk', 'ne.jp', 'net.au', 'or.jp', 'or.kr', 'org.au', 'org.br', 'org.uk'"""
 
 
 def url_sql() -> str:
-    rule, verdict = _rules()
     host = r"regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1)"
 
     def strength(groups: str, centre: str) -> str:
@@ -74,9 +77,12 @@ WITH parts AS (
          (length(html) - length(regexp_replace(html, '[#*$%|]', '', 'g')) > 1e-2 * length(html))::INT AS outcome
   FROM pages
 ), hosts AS (
-  SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix,
-         count(outcome)::DOUBLE AS n, coalesce(sum(outcome), 0)::DOUBLE AS bad
-  FROM parts GROUP BY host
+  SELECT host, array_to_string(labels[CASE WHEN longer THEN -3 ELSE -2 END:], '.') AS domain,
+         array_to_string(labels[CASE WHEN longer THEN -2 ELSE -1 END:], '.') AS suffix, n, bad
+  FROM (SELECT host, string_split(host, '.') AS labels,
+               array_to_string(string_split(host, '.')[-2:], '.') IN ({SUFFIX_SQL}) AS longer,
+               count(outcome)::DOUBLE AS n, coalesce(sum(outcome), 0)::DOUBLE AS bad
+        FROM parts GROUP BY host)
 ), overall AS (SELECT CASE WHEN sum(n) > 0 THEN (sum(bad) + 5e-1) / (sum(n) + 1) ELSE 5e-1 END AS m FROM hosts),
 suffixes0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(m) AS m FROM hosts, overall GROUP BY suffix),
 suffixes1 AS (SELECT suffix, (k * m + bad) / (k + n) AS ms FROM suffixes0, ({strength("suffixes0", "m")})),
@@ -89,9 +95,8 @@ known AS (
   SELECT host, (k * md + bad) / (k + n) AS bad_rate, k + n + 1 AS weight FROM placed, ({strength("placed", "md")})),
 bounded AS (
   SELECT host, bad_rate, bad_rate - 1645e-3 * sqrt(bad_rate * (1 - bad_rate) / weight) AS bound FROM known)
-SELECT page_id, host, path, {rule} AS rule,
-       coalesce({verdict}, CASE WHEN bound > 25e-2 THEN 'block' ELSE 'allow' END) AS verdict
-FROM parts JOIN bounded USING (host)"""
+SELECT page_id, host, path, rule, {VERDICT_SQL} AS verdict
+FROM (SELECT *, {RULE_SQL} AS rule FROM parts JOIN bounded USING (host))"""
 
 
 # crc32 from its definition: the table of 256 entries is derived from the polynomial.

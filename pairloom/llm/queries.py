@@ -17,7 +17,9 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def op1_url_reputation(spark: SparkSession, sf: str) -> DataFrame:
     pages = _table(spark, sf, "pages")
-    judged = url_reputation.judge_urls(pages, url_reputation.symbol_outcome())
+    judged = url_reputation.judge_urls(
+        pages, url_reputation.symbol_outcome(), public_suffixes=url_reputation.PUBLIC_SUFFIXES
+    )
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 

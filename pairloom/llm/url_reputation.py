@@ -15,6 +15,12 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
+# Suffixes of two labels under which names are registered, the common ones.
+PUBLIC_SUFFIXES = (
+    "ac.jp", "ac.uk", "co.id", "co.il", "co.in", "co.jp", "co.kr", "co.nz", "co.th", "co.uk", "co.za", "com.ar", "com.au",
+    "com.br", "com.cn", "com.co", "com.hk", "com.mx", "com.my", "com.pl", "com.sg", "com.tr", "com.tw", "com.ua", "com.vn",
+    "edu.au", "gov.au", "gov.uk", "ne.jp", "net.au", "or.jp", "or.kr", "org.au", "org.br", "org.uk",
+)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
