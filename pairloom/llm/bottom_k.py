@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pairloom.llm.components import components
 from pairloom.llm.golay_simhash import Forest
 from pairloom.llm.words import utf8
-from pairloom.runtime import materialize, ship_by_value, skewed_join
+from pairloom.runtime import lookup_join, materialize, measured_bytes, ship_by_value, skewed_join
 
 SHINGLE, PERCENT = 4, 80
 # Values a sketch retains, and how many of them at least are keys of inverted lists.
@@ -48,29 +48,31 @@ def similar(a: set[bytes], b: set[bytes], percent: int = PERCENT) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def sketches(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(doc_id, node, n_shingles, sketch, text, at); ``node`` is a digest of the words, null without words."""
+def named(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc_id, text, tid); ``tid`` tells rows of another id or text apart."""
+    whole = F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit("")))
+    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.unhex(F.md5(whole)).alias("tid"))
+
+
+def sketches(rows: DataFrame, size: int) -> DataFrame:
+    """(doc_id, tid, digest, n_shingles, sketch, at); ``digest`` is of the words, null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, counts, found = [], [], []
+            digests, counts, found = [], [], []
             for body in utf8(batch, "text"):
                 parts = shingles(body, size)
-                nodes.append(blake2b(b" ".join(body.lower().split()), digest_size=16).hexdigest() if parts else None)
+                digests.append(blake2b(b" ".join(body.lower().split()), digest_size=16).digest() if parts else None)
                 counts.append(len(parts))
                 found.append(sketch(parts))
+            columns = [pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(found, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), pa.array(nodes, pa.string()), pa.array(counts, pa.int64()),
-                    pa.array(found, pa.list_(pa.int64())), batch.column("text"),
-                ],
-                ["doc_id", "node", "n_shingles", "sketch", "text"],
+                [batch.column("doc_id"), batch.column("tid"), *columns], ["doc_id", "tid", "digest", "n_shingles", "sketch"]
             )
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, node string, n_shingles bigint, sketch array<bigint>, text string"
-    ).withColumn("at", F.monotonically_increasing_id())
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, tid binary, digest binary, n_shingles bigint, sketch array<bigint>"
+    return rows.mapInArrow(run, schema).withColumn("at", F.monotonically_increasing_id())
 
 
 def keys_of(texts: DataFrame, percent: int = PERCENT, common_texts: int = COMMON_TEXTS) -> DataFrame:
@@ -162,7 +164,7 @@ def _lists_of(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[t
         columns = dict(zip([*names, "sketch", "keys"], map(list, zip(*held))))
         columns["sketch"] = _padded(columns["sketch"], RETAINED)
         columns["keys"] = _padded(columns["keys"], 2 * KEYS)
-        return last, {c: v if c in ("sketch", "keys", "text", "node") else np.array(v) for c, v in columns.items()}
+        return last, {c: v if c in ("sketch", "keys", "text") else np.array(v) for c, v in columns.items()}
 
     for batch in batches:
         keys = zip(*(batch.column(c).to_pylist() for c in ("value", "x", "y")))
@@ -208,11 +210,11 @@ def marked(lists: DataFrame, facts: DataFrame) -> DataFrame:
             at = np.flatnonzero(some)
             n = len(at)
             columns = [pa.array([v] * n, k) for v, k in ((value, pa.int64()), (x, pa.int32()), (y, pa.int32()))]
-            columns += [pa.array(rows["second"][at]), pa.array([rows["node"][i] for i in at], pa.string())]
+            columns += [pa.array(rows["second"][at]), pa.array(rows["node"][at])]
             yield pa.RecordBatch.from_arrays(columns, ["value", "x", "y", "second", "node"])
 
     known = lists.join(facts, "node")
-    return _sorted_lists(known).mapInArrow(run, "value bigint, x int, y int, second boolean, node string")
+    return _sorted_lists(known).mapInArrow(run, "value bigint, x int, y int, second boolean, node bigint")
 
 
 def connected(rows: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
@@ -235,7 +237,7 @@ def connected(rows: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
             for i, js in candidates(rows, value):
                 own = hashes(i)
                 for j in js.tolist():
-                    a, b = str(rows["root"][i]), str(rows["root"][j])
+                    a, b = int(rows["root"][i]), int(rows["root"][j])
                     if forest.root(a) == forest.root(b):
                         continue
                     other = hashes(j)
@@ -245,20 +247,19 @@ def connected(rows: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
                     if similar(shingles(texts[i], size), shingles(texts[j], size), percent) and forest.link(a, b):
                         found.append((a, b))
             columns = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
-    return _sorted_lists(rows).mapInArrow(run, "a string, b string").distinct()
+    return _sorted_lists(rows).mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def verified(pairs: DataFrame, stored: DataFrame, texts: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The (a, b) rows whose whole shingle sets are similar.
 
-    Only texts of these pairs leave the stored table. The text of ``b`` goes to ``a``, spread by a
-    hash so that a text with very many partners is copied to several tasks; each task holds the
+    Only texts of these pairs are moved. The text of ``b`` goes to ``a``, spread by a hash so that a text with very many partners is copied to several tasks; each task holds the
     shingles of one ``a``.
     """
     pairs = materialize(pairs, "pairs")
-    bodies = _bodies(pairs.select(F.explode(F.array("a", "b")).alias("node")), stored, texts)
+    bodies = _bodies(pairs.select(F.explode(F.array("a", "b")).alias("node")), rows, texts)
     counts = pairs.groupBy("a").agg(F.count("*").alias("rows"))
     many = counts.where(F.col("rows") > MEMBERS).select("a", F.ceil(F.col("rows") / MEMBERS).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
@@ -278,11 +279,11 @@ def verified(pairs: DataFrame, stored: DataFrame, texts: DataFrame, size: int =
                     head = found
                 elif similar(head, found, percent):
                     kept.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (zip(*kept) if kept else ((), ()))], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*kept) if kept else ((), ()))], ["a", "b"])
 
-    rows = heads.select("a", "part", F.lit(None).cast("string").alias("b"), "text").unionByName(members)
-    placed = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return placed.mapInArrow(run, "a string, b string")
+    laid = heads.select("a", "part", F.lit(None).cast("bigint").alias("b"), "text").unionByName(members)
+    placed = laid.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return placed.mapInArrow(run, "a bigint, b bigint")
 
 
 def _estimated(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -301,14 +302,18 @@ def _estimated(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return sized.where(common >= LEAST_ESTIMATE * (below[0] + below[1] - common)).select("a", "b")
 
 
-def _bodies(nodes: DataFrame, stored: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, text) of some nodes: only their texts leave the stored table."""
-    needed = materialize(texts.select("node", "at").join(nodes.distinct(), "node"), "needed")
-    return materialize(stored.select("at", "text").join(needed, "at").select("node", "text"), "bodies")
+def _bodies(nodes: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, text) of some nodes, from the row that stands for each; other texts are not moved while the nodes fit a broadcast."""
+    needed = materialize(texts.select("node", "tid").join(nodes.distinct(), "node"), "needed")
+    found = lookup_join(
+        rows.select("tid", "text"), needed, ["tid"], size=measured_bytes(needed, fixed=64), salt_by=["text"], how="inner"
+    )
+    # Rows may repeat.
+    return materialize(found.groupBy("node").agg(F.first("text").alias("text")), "bodies")
 
 
 def classes(
-    texts: DataFrame, stored: DataFrame, size: int = SHINGLE, common_texts: int = COMMON_TEXTS, block: int = BLOCK
+    texts: DataFrame, rows: DataFrame, size: int = SHINGLE, common_texts: int = COMMON_TEXTS, block: int = BLOCK
 ) -> DataFrame:
     """(node, root) of nodes that similar texts connect, directly or through others.
 
@@ -326,7 +331,7 @@ def classes(
     heads = several.join(weight, "node").groupBy("value").agg(F.max_by("node", F.struct("weight", "node")).alias("head"))
     stars = skewed_join(several, heads, "value", salt_by=["node"]).where(F.col("head") != F.col("node"))
     stars = stars.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    roots = components(verified(_estimated(stars, texts), stored, texts, size))
+    roots = components(verified(_estimated(stars, texts), rows, texts, size))
 
     rooted = several.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = materialize(rooted, "rooted")
@@ -340,7 +345,7 @@ def classes(
     rest = materialize(marked(opened, facts), "rest")
     if rest.isEmpty():
         return roots
-    bodies = _bodies(rest.select("node"), stored, texts)
+    bodies = _bodies(rest.select("node"), rows, texts)
     more = connected(rest.join(facts, "node").join(bodies, "node"), size)
     joined = components(more)
     tops = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
@@ -361,18 +366,21 @@ def near_duplicates(
     class: a class of such rows only has component_id null, and rows without an id are not kept.
     Repeated rows give repeated result rows, an empty table none; other columns are ignored.
     """
-    found = materialize(sketches(docs, key, text, size), "sketches")
-    texts = found.where(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min("doc_id").alias("first"), F.min("at").alias("at"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
+    rows = named(docs, key, text)
+    found = materialize(sketches(rows, size), "sketches")
+    # The first row of equal texts stands for them, and its place names the node.
+    texts = found.where(F.col("digest").isNotNull()).groupBy("digest").agg(
+        F.min(F.struct("at", "tid")).alias("own"), F.min("doc_id").alias("first"), F.first("n_shingles").alias("n_shingles"),
+        F.first("sketch").alias("sketch"),
     )
-    texts = materialize(texts, "texts")
-    roots = classes(texts, found, size, common_texts, block)
-    placed = texts.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    texts = materialize(texts.select("digest", "own.tid", F.col("own.at").alias("node"), "first", "n_shingles", "sketch"), "texts")
+    roots = classes(texts, rows, size, common_texts, block)
+    placed = texts.select("digest", "node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = materialize(placed, "placed")
     names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = skewed_join(placed.select("node", "root"), names, "root", salt_by=["node"]).drop("root")
-    whole = skewed_join(found.select("doc_id", "node", "n_shingles"), named, "node", salt_by=["doc_id"])
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    known = skewed_join(placed.select("digest", "root"), names, "root", salt_by=["digest"]).drop("root")
+    whole = skewed_join(found.select("doc_id", "digest", "n_shingles"), known, "digest", salt_by=["doc_id"])
+    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return whole.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")
     )
