@@ -242,7 +242,9 @@ class Reader(DataSourceReader):
             Range(f.path, at, min(f.end, at + self.size)) for f in self.files() for at in range(0, f.end, self.size)
         ]
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Range | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:
+            return  # no file is wanted
         rows, held = [], 0
         for row in read_range(partition.path, partition.start, partition.end, self.plain):
             rows.append(row)

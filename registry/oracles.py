@@ -324,6 +324,17 @@ ORACLES: dict[str, str] = {
         FROM manifest m LEFT JOIN payloads p ON m.id = p.id)
       SELECT id, url, status, CASE WHEN status = 'ok' THEN strlen(data) END AS n_bytes,
         CASE WHEN status = 'ok' THEN md5(data) END AS data_md5 FROM joined""",
+    "ingest_retry": f"""WITH {MANIFEST}, {PAYLOADS} SELECT m.id, url, caption, source,
+        CASE WHEN elapsed_s > 8e0 THEN 'timeout' ELSE 'missing' END AS status, (SELECT count(*) FROM pages) AS n_manifest
+      FROM manifest m LEFT JOIN payloads p ON m.id = p.id WHERE elapsed_s IS NULL OR elapsed_s > 8e0""",
+    "ingest_raw_shards": f"""WITH {MANIFEST}, {PAYLOADS}, {SIZES}, s AS (SELECT *, least(w, h) > 256 AS resized,
+        256e0 / least(w, h) AS scale FROM sizes),
+      good AS (SELECT m.id, url, md5(data) AS data_md5,
+        CASE WHEN resized THEN round_even(w * scale, 0) ELSE w END::INTEGER AS out_w,
+        CASE WHEN resized THEN round_even(h * scale, 0) ELSE h END::INTEGER AS out_h, resized,
+        resized OR format <> 'jpg' AS reencode
+        FROM manifest m JOIN payloads p ON m.id = p.id JOIN s ON s.id = m.id WHERE elapsed_s <= 8e0)
+      SELECT *, least(50, (SELECT count(*) FROM good)) AS most, ((SELECT count(*) FROM good) + 49) // 50 AS shards FROM good""",
     "retry_list": f"""WITH {MANIFEST}, {PAYLOADS} SELECT id, url FROM manifest
       WHERE id NOT IN (SELECT id FROM payloads WHERE elapsed_s <= 8e0)""",
     "import_tar_shards": f"""WITH {MANIFEST} SELECT lpad((id // 50)::VARCHAR, 5, '0') AS shard,

@@ -13,6 +13,7 @@ from pairloom.functions.rand import uniform
 from pairloom.operators import buffer, epochs, flow, images, index, metrics, samples, text
 from pairloom.operators import latents as lat
 from pairloom.plans.epoch import attach_rows, plan_epoch
+from pairloom.plans.ingest import ingest
 from pairloom.plans.loss_profile import loss_profile
 from pairloom.plans.preparation import prepare, write_prepared
 from pairloom.plans.samples import build_samples, read_pairs
@@ -62,6 +63,36 @@ def load_metadata_shards(spark, sf):
     return man.load_metadata_shards(spark, path, n, "shard={i}", MANIFEST)
 
 
+def _ingested(spark, sf):
+    source, out = work_dir(spark, "metadata"), work_dir(spark, "ingest")
+    pages = fx.pages(spark, sf)
+    shards.write_sample_shards(pages, source, fx.SHARD_ROWS, order_by=["id"])
+    landed = fx.payloads(spark, sf).join(fx.image_sizes(spark, sf), "id")
+    n = -(-pages.count() // fx.SHARD_ROWS)
+    done = ingest(
+        spark, source, n, landed, out, pattern="shard={i}", url_col="href", caption_col="title", maxcount=fx.SHARD_ROWS
+    )
+    return done
+
+
+def ingest_raw_shards(spark, sf):
+    raw = spark.read.parquet(_ingested(spark, sf).raw)
+    per_shard = raw.groupBy("shard").agg(F.count("*").alias("_n"))
+    full = per_shard.agg(F.max("_n").alias("most"), F.count("*").alias("shards"))
+    most, n = full.first()
+    return raw.select(
+        "id", "url", F.md5("data").alias("data_md5"), "out_w", "out_h", "resized", "reencode",
+        F.lit(most).cast("bigint").alias("most"), F.lit(n).cast("bigint").alias("shards"),
+    )
+
+
+def ingest_retry(spark, sf):
+    done = _ingested(spark, sf)
+    return spark.read.parquet(done.retry).select("id", "url", "caption", "source", "status").withColumn(
+        "n_manifest", F.lit(done.rows).cast("bigint")
+    )
+
+
 def write_manifest(spark, sf):
     path = work_dir(spark, "manifest")
     n = man.write_manifest(fx.manifest(spark, sf), path)
@@ -800,7 +831,7 @@ _PLAIN = (
     normalize_latent, normalize_latent_wide, denormalize_latent, patchify,
     patchify_in_jvm, unpatchify, unpatchify_in_jvm, timestep_features, resample_shards, assign_shards, place_shards, bounded_shuffle, full_shuffle,
     plan_epoch_one_pass, encode_whole, encode_whole_joined, log_windows, eval_records, loader_order, roll_shards,
-    log_windows_stream, prepare_observed, prepare_stream_observed, read_tar_members, read_tar_range,
+    log_windows_stream, ingest_raw_shards, ingest_retry, prepare_observed, prepare_stream_observed, read_tar_members, read_tar_range,
     with_batches, batched, epoch_limit, caption_dropout, sample_timesteps, make_flow_rows,
     flow_loss, batch_loss, guide, replay_states, replay_predictions, loss_by_bin, train_log,
     with_learning_rate, eval_summary, with_run_events, prepare_batch, prepare_stream_rejected,
