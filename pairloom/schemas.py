@@ -23,21 +23,6 @@ RAW_SAMPLE = T.StructType(
     ]
 )
 
-SAMPLE = T.StructType(
-    [
-        T.StructField("key", T.StringType()),
-        T.StructField("id", T.LongType()),
-        T.StructField("latent", T.ArrayType(T.FloatType())),
-        T.StructField("prompt_embeds", T.ArrayType(T.FloatType())),
-        T.StructField("caption", T.StringType()),
-    ]
-)
-
-# Shapes of one latent (channels, height, width) and one text embedding
-# (positions, width).
-LATENT_SHAPE = (16, 32, 32)
-PROMPT_SHAPE = (128, 1024)
-
 
 def require_columns(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
