@@ -13,6 +13,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from pairloom.runtime import ship_by_value
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Closed windows that leave a task together.
+OUT_WINDOWS = 1000
 
 
 def stateful_session(spark: SparkSession) -> SparkSession:
@@ -84,44 +86,60 @@ class Windows(StatefulProcessor):
         self.handle = handle
         self.open = handle.getMapState("open", "window long", "sums array<double>, counts array<long>, steps long")
 
-    def closed(self, key, window: int, sums, counts) -> pd.DataFrame:
-        sums, counts = np.asarray(sums, float), np.asarray(counts, np.int64)
+    def closed(self, key, windows, sums, counts) -> pd.DataFrame:
+        sums, counts = np.concatenate(sums).astype(float), np.concatenate(counts).astype(np.int64)
         return pd.DataFrame({
-            self.run: [key[0]] * self.bins, "window": [window] * self.bins,
-            "bin": np.arange(self.bins, dtype=np.int32), "loss": sums / np.maximum(counts, 1), "n": counts,
+            self.run: [key[0]] * len(sums), "window": np.repeat(np.array(windows, np.int64), self.bins),
+            "bin": np.tile(np.arange(self.bins, dtype=np.int32), len(windows)),
+            "loss": sums / np.maximum(counts, 1), "n": counts,
         })
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows))
+    def summed(self, frame: pd.DataFrame) -> Iterator[tuple]:
+        """(window, sums, counts) of the windows of some rows, in time linear in them."""
         if frame["t"].isna().any():
             raise ValueError("a row has no timestep")
         step, loss = frame["step"].to_numpy(np.int64), frame["loss"].to_numpy(float)
         place = np.clip(np.floor(frame["t"].to_numpy(float) * self.bins), 0, self.bins - 1).astype(np.int64)
-        window = -(-step // self.every)
-        for w in np.unique(window).tolist():
-            own = window == w
-            sums = np.bincount(place[own], loss[own], self.bins)
-            counts = np.bincount(place[own], minlength=self.bins)
-            steps = int(own.sum())
-            if self.open.containsKey((w,)):
+        windows, at = np.unique(-(-step // self.every), return_inverse=True)
+        cell, cells = at * self.bins + place, len(windows) * self.bins
+        sums = np.bincount(cell, loss, cells).reshape(-1, self.bins)
+        counts = np.bincount(cell, minlength=cells).reshape(-1, self.bins)
+        return zip(windows.tolist(), sums, counts)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        # Rows are reduced as they come: a run's part of a micro-batch is held as its windows.
+        found, last, done = {}, None, []
+        for frame in rows:
+            for w, sums, counts in self.summed(frame):
+                before = found.get(w)
+                found[w] = (sums, counts) if before is None else (before[0] + sums, before[1] + counts)
+            latest = frame["ts"].max()
+            last = latest if last is None or pd.isna(last) or latest > last else last
+        for w in sorted(found):
+            sums, counts = found.pop(w)
+            steps = int(counts.sum())
+            known = self.open.containsKey((w,))
+            if known:
                 before = self.open.getValue((w,))
                 sums, counts, steps = sums + np.asarray(before[0]), counts + np.asarray(before[1]), steps + before[2]
             if steps == (1 if w == 0 else self.every):
-                if self.open.containsKey((w,)):
+                if known:
                     self.open.removeKey((w,))
-                yield self.closed(key, w, sums, counts)
+                done.append((w, sums, counts))
             else:
                 self.open.updateValue((w,), (sums.tolist(), counts.tolist(), steps))
+        for start in range(0, len(done), OUT_WINDOWS):
+            yield self.closed(key, *zip(*done[start : start + OUT_WINDOWS]))
         for old in list(self.handle.listTimers()):
             self.handle.deleteTimer(old)
-        last = pd.Timestamp(frame["ts"].max())
+        last = pd.Timestamp(last)
         last = last.tz_localize("UTC") if last.tzinfo is None else last
         self.handle.registerTimer(int(last.timestamp() * 1000) + self.idle_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """The run is silent: what is open is reported as it stands."""
         for (window,), (sums, counts, _) in sorted(self.open.iterator()):
-            yield self.closed(key, window, sums, counts)
+            yield self.closed(key, [window], [sums], [counts])
         self.open.clear()
 
     def close(self) -> None:

@@ -181,12 +181,15 @@ def evaluations(spark, sf) -> tuple[DataFrame, DataFrame]:
 
 
 def chunked(df: DataFrame, label: str, parts: list[Column]) -> str:
-    """A folder with one written file set per condition, each after the one before, as a stream finds them."""
+    """A folder with one file per condition, each after the one before, as a stream finds them.
+
+    Rows are derived where they are read and only written by one task.
+    """
     from pairloom.runtime import work_dir
 
     folder = work_dir(df.sparkSession, label)
     for part in parts:
-        df.where(part).coalesce(1).write.mode("append").parquet(folder)
+        df.where(part).repartition(1).write.mode("append").parquet(folder)
     return folder
 
 

@@ -1,12 +1,15 @@
+import time
 from datetime import datetime, timedelta
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from pairloom.operators.metrics import log_windows
 from pairloom.sources.manifest import attach_payloads
 from pairloom.streaming.payloads import attach_arrivals
-from pairloom.streaming.state import batch_stream, land, log_window_stream, stateful_session
+from pairloom.streaming.state import Windows, batch_stream, land, log_window_stream, stateful_session
 
 START = datetime(2024, 1, 1)
 
@@ -48,6 +51,36 @@ def test_log_windows_close_by_count_and_by_silence(spark, tmp_path):
     assert sorted(map(tuple, found.select(columns).collect())) == sorted(map(tuple, wanted))
 
 
+class Held:
+    """State and timers of one run, in memory."""
+
+    def __init__(self):
+        self.kept, self.timers = {}, []
+        self.containsKey, self.getValue, self.removeKey = self.kept.__contains__, self.kept.get, self.kept.pop
+        self.updateValue = self.kept.__setitem__
+        self.listTimers, self.deleteTimer, self.registerTimer = lambda: self.timers, self.timers.remove, self.timers.append
+
+    def getMapState(self, *_):
+        return self
+
+
+def test_windows_of_a_run_take_linear_time():
+    n, every = 1_000_000, 100
+    step = np.random.default_rng(3).permutation(n)
+    frame = pd.DataFrame({"step": step, "t": step % 10 / 10, "loss": step % 7.0, "ts": pd.Timestamp(START)})
+    held, windows = Held(), Windows(every, 10, 1000, "run")
+    windows.init(held)
+    begin = time.process_time()
+    out = pd.concat(windows.handleInputRows(("a",), iter([frame[:400_000], frame[400_000:]]), None))
+    assert time.process_time() - begin < 12
+    # All windows are full but the last, which lacks the step that closes it.
+    assert list(held.kept) == [(n // every,)] and held.kept[n // every,][2] == every - 1
+    assert len(out) == n // every * 10 and out["n"].sum() == n - every + 1
+    wanted = frame[frame["step"] <= n - every].groupby([-(-frame["step"] // every), frame["step"] % 10])["loss"].mean()
+    got = out[out["n"] > 0].set_index(["window", "bin"])["loss"]
+    assert np.allclose(got.sort_index().to_numpy(), wanted.sort_index().to_numpy())
+
+
 def test_arrivals_equal_the_batch_join(spark, tmp_path):
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
     asked = [(i, f"u{i}", START + timedelta(seconds=i)) for i in range(40)]
