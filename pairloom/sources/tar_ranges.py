@@ -26,6 +26,8 @@ from pairloom.sources.tar import FILE_URI, READ_BYTES, sample_name
 
 MEMBERS = "shard string, key string, ext string, name string, offset bigint, data binary"
 RANGE_BYTES = 128 << 20
+# Small ranges share tasks: more tasks than this only if one would read RANGE_BYTES or more.
+TASKS = 512
 BLOCK = tarfile.BLOCKSIZE
 BRACES = re.compile(r"\{(\d+)\.\.(\d+)\}")
 # Headers that say more about the member after them.
@@ -68,9 +70,17 @@ def _after(at: int, info: tarfile.TarInfo) -> int:
     return at + BLOCK + -(-held // BLOCK) * BLOCK
 
 
-def _leads_on(source, at: int, end: int, size: int) -> bool:
-    """Do headers follow each other from ``at`` to ``end`` or to the end of the archive?"""
+def _leads_on(source, at: int, end: int, size: int, known: set[int]) -> bool:
+    """Do headers follow each other from ``at`` to ``end`` or to the end of the archive?
+
+    ``known`` are headers of this file from which that was found before.
+    """
+    passed = []
     while at < end:
+        if at in known:
+            known.update(passed)
+            return True
+        passed.append(at)
         source.seek(at)
         block = source.read(BLOCK)
         if len(block) < BLOCK:
@@ -81,22 +91,30 @@ def _leads_on(source, at: int, end: int, size: int) -> bool:
             while rest := source.read(WINDOW):
                 if any(rest):
                     return False
+            known.update(passed)
             return True
         info = header(block)
         if info is None:
             return False
         at = _after(at, info)
-    return at <= size
+    if at > size:
+        return False
+    known.update(passed)
+    return True
 
 
-def first_header(source, start: int, end: int, size: int, plain: bool = False) -> int | None:
+def first_header(
+    source, start: int, end: int, size: int, plain: bool = False, known: set[int] | None = None
+) -> int | None:
     """Where the first member that begins in [start, end) has its first header.
 
     A block with a right checksum counts if headers follow from it up to the end of the archive. If
     one does not, as in an archive stored inside a member, headers are followed from the
     beginning of the file instead. Of ``plain`` files, whose members hold no archives, headers are
-    followed to the end of the range only.
+    followed to the end of the range only. Ranges of one file may share ``known``, the headers that
+    were followed, so that none is followed twice.
     """
+    known = set() if known is None or plain else known
     if start == 0:
         return 0 if size else None
     for base in range(start, end, WINDOW):
@@ -109,13 +127,15 @@ def first_header(source, start: int, end: int, size: int, plain: bool = False) -
             info = header(blocks[i].tobytes())
             if info is None:
                 continue
-            if not _leads_on(source, at, end if plain else size, size):
+            if not _leads_on(source, at, end if plain else size, size, known):
                 return _walk(source, start, end)
             # A header that belongs to one before it is read with that one, by the range before.
             low = max(0, at - BEFORE)
             source.seek(low)
             before = source.read(at - low)
             for j in range(len(before) - BLOCK, -1, -BLOCK):
+                if before[j + 156 : j + 157] not in MORE:  # its type, as most blocks are no headers
+                    continue
                 prior = header(before[j : j + BLOCK])
                 if prior and prior.type in MORE and _after(low + j, prior) == at:
                     if low + j < start:
@@ -155,23 +175,34 @@ def _walk(source, start: int, end: int) -> int | None:
 
 def read_range(path: str, start: int, end: int, plain: bool = False) -> Iterator[tuple]:
     """(shard, key, ext, name, offset, data) of members whose first header lies in [start, end)."""
+    return read_ranges(path, start, end, end - start, plain)
+
+
+def read_ranges(path: str, start: int, end: int, size: int, plain: bool = False) -> Iterator[tuple]:
+    """The same for neighbouring ranges of ``size`` bytes from ``start`` to ``end``, with the file opened once."""
     system, inside = _system(path)
     with system.open_input_file(inside) as source:
-        at = first_header(source, start, end, source.size(), plain)
-        while at is not None and at < end:
-            source.seek(at)
-            with tarfile.open(fileobj=_From(source, at), mode="r:") as tar:
-                try:
-                    member = tar.next()
-                except tarfile.ReadError as error:
-                    raise ValueError(f"{path} is damaged at byte {at}") from error
-            if member is None:
-                return
-            named = sample_name(member)
-            if named:
-                source.seek(at + member.offset_data)
-                yield shard_of(path), *named, member.name, at + member.offset_data, source.read(member.size)
-            at += member.offset_data + -(-(member.size if member.isreg() else 0) // BLOCK) * BLOCK
+        known: set[int] = set()
+        for low in range(start, end, size):
+            yield from _members(source, path, low, min(end, low + size), plain, known)
+
+
+def _members(source, path: str, start: int, end: int, plain: bool, known: set[int]) -> Iterator[tuple]:
+    at = first_header(source, start, end, source.size(), plain, known)
+    while at is not None and at < end:
+        source.seek(at)
+        with tarfile.open(fileobj=_From(source, at), mode="r:") as tar:
+            try:
+                member = tar.next()
+            except tarfile.ReadError as error:
+                raise ValueError(f"{path} is damaged at byte {at}") from error
+        if member is None:
+            return
+        named = sample_name(member)
+        if named:
+            source.seek(at + member.offset_data)
+            yield shard_of(path), *named, member.name, at + member.offset_data, source.read(member.size)
+        at += member.offset_data + -(-(member.size if member.isreg() else 0) // BLOCK) * BLOCK
 
 
 class _From:
@@ -191,12 +222,17 @@ class _From:
 
 
 @dataclass
-class Range(InputPartition):
+class Range:
     path: str
     start: int
     end: int
 
 
+@dataclass
+class Ranges(InputPartition):
+    parts: tuple[Range, ...]
+
+
 class Reader(DataSourceReader):
     def __init__(self, paths: list[str], size: int, plain: bool = False) -> None:
         self.paths, self.size, self.plain = paths, size, plain
@@ -238,20 +274,35 @@ class Reader(DataSourceReader):
                 )
 
     def partitions(self) -> Sequence[InputPartition]:
-        return [
-            Range(f.path, at, min(f.end, at + self.size)) for f in self.files() for at in range(0, f.end, self.size)
-        ]
-
-    def read(self, partition: Range | None) -> Iterator[pa.RecordBatch]:
+        """Neighbouring ranges, of one file or of several, share a task while it reads little."""
+        files = list(self.files())
+        task = max(self.size, min(RANGE_BYTES, sum(f.end for f in files) // TASKS))
+        per = task // self.size
+        parts, room = [], 0
+        for f in files:
+            at = 0
+            while at < f.end:
+                if not room:
+                    parts.append([])
+                    room = per
+                # A file of one range or less counts as one, as opening it costs as much.
+                n = min(room, -(-(f.end - at) // self.size))
+                parts[-1].append(Range(f.path, at, min(f.end, at + n * self.size)))
+                at += n * self.size
+                room -= n
+        return [Ranges(tuple(p)) for p in parts]
+
+    def read(self, partition: Ranges | None) -> Iterator[pa.RecordBatch]:
         if partition is None:
             return  # no file is wanted
         rows, held = [], 0
-        for row in read_range(partition.path, partition.start, partition.end, self.plain):
-            rows.append(row)
-            held += len(row[-1])
-            if held >= READ_BYTES:
-                yield _batch(rows)
-                rows, held = [], 0
+        for part in partition.parts:
+            for row in read_ranges(part.path, part.start, part.end, self.size, self.plain):
+                rows.append(row)
+                held += len(row[-1])
+                if held >= READ_BYTES:
+                    yield _batch(rows)
+                    rows, held = [], 0
         if rows:
             yield _batch(rows)
 
@@ -286,8 +337,9 @@ def read_tar_members(
 ) -> DataFrame:
     """(shard, key, ext, name, offset, data) of the members of tar shards.
 
-    ``path`` may hold a brace range or a pattern in its last part. A partition is a range of
-    ``range_bytes`` of one file, so the tasks grow with the bytes, and a lost one costs its range.
+    ``path`` may hold a brace range or a pattern in its last part. Every range of ``range_bytes`` of
+    a file is read by itself. Where there are many small ones, neighbours share a task and what
+    they learn of their file; the tasks grow with the bytes, and a lost one costs its ranges.
     Files whose shard a filter rules out are not opened. The driver lists names and sizes only.
     A range finds its first header by itself; say ``plain`` if no member is an uncompressed
     archive, and it need not follow the headers behind it to be sure.

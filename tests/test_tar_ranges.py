@@ -74,3 +74,25 @@ def test_paths_and_options(tmp_path):
         tar_ranges.TarMembers({"path": "x", "rangeBytes": "1000"}).reader(None)
     with pytest.raises(FileNotFoundError):
         Reader([f"{tmp_path}/none.tar"], 512).partitions()
+
+
+@pytest.mark.parametrize("size", [512, 4096])
+@pytest.mark.parametrize("inner", [False, True])
+def test_small_ranges_share_tasks_and_headers(tmp_path, monkeypatch, size, inner):
+    monkeypatch.setattr(tar_ranges, "TASKS", 6)
+    wanted = []
+    for i in range(5):
+        members = content(i, inner and i == 2)
+        write_tar(tmp_path / f"{i:05d}.tar", members)
+        wanted += [(f"{i:05d}", *m) for m in members]
+    reader = Reader([f"{tmp_path}/*.tar"], size)
+    parts = reader.partitions()
+    total = sum(f.stat().st_size for f in tmp_path.glob("*.tar"))
+    assert 6 <= len(parts) <= 8 < total // size
+    rows = [row for p in parts for batch in reader.read(p) for row in batch.to_pylist()]
+    assert [(r["shard"], r["name"], r["data"]) for r in rows] == wanted
+    read = []
+    monkeypatch.setattr(tar_ranges, "header", lambda block, whole=tar_ranges.header: read.append(1) or whole(block))
+    list(tar_ranges.read_ranges(f"{tmp_path}/00000.tar", 0, total // 5, size))
+    # Each header is followed once, however many ranges look for their first.
+    assert len(read) < 120 * 10
