@@ -24,6 +24,8 @@ VOCAB_SIZE = 1000
 LENGTH = 128
 SHIFT, SCALE = 0.1159, 0.3611
 STEPS = 50
+# Rows of a file that a stream finds, about.
+FILE_ROWS = 50_000
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -180,17 +182,22 @@ def evaluations(spark, sf) -> tuple[DataFrame, DataFrame]:
     return samples, steps
 
 
-def chunked(df: DataFrame, label: str, parts: list[Column]) -> str:
-    """A folder with one file per condition, each after the one before, as a stream finds them.
+def file_count(rows: int) -> int:
+    return max(1, -(-rows // FILE_ROWS))
 
-    Rows are derived where they are read and only written by one task.
+
+def chunked(df: DataFrame, label: str, parts: list[Column]) -> tuple[str, int]:
+    """A folder with files per condition, each after the one before, as a stream finds them; and the files of a part.
+
+    That many files per trigger make a micro-batch of each part, whatever the rows.
     """
     from pairloom.runtime import work_dir
 
     folder = work_dir(df.sparkSession, label)
+    files = file_count(df.count())
     for part in parts:
-        df.where(part).repartition(1).write.mode("append").parquet(folder)
-    return folder
+        df.where(part).repartition(files).write.mode("append").parquet(folder)
+    return folder, files
 
 
 def raw_samples(spark, sf) -> DataFrame:

@@ -627,9 +627,9 @@ def log_windows_stream(spark, sf):
     # The second half arrives in two parts that are not in order.
     half = rows.agg(F.max("step")).first()[0] // 2
     late, odd = F.col("step") > half, F.col("step") % 2 == 1
-    folder = fx.chunked(rows, "run-log", [~late, late & odd, late & ~odd])
+    folder, files = fx.chunked(rows, "run-log", [~late, late & odd, late & ~odd])
     session = stateful_session(spark)
-    stream = session.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    stream = session.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
     out, checkpoint = work_dir(spark, "log-windows"), work_dir(spark, "log-windows-state")
     land(log_window_stream(stream, fx.LOG_EVERY, delay="3650 days"), out, checkpoint).awaitTermination()
     return spark.read.parquet(out).withColumn("loss", r("loss"))
@@ -646,9 +646,9 @@ def batch_stream_query(spark, sf):
     ]
     rows = materialize(drawn[0].unionAll(drawn[1]), "drawn")
     half = F.col("idx") < items // 2
-    folder = fx.chunked(rows, "loader", [(F.col("epoch") == e) & part for e in (3, 4) for part in (half, ~half)])
+    folder, files = fx.chunked(rows, "loader", [(F.col("epoch") == e) & part for e in (3, 4) for part in (half, ~half)])
     session = stateful_session(spark)
-    stream = session.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    stream = session.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
     out, checkpoint = work_dir(spark, "batches"), work_dir(spark, "batches-state")
     land(batch_stream(stream, 16), out, checkpoint).awaitTermination()
     return spark.read.parquet(out)
@@ -668,8 +668,8 @@ def attach_arrivals_query(spark, sf):
     parts = [(F.col("id") >= 0) & (F.col("id") <= half), F.col("id") > half, F.col("id") < 0]
 
     def stream(df, label):
-        files = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
-        return files.parquet(fx.chunked(df, label, parts))
+        folder, files = fx.chunked(df, label, parts)
+        return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
     joined = attach_arrivals(stream(asked, "asked"), stream(landed, "landed"))
     out, checkpoint = work_dir(spark, "arrivals"), work_dir(spark, "arrivals-state")
@@ -689,9 +689,11 @@ def prepare_observed(spark, sf):
 def prepare_stream_observed(spark, sf):
     rows = []
     source, out, checkpoint = (work_dir(spark, f"stream-{part}") for part in ("in", "out", "state"))
-    fx.raw_samples(spark, sf).repartition(3).write.parquet(source)
+    # Three micro-batches, of as many files as the rows ask for.
+    files = fx.file_count(-(-fx.table(spark, sf, "documents").count() // 3))
+    fx.raw_samples(spark, sf).repartition(3 * files).write.parquet(source)
     prepare_stream(
-        spark, source, out, checkpoint, fx.vocab(spark, sf), shift=fx.SHIFT, scale=fx.SCALE, max_files=1,
+        spark, source, out, checkpoint, fx.vocab(spark, sf), shift=fx.SHIFT, scale=fx.SCALE, max_files=files,
         report=lambda batch, counts: rows.extend(counts.items()),
     ).awaitTermination()
     return spark.createDataFrame(rows, "verdict string, n bigint").groupBy("verdict").agg(F.sum("n").alias("n"))

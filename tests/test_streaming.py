@@ -1,3 +1,5 @@
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from pairloom.operators.metrics import loss_by_bin
@@ -5,6 +7,7 @@ from pairloom.plans.preparation import prepare
 from pairloom.schemas import RAW_SAMPLE
 from pairloom.streaming.monitor import loss_monitor, start_monitor
 from pairloom.streaming.prepare import prepare_stream
+from registry import fixtures, queries
 from tests.plans import physical
 
 
@@ -67,3 +70,29 @@ def test_monitor_equals_batch_on_closed_windows(spark, tmp_path):
         seen = {r["bin"]: (r["loss"], r["n"]) for r in closed.where(F.col("window_start") == F.lit(start)).collect()}
         assert seen.keys() == batch.keys()
         assert all(abs(seen[k][0] - batch[k][0]) < 1e-9 and seen[k][1] == batch[k][1] for k in batch)
+
+
+def test_files_of_a_stream_grow_with_its_rows(spark, sf, monkeypatch):
+    monkeypatch.setattr(fixtures, "FILE_ROWS", 20)
+    rows = spark.range(100)
+    folder, files = fixtures.chunked(rows, "chunked", [F.col("id") < 60, F.col("id") >= 60])
+    assert files == 5 and len(list(Path(folder).glob("*.parquet"))) == 2 * files
+    assert sorted(r["id"] for r in spark.read.parquet(folder).collect()) == list(range(100))
+    seen, whole = [], queries.prepare_stream
+
+    def watched(spark, source, *rest, max_files, **options):
+        seen.append((len(list(Path(source).glob("*.parquet"))), max_files))
+        report = options.pop("report")
+
+        def counted(batch, counts):
+            seen.append(batch)
+            report(batch, counts)
+
+        return whole(spark, source, *rest, max_files=max_files, report=counted, **options)
+
+    monkeypatch.setattr(queries, "prepare_stream", watched)
+    got = queries.prepare_stream_observed(spark, sf).collect()
+    n = spark.read.parquet(f"{sf}/documents.parquet").count()
+    per = -(-n // 3 // 20)
+    assert seen[0] == (3 * seen[0][1], seen[0][1]) and seen[0][1] >= per > 1 and seen[1:] == [0, 1, 2]
+    assert sorted(map(tuple, got)) == sorted(map(tuple, queries.prepare_observed(spark, sf).collect()))
