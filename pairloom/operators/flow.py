@@ -103,11 +103,14 @@ def guide(
     """``v_u + cfg (v_c - v_u)``; rows without an unconditional velocity keep ``v_c``.
 
     Velocities of different widths fail the job. They are widened to double after the join, so
-    the exchange carries them as they are stored.
+    the exchange carries them as they are stored, and nothing is exchanged between tables placed by
+    the same part of ``on``. The sides are about equal, so none is broadcast, whatever its estimate.
     """
     if uncond is None:
         return cond.select(*on, doubles(v).alias(v))
-    joined = cond.join(uncond.select(*on, F.col(v).alias("_u")), list(on), "left")
+    # Tables placed by a part of the keys, as by trajectory, are placed well enough.
+    cond.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    joined = cond.join(uncond.select(*on, F.col(v).alias("_u")).hint("merge"), list(on), "left")
     if wide:
         return joined.select(*on, kernels.blend(doubles(v), doubles("_u"), cfg).alias(v))
     mixed = F.zip_with(doubles(v), doubles("_u"), lambda c, u: u + F.lit(float(cfg)) * (c - u))

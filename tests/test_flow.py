@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pairloom.operators import flow
 from pairloom.operators.epochs import with_batches
 from pairloom.plans.loss_profile import loss_profile
+from tests.plans import physical
 
 
 def trajectory(spark):
@@ -131,3 +132,12 @@ def test_replay_refuses_other_widths_and_orphans(spark, width, monkeypatch):
         flow.replay_states(noise, velocity, 2, dim=2).collect()
     with pytest.raises(Exception, match="without a start"):
         flow.replay_states(noise.limit(0), velocity, 2, dim=1).collect()
+
+
+@pytest.mark.parametrize("name", ["guide", "guide_wide", "decode_steps"])
+def test_velocities_of_one_placement_do_not_move(spark, sf, name):
+    from registry.queries import QUERIES
+
+    plan = physical(QUERIES[name](spark, sf))
+    moved = [line for line in plan.splitlines() if "Exchange" in line]
+    assert moved and all("REPARTITION_BY_NUM" in line for line in moved)
