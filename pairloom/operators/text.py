@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import sys
 import types
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -30,6 +33,8 @@ from pairloom.runtime import (
 )
 
 UNK = 0
+# Rows and ids of a block of :func:`_pooled_by_blocks`, and its vectors that are added at once.
+BLOCK_ROWS, BLOCK_IDS, BLOCK_VECTORS = 512, 200_000, 2048
 
 
 def tokens(text: Column | str) -> Column:
@@ -162,16 +167,35 @@ def expand_prompts(df: DataFrame, n: int) -> DataFrame:
     return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("copy"))
 
 
+def named_rows(
+    df: DataFrame, table: DataFrame, rows: int, *, ids: str, table_id: str, vec: str
+) -> tuple[DataFrame, int]:
+    """(table_id, vec) of a table of ``rows`` rows that some id of ``df`` names, stored, and how many rows are named.
+
+    Ids repeat far more often than there are vectors, and are combined before they move.
+    """
+    at = F.pmod(F.col("_id").cast("bigint"), F.lit(rows)).alias("_row")
+    named = materialize(df.select(F.explode(ids).alias("_id")).select(at).where("_row IS NOT NULL").distinct(), "named")
+    n = named.count()
+    vectors = table.select(table_id, vec, F.col(table_id).cast("bigint").alias("_row"))
+    found = lookup_join(vectors, named, ["_row"], size=32 * n, salt_by=["_row"], how="left_semi")
+    return materialize(found.drop("_row"), "vectors"), n
+
+
 def lookup_embeddings(
     df: DataFrame, table: DataFrame, *, key: str = "id", ids: str = "ids",
     table_id: str = "token_id", vec: str = "vec", broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(key, pos, token_id, vec): one vector per position, ids taken modulo the table size.
 
-    Padding alone can be most of the positions, so a table too large to broadcast is joined
-    with salted ids. The table's ids must be 0..rows-1.
+    Of a table too large to broadcast only the vectors that some id names take part; if these are
+    too large as well, ids are joined with salts, as padding alone can be most of the positions.
+    The table's ids must be 0..rows-1.
     """
     rows, size = table.count(), measured_bytes(table, vec)
+    if 0 < broadcast_bytes < size:
+        table, _ = named_rows(df, table, rows, ids=ids, table_id=table_id, vec=vec)
+        size = measured_bytes(table, vec)
     long = df.select(key, F.posexplode(ids).alias("pos", "token_id")).withColumn(
         "_row", F.pmod(F.col("token_id").cast("bigint"), F.lit(rows))
     )
@@ -214,19 +238,105 @@ def pool_embeddings(
     """(key, pooled): the mean vector of each row's ids.
 
     A table of checked size travels to the tasks, which gather and average in place: nothing is
-    exploded and no row moves. A larger one is looked up per position and averaged by ``key``,
-    which must then be unique. The table's ids must be 0..rows-1.
+    exploded and no row moves. Of a larger one the vectors that some id names travel so. If these
+    are too large as well, vectors are joined with blocks of rows, see :func:`_pooled_by_blocks`,
+    and averaged by ``key``, which must then be unique. The table's ids must be 0..rows-1.
     """
+    pad = UNK if mask_padding else None
+    rows, whole = table.count(), table
     if measured_bytes(table, vec) > broadcast_bytes:
-        found = lookup_embeddings(
-            df, table, key=key, ids=ids, table_id=table_id, vec=vec, broadcast_bytes=broadcast_bytes
-        )
-        return mean_pool(found, key, dim=dim, mask_padding=mask_padding, out=out)
-    rows = table.select(F.col(table_id).alias("at"), F.col(vec).alias("vec")).toArrow()
-    order = np.argsort(rows["at"].to_numpy())
-    matrix = np.stack(rows["vec"].to_pandas().to_numpy())[order]
-    shared = df.sparkSession.sparkContext.broadcast(matrix)
-    return df.select(key, kernels.pooled_rows(ids, shared, UNK if mask_padding else None).alias(out))
+        if broadcast_bytes:
+            table, n = named_rows(df, table, rows, ids=ids, table_id=table_id, vec=vec)
+        if not broadcast_bytes or table.count() != n or measured_bytes(table, vec) > broadcast_bytes:
+            return _pooled_by_blocks(
+                df, whole, rows, key=key, ids=ids, table_id=table_id, vec=vec, dim=dim, pad=pad, out=out
+            )
+    held = table.select(F.col(table_id).alias("at"), F.col(vec).alias("vec")).toArrow()
+    at = held["at"].to_numpy()
+    order = np.argsort(at)
+    matrix = np.stack(held["vec"].to_pandas().to_numpy())[order]
+    # Without a place of its own a vector stands at its id.
+    places = None if table is whole else at[order].astype(np.int64)
+    shared = df.sparkSession.sparkContext.broadcast((matrix, places, rows))
+    return df.select(key, kernels.pooled_rows(ids, shared, pad).alias(out))
+
+
+def _pooled_by_blocks(
+    df: DataFrame, table: DataFrame, rows: int, *, key: str, ids: str, table_id: str, vec: str, dim: int,
+    pad: int | None, out: str,
+) -> DataFrame:
+    """Mean vectors by a join: a vector moves once for each block of rows that names it.
+
+    Blocks are neighbouring rows of a task, ``BLOCK_ROWS`` at most, and end at ``BLOCK_IDS`` ids; a row is the
+    smallest block. Positions without a vector do not count, nor do rows without any.
+    """
+    kind = df.schema[key].dataType.simpleString()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("ids")
+            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.cumsum(lengths)
+            values, start = lists.flatten(), 0
+            while start < len(lengths):
+                before = ends[start] - lengths[start]
+                stop = min(start + BLOCK_ROWS, max(start + 1, int(np.searchsorted(ends, before + BLOCK_IDS, "right"))))
+                own = values.slice(before, ends[stop - 1] - before)
+                row = np.repeat(np.arange(stop - start), lengths[start:stop])
+                given = own.is_valid().to_numpy(zero_copy_only=False)
+                own = own.drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
+                names, at = np.unique(own, return_inverse=True)
+                pairs, n = np.unique(at * BLOCK_ROWS + row[given], return_counts=True)
+                offsets = np.searchsorted(pairs, np.arange(len(names) + 1) * BLOCK_ROWS).astype(np.int32)
+                block, size = uuid.uuid4().bytes, len(names) + 1
+                keys = batch.column("key").slice(start, stop - start)
+                none = pa.array([0], pa.int32())
+                columns = [
+                    pa.array([block] * size, pa.binary()),
+                    pa.concat_arrays([pa.array(names, pa.int64()), pa.nulls(1, pa.int64())]),
+                    pa.ListArray.from_arrays(pa.array(np.r_[offsets, offsets[-1]]), pa.array((pairs % BLOCK_ROWS).astype(np.int32))),
+                    pa.ListArray.from_arrays(pa.array(np.r_[offsets, offsets[-1]]), pa.array(n.astype(np.int32))),
+                    pa.concat_arrays([
+                        pa.ListArray.from_arrays(pa.array(np.zeros(size, np.int32)), keys.slice(0, 0)),
+                        pa.ListArray.from_arrays(pa.concat_arrays([none, pa.array([len(keys)], pa.int32())]), keys),
+                    ]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "id", "rows", "n", "keys"])
+                start = stop
+
+    schema = f"block binary, id bigint, rows array<int>, n array<int>, keys array<{kind}>"
+    cuts = df.select(F.col(key).alias("key"), F.col(ids).alias("ids")).mapInArrow(cut, schema)
+    blocks = materialize(cuts.withColumn("_row", F.pmod("id", F.lit(rows))), "blocks")
+    vectors = table.select(F.col(table_id).cast("bigint").alias("_row"), doubles(vec).alias("vec"), F.lit(True).alias("found"))
+    joined = skewed_join(blocks, vectors, "_row", salt_by=["block"]).drop("_row")
+
+    def add(group: pa.Table) -> pa.Table:
+        last = group.filter(pc.is_null(group["id"]))
+        keys = last["keys"].combine_chunks().flatten()
+        named = group.filter(pc.fill_null(group["found"], False))
+        if named["vec"].null_count:
+            raise ValueError("an id names no vector")
+        total, used, seen = np.zeros((len(keys), dim)), np.zeros(len(keys)), np.zeros(len(keys))
+        for part in range(0, named.num_rows, BLOCK_VECTORS):
+            some = named.slice(part, BLOCK_VECTORS).combine_chunks()
+            at = some["rows"].combine_chunks()
+            count = np.zeros((len(keys), len(at)))
+            place = np.repeat(np.arange(len(at)), pc.list_value_length(at).to_numpy())
+            count[at.flatten().to_numpy(), place] = some["n"].combine_chunks().flatten().to_numpy()
+            seen += count.sum(axis=1)
+            if pad is not None:
+                count[:, some["id"].to_numpy() == pad] = 0.0
+            used += count.sum(axis=1)
+            total += count @ some["vec"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
+        kept = pa.array(seen > 0)
+        sums = pa.FixedSizeListArray.from_arrays(pa.array(total.reshape(-1)), dim).cast(pa.list_(pa.float64()))
+        result = pa.table({"key": keys, "_sum": sums, "_n": pa.array(used.astype(np.int64))})
+        return result.filter(kept)
+
+    sums = joined.groupBy("block").applyInArrow(add, f"key {kind}, _sum array<double>, _n bigint")
+    vectors = sums.select(F.col("key").alias(key), array_to_vector("_sum").alias("_v"), "_n")
+    totals = vectors.groupBy(key).agg(vector_to_array(Summarizer.sum(F.col("_v"))).alias("_sum"), F.sum("_n").alias("_n"))
+    return totals.select(key, F.transform("_sum", lambda v: v / F.greatest(F.col("_n"), F.lit(1))).alias(out))
 
 
 def encode_batches(

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairloom.operators import text
+from tests.plans import physical
 
 
 @pytest.fixture(scope="module")
@@ -158,3 +159,34 @@ def test_pooling_is_the_same_on_both_sides_of_the_limit(spark):
         for limit in (0, 1 << 20):
             got = text.pool_embeddings(df, table, dim=2, mask_padding=mask, broadcast_bytes=limit).collect()
             assert {r["id"]: r["pooled"] for r in got} == {k: pytest.approx(v) for k, v in want.items()}
+
+
+def test_of_a_large_table_only_named_vectors_travel(spark):
+    df = spark.createDataFrame([(1, [1, 2, 0, 1001]), (2, []), (3, [5, 1, 1])], "id int, ids array<int>")
+    table = spark.range(1000).selectExpr("id token_id", "array(id * 1D, 1D) vec")
+    limit = 1000  # of 48,000 bytes
+    found = text.lookup_embeddings(df, table, broadcast_bytes=limit)
+    assert "BroadcastHashJoin" in physical(found) and "SortMergeJoin" not in physical(found)
+    got = sorted((r["id"], r["pos"], r["vec"][0]) for r in found.collect())
+    assert got == [(1, 0, 1.0), (1, 1, 2.0), (1, 2, 0.0), (1, 3, 1.0), (3, 0, 5.0), (3, 1, 1.0), (3, 2, 1.0)]
+    for mask in (False, True):
+        pooled = text.pool_embeddings(df, table, dim=2, mask_padding=mask, broadcast_bytes=limit)
+        assert "Exchange" not in physical(pooled)
+        got = {r["id"]: r["pooled"] for r in pooled.collect()}
+        assert got == {1: pytest.approx([4 / 3 if mask else 1.0, 1.0]), 2: [0.0, 0.0], 3: pytest.approx([7 / 3, 1.0])}
+
+
+@pytest.mark.parametrize("mask", [False, True])
+def test_blocks_of_rows_pool_as_positions_do(spark, monkeypatch, mask):
+    monkeypatch.setattr(text, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(text, "BLOCK_IDS", 12)
+    monkeypatch.setattr(text, "BLOCK_VECTORS", 2)
+    rows = [(i % 17 if i else None, [(i * j) % 9 for j in range(i % 23)] if i % 5 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, ids array<int>")
+    table = spark.range(7).selectExpr("id token_id", "array(CAST(id * id AS FLOAT), 1F) vec")
+    pooled = text.pool_embeddings(df, table, dim=2, mask_padding=mask, broadcast_bytes=0)
+    # Vectors move by block, and never with a position of their own.
+    assert "posexplode" not in physical(pooled)
+    wanted = text.mean_pool(text.lookup_embeddings(df, table), dim=2, mask_padding=mask)
+    a, b = ({r["id"]: pytest.approx(r["pooled"]) for r in t.collect()} for t in (pooled, wanted))
+    assert a.keys() == b.keys() and all(a[k] == b[k].expected for k in a)
