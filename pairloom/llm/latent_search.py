@@ -24,6 +24,8 @@ PASS_ITEMS, PASS_WINDOWS = 10_000, 20_000
 BLOCK = 512
 # The cosine that any candidate has.
 LOW = 0.3
+# Terms widened or scaled at once on the driver.
+TERMS = 8192
 FIT_TASKS = 8
 # Bytes of a word and its gap, about.
 WORD_BYTES = 6
@@ -273,10 +275,12 @@ def latent_basis(rows: DataFrame, size: int, rank: int, *, extra: int = EXTRA, s
 
     found = summed.mapInArrow(place, schema).toArrow()
     basis = np.zeros((size, fold.shape[1]), np.float32)
-    if found.num_rows:
-        basis[found.column("term").to_numpy()] = np.frombuffer(
-            b"".join(found.column("z").to_pylist()), np.float32
-        ).reshape(found.num_rows, -1)
+    # Batch by batch, so that the driver holds the result and what came, and no third copy.
+    for batch in found.to_batches():
+        if batch.num_rows:
+            basis[batch.column("term").to_numpy()] = np.frombuffer(
+                b"".join(batch.column("z").to_pylist()), np.float32
+            ).reshape(batch.num_rows, -1)
     return basis
 
 
@@ -284,22 +288,26 @@ class Space:
     """A latent space: the place of each hashed term, times its weight."""
 
     def __init__(self, basis: np.ndarray, idf: np.ndarray) -> None:
-        scaled = basis * idf[:, None]
-        top = float(np.abs(scaled).max()) or 1.0
-        # Half precision halves what is sent; a worker widens it once. The row after the last is zero.
-        self.half = np.r_[scaled / top, np.zeros((1, scaled.shape[1]), np.float32)].astype(np.float16)
+        # Half precision halves what is sent; a worker widens it once. The row after the last is zero. Blocks
+        # of terms, as the driver makes it.
+        blocks = [slice(start, start + TERMS) for start in range(0, len(basis), TERMS)]
+        top = max((float(np.abs(basis[b] * idf[b, None]).max()) for b in blocks), default=0.0) or 1.0
+        self.half = np.zeros((len(basis) + 1, basis.shape[1]), np.float16)
+        for b in blocks:
+            self.half[:-1][b] = basis[b] * idf[b, None] / top
         self.wide: np.ndarray | None = None
 
     def __getstate__(self) -> dict:
         return {"half": self.half, "wide": None}
 
-    def places(self, rows: np.ndarray) -> np.ndarray:
-        """Sum of the terms of each row of buckets."""
-        if self.wide is None:
+    def places(self, rows: np.ndarray, widen: bool = True) -> np.ndarray:
+        """Sum of the terms of each row of buckets; a few rows need not widen the whole table for it."""
+        if widen and self.wide is None:
             self.wide = self.half.astype(np.float32)
-        out = np.empty((len(rows), self.wide.shape[1]), np.float32)
+        table = self.wide if widen else self.half
+        out = np.empty((len(rows), table.shape[1]), np.float32)
         for start in range(0, len(rows), BLOCK):
-            out[start : start + BLOCK] = self.wide[rows[start : start + BLOCK]].sum(axis=1)
+            out[start : start + BLOCK] = table[rows[start : start + BLOCK]].astype(np.float32, copy=False).sum(axis=1)
         return out
 
     def windows(self, bins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -362,8 +370,7 @@ class Matcher:
             windows += [(k, bins[s : s + WINDOW]) for s in window_starts(len(bins))]
         sizes = np.array([len(bins) for _, bins in windows])
         self.owner = np.array([k for k, _ in windows])
-        self.queries = space.places(laid_out(np.concatenate([bins for _, bins in windows]), sizes, WINDOW)[0])
-        space.wide = None
+        self.queries = space.places(laid_out(np.concatenate([bins for _, bins in windows]), sizes, WINDOW)[0], widen=False)
         self.lengths = np.maximum(np.sqrt((self.queries**2).sum(axis=1)), 1e-12)
 
     def near(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -39,6 +40,22 @@ def test_windows_are_sums_of_half_windows():
         assert np.allclose(place, space.half[own].astype(np.float32).sum(axis=0), atol=1e-3)
 
 
+def test_the_driver_makes_a_space_without_copies_of_it():
+    rng = np.random.default_rng(2)
+    basis = rng.normal(size=(latent_search.BUCKETS, 32)).astype(np.float32)
+    idf = rng.random(latent_search.BUCKETS).astype(np.float32)
+    tracemalloc.start()
+    space = Space(basis, idf)
+    rows = rng.integers(0, latent_search.BUCKETS + 1, (2000, latent_search.WINDOW))
+    few = space.places(rows, widen=False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * basis.nbytes and space.wide is None
+    scaled = basis * idf[:, None]
+    half = np.r_[scaled / float(np.abs(scaled).max()), np.zeros((1, 32), np.float32)].astype(np.float16)
+    assert np.array_equal(space.half, half) and np.array_equal(few, space.places(rows))
+
+
 def test_synonyms_meet_in_the_latent_space(spark, make_docs):
     """Passages and their paraphrases share few words; the corpus uses the words of a topic side by side."""
     rng = random.Random(5)
