@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,19 +16,22 @@ from pairloom.runtime import materialize, ship_by_value
 BUCKETS = 1 << 17
 WINDOW, STRIDE = 32, 16
 PUNCTUATION = b".,;:!?\"'()[]{}<>|*#$%&"
-# The latent space: its directions, and the passages of the corpus it is fitted on, about, beside those of the benchmark.
-RANK, EXTRA, FIT_PASSAGES = 128, 32, 8192
+# The latent space: its directions, and the passages for which the corpus counts beside the benchmark, at most.
+RANK, EXTRA, SIDE_WEIGHT = 128, 32, 8192
 # Items, and windows of items, searched for in one pass over the documents, at most.
 PASS_ITEMS, PASS_WINDOWS = 10_000, 20_000
 # Windows projected and multiplied at once.
 BLOCK = 512
 # The cosine that any candidate has.
 LOW = 0.3
-# Terms widened or scaled at once on the driver.
+# Terms widened, scaled or added up at once.
 TERMS = 8192
-FIT_TASKS = 8
-# Bytes of a word and its gap, about.
-WORD_BYTES = 6
+# Passages weighed or projected at once, and the terms whose sums move as one row.
+PASSAGE_BLOCK, TERM_BLOCK = 16384, 64
+# Passages of a task of the fit, about: each task sends a sum per term once.
+TASK_PASSAGES = 1_000_000
+# Bytes of text of one step of the fit, beside which a task holds the sums.
+FIT_BYTES = 1 << 20
 LEAST_WEIGHT = 0.01
 
 
@@ -142,33 +145,48 @@ def weighted(bins: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return terms, (x / (np.sqrt((x * x).sum()) or 1.0)).astype(np.float32)
 
 
-def passages(docs: DataFrame, shared, rate: float, seed: int = 5) -> DataFrame:
-    """TF-IDF passages of texts, about ``rate`` of all of them, chosen at random.
+def weighted_rows(rows: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`weighted` of rows of words as :func:`laid_out` gives them: terms and weights end to end, terms per row."""
+    rows = np.sort(rows, axis=1)
+    first = np.ones(rows.shape, bool)
+    first[:, 1:] = rows[:, 1:] != rows[:, :-1]
+    begin = np.flatnonzero(first)
+    terms, counts = rows.ravel()[begin], np.diff(np.append(begin, rows.size))
+    used = terms < BUCKETS
+    terms, row = terms[used], begin[used] // rows.shape[1]
+    x = counts[used] * idf[terms]
+    length = np.sqrt(np.bincount(row, x * x, len(rows)))
+    return terms, (x / np.where(length, length, 1.0)[row]).astype(np.float32), np.bincount(row, minlength=len(rows))
 
-    A text takes part as often as its length and a draw say, so most are not cut into words.
-    """
+
+def passage_batches(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Makes TF-IDF passages of batches of (text, length): all passages of a text, each of that length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, words = shared.value, Words()
         for batch in batches:
-            at, weight = [], []
-            columns = batch.column("draw").to_pylist(), batch.column("want").to_pylist()
-            for text, draw, want in zip(utf8(batch, "text"), *columns):
-                rng = np.random.default_rng(int(draw * 2**53))
-                bins = words.read([text])[1]
-                starts = np.arange(0, len(bins), WINDOW)
-                n = min(len(starts), int(np.ceil(want - draw)))
-                for start in rng.choice(starts, n, replace=False).tolist() if n else ():
-                    terms, x = weighted(bins[start : start + WINDOW], idf)
-                    at.append(terms)
-                    weight.append(x)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.list_(pa.int32())), pa.array(weight, pa.list_(pa.float32()))], ["at", "weight"]
-            )
-
-    each = F.octet_length(F.coalesce("text", F.lit(""))) / (WINDOW * WORD_BYTES) + 1
-    drawn = docs.select("text", F.rand(seed).alias("draw"), (each * rate).alias("want"))
-    return drawn.where(F.col("draw") < F.col("want")).mapInArrow(run, PASSAGES)
+            texts, lengths = utf8(batch, "text"), batch.column("length").to_numpy()
+            for start, end in chunks(texts, FIT_BYTES):
+                sizes, bins = words.read(texts[start:end])
+                rows, per = laid_out(bins, sizes, WINDOW)
+                length = np.repeat(lengths[start:end], per).astype(np.float32)
+                for begin in range(0, len(rows), PASSAGE_BLOCK):
+                    some = slice(begin, begin + PASSAGE_BLOCK)
+                    terms, x, n = weighted_rows(rows[some], idf)
+                    ends = pa.array(np.append(0, np.cumsum(n)).astype(np.int32))
+                    lists = [pa.ListArray.from_arrays(ends, pa.array(v)) for v in (terms, x * np.repeat(length[some], n))]
+                    yield pa.RecordBatch.from_arrays(lists, ["at", "weight"])
+
+    return run
+
+
+def measured(docs: DataFrame, length: float) -> DataFrame:
+    return docs.select("text", F.lit(float(length)).alias("length"))
+
+
+def passages(docs: DataFrame, shared, length: float = 1.0) -> DataFrame:
+    """TF-IDF passages of texts, all of them, each of ``length``."""
+    return measured(docs, length).mapInArrow(passage_batches(shared), PASSAGES)
 
 
 def _gram(rows: DataFrame, make, width: int) -> np.ndarray:
@@ -185,81 +203,94 @@ def _gram(rows: DataFrame, make, width: int) -> np.ndarray:
     return np.sum([np.frombuffer(p).reshape(width, width) for p in parts], axis=0)
 
 
-def _sparse(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Terms and weights end to end, and the row of each."""
-    at, weight = batch.column("at"), batch.column("weight")
-    sizes = np.diff(at.offsets.to_numpy())
-    return at.flatten().to_numpy(), weight.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
-
-
-def _times(batch: pa.RecordBatch, matrix: np.ndarray) -> np.ndarray:
-    terms, weight, row = _sparse(batch)
-    out = np.zeros((batch.num_rows, matrix.shape[1]), np.float32)
-    np.add.at(out, row, weight[:, None] * matrix[terms])
-    return out
+def _add(out: np.ndarray, to: np.ndarray, sizes: np.ndarray, weight: np.ndarray, at: np.ndarray, matrix: np.ndarray) -> None:
+    """Adds ``weight`` times the row ``at`` of a matrix over runs of ``sizes``, which lie end to end, to a row ``to`` of its own.
 
+    Runs of about one size are small products of equal shape; a long one is a product by itself.
+    """
 
-def latent_basis(rows: DataFrame, size: int, rank: int, *, extra: int = EXTRA, seed: int = 5) -> np.ndarray:
+    def rows(places: np.ndarray) -> np.ndarray:
+        return matrix[places].astype(np.float32, copy=False)
+
+    start = np.cumsum(sizes) - sizes
+    for k in np.flatnonzero(sizes > 64).tolist():
+        for low in range(start[k], start[k] + sizes[k], TERMS):
+            some = slice(low, min(low + TERMS, start[k] + sizes[k]))
+            out[to[k]] += weight[some] @ rows(at[some])
+    for width in (1, 2, 4, 8, 16, 32, 64):
+        alike = np.flatnonzero((sizes <= width) & (sizes > width // 2))
+        for begin in range(0, len(alike), TERMS // width):
+            some = alike[begin : begin + TERMS // width]
+            inside = np.arange(width) < sizes[some, None]
+            place = np.where(inside, start[some, None] + np.arange(width), 0)
+            out[to[some]] += ((weight[place] * inside)[:, None, :] @ rows(at[place]))[:, 0]
+
+
+def latent_basis(
+    rows: DataFrame, size: int, rank: int, *, make: Callable | None = None, extra: int = EXTRA, seed: int = 5
+) -> np.ndarray:
     """(size, rank): what takes a TF-IDF vector to its place in the latent space of a (at, weight) table A.
 
-    Randomised SVD: A times a random matrix gives an orthonormal Q after one sum of small products;
-    Q'A is summed per term in Spark and its own small products give the singular values and
-    vectors. Folding in divides by the singular values, so that no direction, such as that of a
-    language, outweighs the others. The driver sees matrices of (rank + extra) squared, and the result.
+    ``make`` makes such batches of those of ``rows`` in the task that adds them up.
+
+    Randomised SVD in one pass over all rows. For a random matrix W of signs, Y = AW gives small products Y'Y,
+    by which Y R is orthonormal; A'Y is summed per term in Spark, and R'(A'Y)' is A seen from there. Its
+    own small products give the singular values and vectors. Folding in divides by the singular values, so that no
+    direction, such as that of a language, outweighs the others. A task holds W and its sum A'Y, which it sends
+    once; the driver sees matrices of (rank + extra) squared, and the result.
     """
-    rows = materialize(rows.repartition(FIT_TASKS), "passages")
     width = min(size, rank + extra)
+    schema = "block int, z binary"
 
-    def random() -> np.ndarray:
-        return np.random.default_rng(seed).standard_normal((size, width), np.float32)
+    def blocks(items: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for block, z in items:
+            columns = [pa.array([block], pa.int32()), pa.array([z.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "z"])
 
-    gram = _gram(rows, lambda batch: _times(batch, random()), width)
-    values, vectors = np.linalg.eigh(gram)
-    good = values > max(values[-1] * 1e-10, 0.0)
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        random, sums, gram = None, None, np.zeros((width, width))
+        for batch in make(batches) if make else batches:
+            if random is None:
+                random = np.random.default_rng(seed).integers(0, 2, (size, width), np.int8) * np.int8(2) - np.int8(1)
+                sums = np.zeros((-(-size // TERM_BLOCK) * TERM_BLOCK, width), np.float32)
+            at, weight = batch.column("at"), batch.column("weight").flatten().to_numpy()
+            sizes, terms = np.diff(at.offsets.to_numpy()), at.flatten().to_numpy()
+            y = np.zeros((len(sizes), width), np.float32)
+            _add(y, np.arange(len(sizes)), sizes, weight, terms, random)
+            for low in range(0, len(y), TERMS):
+                some = y[low : low + TERMS].astype(np.float64)
+                gram += some.T @ some
+            order = np.argsort(terms, kind="stable")
+            begin = np.flatnonzero(np.diff(terms[order], prepend=-1))
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            _add(sums, terms[order[begin]], np.diff(begin, append=len(order)), weight[order], row[order], y)
+        random = None
+        if sums is not None:
+            parts = enumerate(sums.reshape(-1, TERM_BLOCK, width))
+            # The small products go as block -1, in double precision.
+            yield from blocks([(-1, gram)])
+            yield from blocks((i, part) for i, part in parts if part.any())
+
+    def add(parts: pa.Table) -> pa.Table:
+        """The sum of a block, to which each task of the fit gave one part."""
+        block = parts["block"][0].as_py()
+        kind = np.float64 if block < 0 else np.float32
+        total = sum(np.frombuffer(z.as_buffer(), kind).astype(np.float64) for z in parts["z"])
+        return pa.table({"block": pa.array([block], pa.int32()), "z": pa.array([total.astype(kind).tobytes()], pa.binary())})
+
+    summed = materialize(rows.mapInArrow(project, schema).groupBy("block").applyInArrow(add, schema), "projections")
+    gram = [r["z"] for r in summed.where("block < 0").collect()]
+    summed = summed.where("block >= 0")
+    values, vectors = np.linalg.eigh(np.frombuffer(gram[0]).reshape(width, width) if gram else np.zeros((width, width)))
+    # Of weaker directions single precision leaves little.
+    good = values > max(values[-1] * 1e-6, 0.0)
     if not good.any():
         return np.zeros((size, 1), np.float32)
-    orthonormal = (vectors[:, good] / np.sqrt(values[good])).astype(np.float32)
-    inner = orthonormal.shape[1]
-
-    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        omega = random()
-        for batch in batches:
-            terms, weight, row = _sparse(batch)
-            q = _times(batch, omega) @ orthonormal
-            own, place = np.unique(terms, return_inverse=True)
-            z = np.zeros((len(own), inner), np.float32)
-            np.add.at(z, place, weight[:, None] * q[row])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own, pa.int32()), pa.array([x.tobytes() for x in z], pa.binary())], ["term", "z"]
-            )
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sums of runs of equal terms; a term has one row for each batch that held it."""
-        last, total = None, None
-        for batch in batches:
-            done: list[tuple[int, bytes]] = []
-            for term, z in zip(batch.column("term").to_pylist(), batch.column("z").to_pylist()):
-                x = np.frombuffer(z, np.float32)
-                if term == last:
-                    total = total + x
-                    continue
-                if last is not None:
-                    done.append((last, total.tobytes()))
-                last, total = term, x
-            yield _terms(done)
-        if last is not None:
-            yield _terms([(last, total.tobytes())])
-
-    def _terms(done: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        columns = zip(*done) if done else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.binary()))], ["term", "z"])
-
-    schema = "term int, z binary"
-    summed = rows.mapInArrow(project, schema).repartition(FIT_TASKS, "term").sortWithinPartitions("term").mapInArrow(add, schema)
-    summed = materialize(summed, "projections")
+    turned = (vectors[:, good] / np.sqrt(values[good])).astype(np.float32)
+    inner = turned.shape[1]
 
     def dense(batch: pa.RecordBatch) -> np.ndarray:
-        return np.frombuffer(b"".join(batch.column("z").to_pylist()), np.float32).reshape(batch.num_rows, inner)
+        return np.frombuffer(b"".join(batch.column("z").to_pylist()), np.float32).reshape(-1, width) @ turned
 
     squares, turn = np.linalg.eigh(_gram(summed, dense, inner))
     squares, turn = squares[::-1][:rank], turn[:, ::-1][:, :rank]
@@ -268,19 +299,16 @@ def latent_basis(rows: DataFrame, size: int, rank: int, *, extra: int = EXTRA, s
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            folded = (dense(batch) @ fold).astype(np.float32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("term"), pa.array([x.tobytes() for x in folded], pa.binary())], ["term", "z"]
-            )
+            folded = (dense(batch) @ fold).reshape(batch.num_rows, TERM_BLOCK, -1)
+            yield from blocks(zip(batch.column("block").to_pylist(), folded))
 
     found = summed.mapInArrow(place, schema).toArrow()
     basis = np.zeros((size, fold.shape[1]), np.float32)
-    # Batch by batch, so that the driver holds the result and what came, and no third copy.
+    # Block by block, so that the driver holds the result and what came, and no third copy.
     for batch in found.to_batches():
-        if batch.num_rows:
-            basis[batch.column("term").to_numpy()] = np.frombuffer(
-                b"".join(batch.column("z").to_pylist()), np.float32
-            ).reshape(batch.num_rows, -1)
+        for block, z in zip(batch.column("block").to_pylist(), batch.column("z")):
+            part = basis[block * TERM_BLOCK : (block + 1) * TERM_BLOCK]
+            part[:] = np.frombuffer(z.as_buffer(), np.float32).reshape(TERM_BLOCK, -1)[: len(part)]
     return basis
 
 
@@ -457,12 +485,13 @@ LEAKS = "doc_id bigint, item_id bigint, cosine double, coverage double, answer d
 def _matchers(
     docs: DataFrame, benchmark: DataFrame, *, rank: int = RANK, cosine: float = 0.45, covered: float = 0.5,
     copied: float = 0.8, paraphrased: float = 0.6, answered: float = 0.8, answer_terms: int = 5,
-    fit_passages: int = FIT_PASSAGES,
+    side_weight: int = SIDE_WEIGHT,
 ) -> Iterator:
     """A broadcast matcher for every block of benchmark items, so of bounded size.
 
-    One latent space serves all blocks. It is fitted on about ``fit_passages`` passages of the corpus
-    and as many of the benchmark, chosen at random if there are more. A block has about
+    One latent space serves all blocks. It is fitted on every passage of the corpus and the
+    benchmark. If one of them has more than ``side_weight`` passages, all of these weigh as much together as
+    so many would, so that a large corpus does not drown the benchmark's words. A block has about
     ``PASS_WINDOWS`` windows and ``PASS_ITEMS`` items at most; equal rows are one item.
     """
     spark = docs.sparkSession
@@ -477,10 +506,11 @@ def _matchers(
     blocks = max(-(-n_items // PASS_ITEMS), -(-n_windows // PASS_WINDOWS))
     idf, n_passages = inverse_frequencies(docs)
     shared = spark.sparkContext.broadcast(idf)
-    both = passages(items, shared, min(1.0, fit_passages / n_windows)).unionByName(
-        passages(docs, shared, min(1.0, fit_passages / max(1, n_passages)))
+    both = measured(items, min(1.0, side_weight / n_windows) ** 0.5).unionByName(
+        measured(docs, min(1.0, side_weight / max(1, n_passages)) ** 0.5)
     )
-    space = Space(latent_basis(both, BUCKETS, rank), idf)
+    tasks = -(-(n_windows + n_passages) // TASK_PASSAGES)
+    space = Space(latent_basis(both.coalesce(tasks), BUCKETS, rank, make=passage_batches(shared)), idf)
     for i in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i).orderBy("item_id", "text").collect()
         if own:
@@ -491,7 +521,7 @@ def _matchers(
 def find_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """(doc_id, item_id, cosine, coverage, answer, start_word, end_word) of documents holding items.
 
-    Windows of 32 words, half overlapping, of every whole text are folded into a latent space of
+    Windows of 32 words, half overlapping, of every whole text are folded into a latent space of all
     TF-IDF passages of the corpus and the benchmark; term weights come from all documents. Windows
     with a cosine of ``cosine`` or more with one of an item's there are candidates, and those that
     hold ``covered`` of it at a cosine of ``LOW``. An item counts as held if its longest common

@@ -205,3 +205,30 @@ def test_paraphrases_that_the_check_accepts_are_retrieved(spark, make_docs):
     got = {(r.doc_id, r.item_id) for r in find_leaks(docs, benchmark, answered=0.0).collect()}
     # The answer's terms are left to the check alone: each text holds 34 of its item's 54 words in order.
     assert got >= {(i, i) for i, _ in items}
+
+
+def test_the_space_is_fitted_on_every_passage(spark, make_docs, monkeypatch):
+    rng = random.Random(17)
+    # Of words of one letter a passage has few bytes.
+    sizes = [rng.randint(0, 1500) for _ in range(400)]
+    texts = [" ".join(rng.choices("abcdefgh", k=n)) for n in sizes]
+    whole = sum(-(-n // latent_search.WINDOW) for n in sizes)
+    docs = make_docs([*enumerate(texts), (900, None)])
+    fitted, fit = [], latent_search.latent_basis
+
+    def counted(rows, *rest, **options):
+        fitted.append(rows.mapInArrow(options["make"], latent_search.PASSAGES).count())
+        return fit(rows, *rest, **options)
+
+    monkeypatch.setattr(latent_search, "latent_basis", counted)
+    find_leaks(docs, spark.createDataFrame([(1, " ".join("abcd" * 12))], "item_id int, text string"))
+    assert whole > 8192 and fitted == [whole + 2]
+    idf = np.random.default_rng(3).random(latent_search.BUCKETS).astype(np.float32)
+    got = passages(docs, spark.sparkContext.broadcast(idf), 0.5).collect()
+    want = []
+    for text in texts:
+        bins = buckets(text.encode())
+        for start in range(0, len(bins), latent_search.WINDOW):
+            terms, x = weighted(bins[start : start + latent_search.WINDOW], idf)
+            want.append((tuple(terms.tolist()), tuple(np.round(x / 2, 5).tolist())))
+    assert sorted((tuple(r["at"]), tuple(np.round(np.float32(r["weight"]), 5).tolist())) for r in got) == sorted(want)
