@@ -316,7 +316,7 @@ class Space:
     """A latent space: the place of each hashed term, times its weight."""
 
     def __init__(self, basis: np.ndarray, idf: np.ndarray) -> None:
-        # Half precision halves what is sent; a worker widens it once. The row after the last is zero. Blocks
+        # Half precision halves what is sent; a task widens it once. The row after the last is zero. Blocks
         # of terms, as the driver makes it.
         blocks = [slice(start, start + TERMS) for start in range(0, len(basis), TERMS)]
         top = max((float(np.abs(basis[b] * idf[b, None]).max()) for b in blocks), default=0.0) or 1.0
@@ -509,7 +509,7 @@ def _matchers(
     both = measured(items, min(1.0, side_weight / n_windows) ** 0.5).unionByName(
         measured(docs, min(1.0, side_weight / max(1, n_passages)) ** 0.5)
     )
-    tasks = -(-(n_windows + n_passages) // TASK_PASSAGES)
+    tasks = max(2, -(-(n_windows + n_passages) // TASK_PASSAGES))
     space = Space(latent_basis(both.coalesce(tasks), BUCKETS, rank, make=passage_batches(shared)), idf)
     for i in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i).orderBy("item_id", "text").collect()
@@ -543,6 +543,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
                 names = [f.split()[0] for f in LEAKS.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+            shared.value.space.wide = None
 
         found.append(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, LEAKS))
     if not found:
@@ -570,6 +571,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
                     for row in shared.value.find(texts[start:end], words):
                         keep[start + row[0]] = False
                 yield batch.filter(pa.array(keep))
+            shared.value.space.wide = None
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs
