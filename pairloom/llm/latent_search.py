@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.words import chunks, scrambled, utf8
-from pairloom.runtime import materialize, ship_by_value
+from pairloom.llm.words import scrambled, text_chunks
+from pairloom.runtime import arrow_batches, materialize, ship_by_value
 
 BUCKETS = 1 << 17
 WINDOW, STRIDE = 32, 16
@@ -30,8 +30,8 @@ TERMS = 8192
 PASSAGE_BLOCK, TERM_BLOCK = 16384, 64
 # Passages of a task of the fit, about: each task sends a sum per term once.
 TASK_PASSAGES = 1_000_000
-# Bytes of text of one step of the fit, beside which a task holds the sums.
-FIT_BYTES = 1 << 20
+# Bytes of text of one step of the fit, beside which a task holds the sums, and rows that it is sent at once.
+FIT_BYTES, FIT_ROWS = 1 << 20, 2048
 LEAST_WEIGHT = 0.01
 
 
@@ -48,7 +48,7 @@ FACTOR = 0x9E3779B97F4A7C15
 def _powers(factor: int, n: int) -> np.ndarray:
     out = np.full(n, factor, np.uint64)
     out[:1] = 1
-    return np.multiply.accumulate(out)
+    return np.multiply.accumulate(out, out=out)
 
 
 class Words:
@@ -65,12 +65,17 @@ class Words:
         plain = [t.translate(PLAIN, PUNCTUATION) for t in texts]
         data = np.frombuffer(b" ".join([b"", *plain, b""]), np.uint8)
         if len(self.up) <= len(data):
-            self.up = _powers(FACTOR, 2 * len(data) + 1)
-            self.down = _powers(pow(FACTOR, -1, 1 << 64), 2 * len(data) + 1)
+            # Chunks are of about one size: a little more serves the next, and the old tables go first.
+            self.up = self.down = np.empty(0, np.uint64)
+            size = len(data) + len(data) // 8 + 1
+            self.up, self.down = _powers(FACTOR, size), _powers(pow(FACTOR, -1, 1 << 64), size)
         space = data == 32
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
         start, end = edge[::2], edge[1::2]
-        sums = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)])
+        sums = data.astype(np.uint64)
+        sums += np.uint64(1)
+        sums *= self.up[: len(data)]
+        np.cumsum(sums, out=sums)
         h = scrambled((sums[end - 1] - sums[start - 1]) * self.down[start])
         cuts = np.cumsum([1, *(len(t) + 1 for t in plain)])
         sizes = np.diff(np.searchsorted(start, cuts))
@@ -105,9 +110,8 @@ def passage_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, total, words = np.zeros(BUCKETS + 1, np.int64), 0, Words()
         for batch in batches:
-            texts = utf8(batch, "text")
-            for start, end in chunks(texts):
-                sizes, bins = words.read(texts[start:end])
+            for _, texts in text_chunks(batch, "text"):
+                sizes, bins = words.read(texts)
                 rows = np.sort(laid_out(bins, sizes, WINDOW)[0], axis=1)
                 once = np.ones(rows.shape, bool)
                 once[:, 1:] = rows[:, 1:] != rows[:, :-1]
@@ -127,7 +131,8 @@ def inverse_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     A term that all passages hold keeps a little weight, as in a corpus of one passage all do.
     """
-    rows = passage_counts(docs).toArrow()
+    with arrow_batches(docs.sparkSession, FIT_ROWS):
+        rows = passage_counts(docs).toArrow()
     bucket, n = rows.column("bucket").to_numpy(), rows.column("n").to_numpy()
     total = int(n[bucket == -1].sum())
     table = np.zeros(BUCKETS)
@@ -165,11 +170,11 @@ def passage_batches(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, words = shared.value, Words()
         for batch in batches:
-            texts, lengths = utf8(batch, "text"), batch.column("length").to_numpy()
-            for start, end in chunks(texts, FIT_BYTES):
-                sizes, bins = words.read(texts[start:end])
+            lengths = batch.column("length").to_numpy()
+            for first, texts in text_chunks(batch, "text", FIT_BYTES):
+                sizes, bins = words.read(texts)
                 rows, per = laid_out(bins, sizes, WINDOW)
-                length = np.repeat(lengths[start:end], per).astype(np.float32)
+                length = np.repeat(lengths[first : first + len(texts)], per).astype(np.float32)
                 for begin in range(0, len(rows), PASSAGE_BLOCK):
                     some = slice(begin, begin + PASSAGE_BLOCK)
                     terms, x, n = weighted_rows(rows[some], idf)
@@ -251,7 +256,9 @@ def latent_basis(
         random, sums, gram = None, None, np.zeros((width, width))
         for batch in make(batches) if make else batches:
             if random is None:
-                random = np.random.default_rng(seed).integers(0, 2, (size, width), np.int8) * np.int8(2) - np.int8(1)
+                random = np.random.default_rng(seed).integers(0, 2, (size, width), np.int8)
+                random *= np.int8(2)
+                random -= np.int8(1)
                 sums = np.zeros((-(-size // TERM_BLOCK) * TERM_BLOCK, width), np.float32)
             at, weight = batch.column("at"), batch.column("weight").flatten().to_numpy()
             sizes, terms = np.diff(at.offsets.to_numpy()), at.flatten().to_numpy()
@@ -278,7 +285,8 @@ def latent_basis(
         total = sum(np.frombuffer(z.as_buffer(), kind).astype(np.float64) for z in parts["z"])
         return pa.table({"block": pa.array([block], pa.int32()), "z": pa.array([total.astype(kind).tobytes()], pa.binary())})
 
-    summed = materialize(rows.mapInArrow(project, schema).groupBy("block").applyInArrow(add, schema), "projections")
+    with arrow_batches(rows.sparkSession, FIT_ROWS):
+        summed = materialize(rows.mapInArrow(project, schema).groupBy("block").applyInArrow(add, schema), "projections")
     gram = [r["z"] for r in summed.where("block < 0").collect()]
     summed = summed.where("block >= 0")
     values, vectors = np.linalg.eigh(np.frombuffer(gram[0]).reshape(width, width) if gram else np.zeros((width, width)))
@@ -535,10 +543,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             words = Words()
             for batch in batches:
-                texts, ids = utf8(batch, "text"), batch.column("doc_id").to_pylist()
+                ids = batch.column("doc_id").to_pylist()
                 rows = []
-                for start, end in chunks(texts):
-                    rows += [(ids[start + row[0]], *row[1:]) for row in shared.value.find(texts[start:end], words)]
+                for first, texts in text_chunks(batch, "text"):
+                    rows += [(ids[first + row[0]], *row[1:]) for row in shared.value.find(texts, words)]
                 columns = list(zip(*rows)) if rows else [()] * 7
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
                 names = [f.split()[0] for f in LEAKS.split(", ")]
@@ -565,11 +573,10 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             words = Words()
             for batch in batches:
-                texts = utf8(batch, "text")
-                keep = np.ones(len(texts), bool)
-                for start, end in chunks(texts):
-                    for row in shared.value.find(texts[start:end], words):
-                        keep[start + row[0]] = False
+                keep = np.ones(batch.num_rows, bool)
+                for first, texts in text_chunks(batch, "text"):
+                    for row in shared.value.find(texts, words):
+                        keep[first + row[0]] = False
                 yield batch.filter(pa.array(keep))
             shared.value.space.wide = None
 

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +59,19 @@ def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         yield start, len(texts)
 
 
+def text_chunks(batch: pa.RecordBatch, name: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, texts) of the :func:`chunks` of a text column: of a batch only one chunk is held as Python bytes."""
+    column = batch.column(name).cast(pa.binary())
+    start = total = 0
+    for i, size in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        if total and total + size > limit:
+            yield start, [b or b"" for b in column.slice(start, i - start).to_pylist()]
+            start, total = i, 0
+        total += size
+    if start < len(column):
+        yield start, [b or b"" for b in column.slice(start).to_pylist()]
+
+
 def hash_words(words: list[bytes]) -> np.ndarray:
     digest = xxhash.xxh3_64_intdigest
     return np.fromiter(map(digest, words), np.uint64, len(words))

@@ -2,6 +2,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pairloom.llm import latent_search
@@ -9,6 +10,7 @@ from pairloom.llm.latent_search import (
     Matcher, Space, Words, buckets, common_length, find_leaks, inverse_frequencies, latent_basis, make_item, passages, tokens,
     weighted, without_leaks,
 )
+from pairloom.runtime import arrow_batches
 from tests.llm import brute
 
 
@@ -56,6 +58,29 @@ def test_the_driver_makes_a_space_without_copies_of_it():
     assert np.array_equal(space.half, half) and np.array_equal(few, space.places(rows))
 
 
+def test_a_step_of_the_fit_holds_one_chunk_of_texts(spark):
+    """Beside the sums and the batch itself; a batch as Python bytes and tables of twice a chunk took 70 MB more."""
+    rng = np.random.default_rng(3)
+    some = [" ".join(map(str, rng.integers(0, 9999, 600).tolist())) for _ in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(some * 200), pa.array(np.ones(8000))], ["text", "length"])
+
+    class Shared:
+        value = np.ones(latent_search.BUCKETS, np.float32)
+
+    tracemalloc.start()
+    n = sum(part.num_rows for part in latent_search.passage_batches(Shared)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 8000 * 19 and peak < 48 << 20
+    # Batches are small while the space is fitted, and as before afterwards.
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    with arrow_batches(spark, 100):
+        sizes = spark.range(0, 1000, 1, 1).mapInArrow(lambda bs: (pa.record_batch({"n": [b.num_rows]}) for b in bs), "n long")
+        assert max(r["n"] for r in sizes.collect()) == 100
+    assert spark.conf.get(key) == before
+
+
 def test_synonyms_meet_in_the_latent_space(spark, make_docs):
     """Passages and their paraphrases share few words; the corpus uses the words of a topic side by side."""
     rng = random.Random(5)
