@@ -143,21 +143,40 @@ def encode_whole(
 ) -> DataFrame:
     """All columns and the ids of every token of a text, uncut and without padding; none for a null text.
 
-    Works as :func:`encode_in_place` does. Beyond a vocabulary that can be broadcast, tokens are
-    joined by themselves and gathered by row; a text is the largest group.
+    Works as :func:`encode_in_place` does. Beyond a vocabulary that can be broadcast, the distinct
+    tokens of blocks of rows are joined; a block, or a longer text, is the largest group.
     """
     shared = vocab if isinstance(vocab, SharedVocab) else share_vocab(vocab, broadcast_bytes)
     cut = F.coalesce(tokens(text_col), F.array().cast("array<string>"))
     if shared.entries is not None:
         return df.withColumn(out, kernels.token_ids(cut, shared.entries, UNK))
-    tagged = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "captions")
-    long = tagged.select("_row", F.posexplode(cut).alias("_pos", "token"))
-    known = shared.table.select("token", F.col("id").cast("int").alias("_id"))
-    found = skewed_join(long, known, "token", salt_by=["_row", "_pos"])
-    entry = F.struct("_pos", F.coalesce("_id", F.lit(UNK)).alias("_id"))
-    ids = found.groupBy("_row").agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["_id"]).alias(out))
-    none = F.array().cast("array<int>")
-    return tagged.join(ids, "_row", "left").select(*df.columns, F.coalesce(out, none).alias(out))
+    return _ids_by_blocks(df, cut, shared.table, out)
+
+
+def _ids_by_blocks(df: DataFrame, cut: Column, vocab: DataFrame, out: str) -> DataFrame:
+    """All columns and the ids of the tokens ``cut`` by a join: a token moves once for each block of rows that has it.
+
+    Rows are stored with their block and the places of their tokens in the block's list of distinct
+    tokens. The list is joined and what is known of it comes back as one row per block, so that neither texts
+    nor positions of tokens are joined, and a token has one row per block at most. Of a token that the vocabulary repeats all ids count.
+    """
+    stored = materialize(df.withColumn("_coded", kernels.coded_blocks(cut)), "captions")
+    words = stored.select(F.col("_coded.block").alias("_block"), F.posexplode("_coded.words").alias("_at", "token"))
+    known = vocab.groupBy("token").agg(F.sort_array(F.collect_list(F.coalesce(F.col("id").cast("int"), F.lit(UNK)))).alias("_ids"))
+    listed = words.join(known, "token").groupBy("_block").agg(F.collect_list(F.struct("_at", "_ids")).alias("_known"))
+    repeats = F.exists("_known", lambda e: F.size(e["_ids"]) > 1)
+    blocks = listed.select(
+        "_block",
+        kernels.places("_known._at").alias("_place"),
+        F.when(~repeats, F.transform("_known", lambda e: e["_ids"][0])).alias("_one"),
+        F.when(repeats, F.col("_known._ids")).alias("_many"),
+    )
+    codes, rest = F.col("_coded.codes"), F.lit(UNK)
+    ids = F.when(
+        F.col("_many").isNull(), F.transform(codes, lambda c: F.coalesce(F.get("_one", F.get("_place", c)), rest))
+    ).otherwise(F.flatten(F.transform(codes, lambda c: F.coalesce(F.get("_many", F.get("_place", c)), F.array(rest)))))
+    joined = stored.join(blocks, F.col("_coded.block") == F.col("_block"), "left")
+    return joined.select(*df.columns, ids.alias(out))
 
 
 def expand_prompts(df: DataFrame, n: int) -> DataFrame:

@@ -190,3 +190,22 @@ def test_blocks_of_rows_pool_as_positions_do(spark, monkeypatch, mask):
     wanted = text.mean_pool(text.lookup_embeddings(df, table), dim=2, mask_padding=mask)
     a, b = ({r["id"]: pytest.approx(r["pooled"]) for r in t.collect()} for t in (pooled, wanted))
     assert a.keys() == b.keys() and all(a[k] == b[k].expected for k in a)
+
+
+def test_whole_texts_are_joined_by_the_distinct_tokens_of_blocks(spark, monkeypatch):
+    coded = text.kernels.coded_blocks
+    monkeypatch.setattr(text.kernels, "coded_blocks", lambda cut: coded(cut, 40))
+    rows = [(i % 50 if i % 9 else None, " ".join(f"w{i * j % 13}" for j in range(i % 60)) if i % 4 else None) for i in range(200)]
+    rows += [(7, "\n "), (8, ""), (9, "x " * 300)]
+    df = spark.createDataFrame(rows, "id int, caption string")
+    vocab = spark.createDataFrame([(f"w{i}", i + 1) for i in range(9)] + [("x", None), (None, 5)], "token string, id int")
+    moved = text.encode_whole(df, vocab, broadcast_bytes=0)
+    # A token moves without the row or position it stands at.
+    assert "_pos" not in physical(moved) and "_row" not in physical(moved)
+    table = {f"w{i}": i + 1 for i in range(9)}
+    wanted = [(i, t, [table.get(w, 0) for w in (t or "").split()]) for i, t in rows]
+    assert sorted(map(repr, map(tuple, moved.collect()))) == sorted(map(repr, wanted))
+    # All ids of a repeated token count, in order.
+    twice = text.encode_whole(df, vocab.unionAll(spark.createDataFrame([("w1", 1)], vocab.schema)), broadcast_bytes=0)
+    wanted = [(i, t, [k for w in (t or "").split() for k in ((1, 2) if w == "w1" else (table.get(w, 0),))]) for i, t in rows]
+    assert sorted(map(repr, map(tuple, twice.collect()))) == sorted(map(repr, wanted))
